@@ -24,17 +24,20 @@ from flowlens.functions.clean import col
 
 @dataclass(frozen=True)
 class Logistic:
-    """p = 1 / (1 + exp(-(bias + sum w_i x_i)))."""
+    """p = 1 / (1 + exp(-(bias + sum w_i x_i))), optionally rounded to ``digits``
+    (so that score ties do not hinge on the last bit of ``exp``)."""
     name: str
     features: tuple
     weights: tuple
     bias: float
+    digits: int | None = None
 
     def expr(self) -> Column:
         z = F.lit(float(self.bias))
         for f, w in zip(self.features, self.weights):
             z = z + F.lit(float(w)) * col(f)
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+        return p if self.digits is None else F.round(p, self.digits)
 
     def score(self, df: DataFrame, out: str) -> DataFrame:
         return df.withColumn(out, self.expr())

@@ -52,7 +52,8 @@ EVAL_MULTI = Softmax(
 
 # binary metric suite over flows_l
 METRIC_MODELS = (
-    Logistic("dataset5", ("resp_bytes", "missed_bytes", "duration"), (0.12, 30.0, 4.0), -5.5),
+    Logistic("dataset5", ("resp_bytes", "missed_bytes", "duration"), (0.12, 30.0, 4.0), -5.5,
+             digits=9),
     Tree("dataset13", ("missed_bytes", "resp_bytes"),
          ("missed_bytes", 0.045, ("resp_bytes", 30.0, 0.1, 0.3), ("resp_bytes", 25.5, 0.4, 0.9))),
 )

@@ -93,7 +93,8 @@ def linear(features, weights, bias) -> str:
 
 def model_expr(m) -> str:
     if isinstance(m, Logistic):
-        return f"(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-({linear(m.features, m.weights, m.bias)}))))"
+        p = f"(CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-({linear(m.features, m.weights, m.bias)}))))"
+        return p if m.digits is None else f"round({p}, {m.digits})"
     if isinstance(m, Tree):
         def node(n):
             if not isinstance(n, tuple):

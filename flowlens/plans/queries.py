@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from flowlens.plans import q_metrics_binary, q_scoring  # noqa: F401
+from flowlens.plans import q_metrics_binary, q_prep, q_scoring  # noqa: F401
 from flowlens.plans.registry import ORACLE, QUERIES
 
 

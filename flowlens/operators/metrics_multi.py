@@ -20,15 +20,16 @@ def argmax(probs: Column) -> Column:
     return F.array_position(probs, F.array_max(probs)) - 1
 
 
-def with_prediction(df: DataFrame, probs: str, label: str, num_class: int) -> DataFrame:
-    """Add ``pred`` and ``p_true`` (null when the label is outside 0..K-1).
+def with_prediction(df: DataFrame, probs: str, label: str, num_class: int,
+                    pred_out: str = "pred") -> DataFrame:
+    """Add the predicted class and ``p_true`` (null when the label is outside 0..K-1).
 
     A one-class model (K <= 1) predicts 0 (A16)."""
     y = F.col(label)
     inside = (y >= 0) & (y < num_class)
     pred = argmax(F.col(probs)) if num_class > 1 else F.lit(0)
     return df.withColumns({
-        "pred": pred.cast("int"),
+        pred_out: pred.cast("int"),
         "p_true": F.when(inside, F.try_element_at(F.col(probs), (y + 1).cast("int"))),
     })
 

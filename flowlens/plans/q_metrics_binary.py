@@ -36,25 +36,7 @@ LONG_SQL = [
         f"SELECT dataset, {S.lit(m.name)} AS model, {S.model_expr(m)} AS s, y_binary AS y FROM feats"
         for m in METRIC_MODELS) + ")",
 ]
-CUM_SQL = LONG_SQL + [
-    f"g AS (SELECT dataset, model, s, {S.B('sum(y)')} AS pos, {S.B('sum(1 - y)')} AS neg FROM lng GROUP BY ALL)",
-    f"""c AS (SELECT *, {S.B('sum(pos) OVER w')} AS tp, {S.B('sum(neg) OVER w')} AS fp,
-           {S.B('sum(pos) OVER (PARTITION BY dataset, model)')} AS P,
-           {S.B('sum(neg) OVER (PARTITION BY dataset, model)')} AS N
-         FROM g WINDOW w AS (PARTITION BY dataset, model ORDER BY s DESC
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
-    f"""r AS (SELECT *, {S.D('tp')} / (tp + fp) AS prec, {S.D('tp')} / P AS rec, {S.D('fp')} / N AS fpr FROM c)""",
-    f"""m AS (SELECT dataset, model, P AS n_pos, N AS n_neg,
-          CASE WHEN P > 0 AND N > 0 THEN round(sum(pos * (N - fp + 0.5 * neg)) / ({S.D('P')} * N), 6) END AS roc_auc,
-          CASE WHEN P > 0 THEN round(sum({S.D('pos')} / P * prec), 6) END AS pr_auc,
-          CASE WHEN P > 0 THEN round(max(2.0 * prec * rec / (prec + rec + 1e-12)), 6) END AS best_f1,
-          CASE WHEN P > 0 THEN round(first(s ORDER BY 2.0 * prec * rec / (prec + rec + 1e-12) DESC, s ASC), 6) END
-              AS best_threshold,
-          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.01 THEN rec END), 0), 6) END AS recall_at_fpr_01,
-          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.005 THEN rec END), 0), 6) END AS recall_at_fpr_005,
-          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.001 THEN rec END), 0), 6) END AS recall_at_fpr_001
-        FROM r GROUP BY dataset, model, P, N)""",
-]
+CUM_SQL = LONG_SQL + S.ranked_sql("lng", ["dataset", "model"], "s", "y", "")
 
 
 def _ranked(spark, sf):

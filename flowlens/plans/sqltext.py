@@ -136,3 +136,32 @@ def B(e: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def ranked_sql(src: str, group: list[str], score: str, label: str, p: str) -> list[str]:
+    """CTEs ending in ``{p}m``: per group n_pos, n_neg, roc_auc, pr_auc, best_f1,
+    best_threshold, recall_at_fpr_01/005/001 (plain windows per group)."""
+    g = ", ".join(group)
+    return [
+        f"{p}g AS (SELECT {g}, {score} AS s, {B(f'sum({label})')} AS pos, {B(f'sum(1 - {label})')} AS neg "
+        f"FROM {src} GROUP BY ALL)",
+        f"""{p}c AS (SELECT *, {B('sum(pos) OVER w')} AS tp, {B('sum(neg) OVER w')} AS fp,
+           {B(f'sum(pos) OVER (PARTITION BY {g})')} AS P, {B(f'sum(neg) OVER (PARTITION BY {g})')} AS N
+         FROM {p}g WINDOW w AS (PARTITION BY {g} ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""",
+        f"{p}r AS (SELECT *, {D('tp')} / (tp + fp) AS prec, {D('tp')} / P AS rec, {D('fp')} / N AS fpr FROM {p}c)",
+        f"""{p}m AS (SELECT {g}, P AS n_pos, N AS n_neg,
+          CASE WHEN P > 0 AND N > 0 THEN round(sum(pos * (N - fp + 0.5 * neg)) / ({D('P')} * N), 6) END AS roc_auc,
+          CASE WHEN P > 0 THEN round(sum({D('pos')} / P * prec), 6) END AS pr_auc,
+          CASE WHEN P > 0 THEN round(max(2.0 * prec * rec / (prec + rec + 1e-12)), 6) END AS best_f1,
+          CASE WHEN P > 0 THEN round(first(s ORDER BY 2.0 * prec * rec / (prec + rec + 1e-12) DESC, s ASC), 6) END
+              AS best_threshold,
+          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.01 THEN rec END), 0), 6) END AS recall_at_fpr_01,
+          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.005 THEN rec END), 0), 6) END AS recall_at_fpr_005,
+          CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.001 THEN rec END), 0), 6) END AS recall_at_fpr_001
+        FROM {p}r GROUP BY {g}, P, N)""",
+    ]
+
+
+def values_table(name: str, col: str, values) -> str:
+    rows = ", ".join(f"({lit(v)})" for v in values)
+    return f"{name} AS (SELECT * FROM (VALUES {rows}) t({col}))"

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from flowlens.plans import q_catalog, q_metrics_binary, q_metrics_multi, q_models, q_prep, q_scoring  # noqa: F401
+from flowlens.plans import (q_catalog, q_metrics_binary, q_metrics_multi, q_models,  # noqa: F401
+                            q_prep, q_scoring, q_stream)
 from flowlens.plans.registry import ORACLE, QUERIES
 
 

@@ -38,7 +38,10 @@ def add_model_probs(df: DataFrame, models) -> DataFrame:
 
 def combine(probs: Column, n: int, rule: str) -> Column:
     if rule == "mean":
-        return F.aggregate(probs, F.lit(0.0), lambda acc, x: acc + x) / F.lit(float(n))
+        total = probs[0]
+        for i in range(1, n):
+            total = total + probs[i]
+        return total / F.lit(float(n))
     if rule == "max":
         return F.array_max(probs)
     raise ValueError(f"combine must be one of {COMBINE_RULES}, got {rule!r}")

@@ -83,19 +83,35 @@ class Softmax:
         return list(self.labels or DATASET_VARIANTS.get(self.name, []))
 
     def probs_expr(self) -> Column:
-        ez = []
-        for b, ws in zip(self.bias, self.weights):
-            z = F.lit(float(b))
-            for f, w in zip(self.features, ws):
-                z = z + F.lit(float(w)) * col(f)
-            ez.append(F.exp(z))
+        """Single-expression form (repeats each exp; prefer ``class_probs``)."""
+        ez = [F.exp(self._z(b, ws)) for b, ws in zip(self.bias, self.weights)]
         total = ez[0]
         for e in ez[1:]:
             total = total + e
         return F.array(*[e / total for e in ez])
 
-    def class_probs(self, df: DataFrame, out: str) -> DataFrame:
-        return df.withColumn(out, self.probs_expr())
+    def _z(self, b, ws) -> Column:
+        z = F.lit(float(b))
+        for f, w in zip(self.features, ws):
+            z = z + F.lit(float(w)) * col(f)
+        return z
+
+    def class_probs(self, df: DataFrame, out: str, gate: Column | None = None) -> DataFrame:
+        """Probabilities in staged projections: each exp once, then the total,
+        then the ratios (all codegen, nothing recomputed). With ``gate`` the
+        exps are only evaluated where the gate holds (null elsewhere)."""
+        tag = f"_sm_{out}"
+        e_cols = {f"{tag}_e{k}": (F.exp(self._z(b, ws)) if gate is None else F.when(gate, F.exp(self._z(b, ws))))
+                  for k, (b, ws) in enumerate(zip(self.bias, self.weights))}
+        cur = df.withColumns(e_cols)
+        total = None
+        for c in e_cols:
+            total = F.col(c) if total is None else total + F.col(c)
+        cur = cur.withColumn(f"{tag}_t", total)
+        arr = F.array(*[F.col(c) / F.col(f"{tag}_t") for c in e_cols])
+        if gate is not None:
+            arr = F.when(gate, arr)
+        return cur.withColumn(out, arr).drop(*e_cols, f"{tag}_t")
 
 
 @dataclass

@@ -41,46 +41,19 @@ def argmax(probs: Column) -> Column:
     return F.array_position(probs, F.array_max(probs)) - 1
 
 
-def _vote(p: Column, m: Column) -> Column:
-    """struct(conf, -rank, label, model) for one model, or null when the vote
-    is benign or zero. ``p`` and ``m`` are lambda variables, so each model's
-    probabilities appear once in the plan however often they are used."""
-    conf = F.array_max(p)
-    cls = F.array_position(p, conf) - 1
-    label = F.coalesce(F.try_element_at(m["labels"], (cls + 1).cast("int")),
-                       F.concat(F.lit("Variant-"), cls.cast("string")))
-    vote = F.struct(conf.alias("conf"), (-m["rank"]).alias("neg_rank"), label.alias("label"),
-                    m["model"].alias("model"))
-    return F.when((label != F.lit(BENIGN_LABEL)) & (conf > F.lit(0.0)), vote)
-
-
-def _meta(models) -> Column:
-    def labels(m):
-        ls = m.label_list()
-        return F.array(*[F.lit(x) for x in ls]) if ls else F.array().cast("array<string>")
-    return F.array(*[F.struct(F.lit(i).alias("rank"), F.lit(m.name).alias("model"),
-                              labels(m).alias("labels")) for i, m in enumerate(models)])
-
-
 def usable(models) -> list:
     """Only models with more than one class take part."""
     return [m for m in ordered(models) if m.num_class > 1]
 
 
-def add_class_probs(df: DataFrame, models) -> DataFrame:
-    out = df
-    for m in models:
-        if not is_expression_model(m):
-            out = m.class_probs(out, probs_col(m.name))
-    return out
-
-
 def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
     """Add ``variant``, ``variant_confidence`` (4 digits) and ``variant_model``.
 
     Rows with ``pred = 0`` get N/A and 0.0; malicious rows with no usable vote
-    get Unknown Malware and 0.0. Class probabilities are evaluated only in the
-    malicious branch.
+    get Unknown Malware and 0.0. Class probabilities are evaluated only on
+    malicious rows. Each model's vote is struct(conf, -rank, label, model) or
+    null; ``greatest`` skips nulls and orders by confidence, then by the
+    earlier model, so every step stays in generated code.
     """
     models = usable(models)
     mal = F.col(pred_col) == 1
@@ -88,21 +61,34 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
         return scored.withColumns({"variant": F.when(mal, F.lit(UNKNOWN_VARIANT)).otherwise(F.lit(NO_VARIANT)),
                                    "variant_confidence": F.lit(0.0),
                                    "variant_model": F.lit(None).cast("string")})
-    withp = add_class_probs(scored, models)
-    cps = F.array(*[m.probs_expr() if is_expression_model(m) else F.col(probs_col(m.name))
-                    for m in models])
-    votes = F.zip_with(cps, _meta(models), _vote)
-    best = F.array_max(F.filter(votes, lambda v: v.isNotNull()))
-    out = withp.withColumn("_best", F.when(mal, best))
-    out = out.withColumns({
+    cur = scored
+    for m in models:
+        cur = m.class_probs(cur, probs_col(m.name), gate=mal) if is_expression_model(m) \
+            else m.class_probs(cur, probs_col(m.name))
+    conf = {f"_conf{i}": F.array_max(F.col(probs_col(m.name))) for i, m in enumerate(models)}
+    cur = cur.withColumns(conf)
+    cls = {f"_cls{i}": F.array_position(F.col(probs_col(m.name)), F.col(f"_conf{i}")) - 1
+           for i, m in enumerate(models)}
+    cur = cur.withColumns(cls)
+    lab = {f"_lab{i}": class_label(m.label_list(), F.col(f"_cls{i}")) for i, m in enumerate(models)}
+    cur = cur.withColumns(lab)
+    votes = []
+    for i, m in enumerate(models):
+        c, lb = F.col(f"_conf{i}"), F.col(f"_lab{i}")
+        vote = F.struct(c.alias("conf"), F.lit(-i).alias("neg_rank"), lb.alias("label"),
+                        F.lit(m.name).alias("model"))
+        votes.append(F.when(mal & (lb != F.lit(BENIGN_LABEL)) & (c > F.lit(0.0)), vote))
+    best = F.greatest(*votes) if len(votes) > 1 else votes[0]
+    cur = cur.withColumn("_best", best)
+    out = cur.withColumns({
         "variant": F.when(mal, display_name(F.coalesce(F.col("_best.label"), F.lit(UNKNOWN_VARIANT))))
                     .otherwise(F.lit(NO_VARIANT)),
         "variant_confidence": F.when(mal, F.round(F.coalesce(F.col("_best.conf"), F.lit(0.0)), 4))
                                .otherwise(F.lit(0.0)),
         "variant_model": F.col("_best.model"),
     })
-    drop = ["_best"] + [probs_col(m.name) for m in models if not is_expression_model(m)]
-    return out.drop(*drop)
+    tmp = ["_best"] + [f"_{p}{i}" for i in range(len(models)) for p in ("conf", "cls", "lab")]
+    return out.drop(*tmp, *[probs_col(m.name) for m in models])
 
 
 def two_stage(df_raw: DataFrame, binary_models, multi_models, threshold: float = DEFAULT_THRESHOLD,

@@ -263,3 +263,37 @@ def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
     s = scored_l(spark, sf, (MM,)).select(F.col(f"p_{MM.name}").alias("p"))
     s = s.withColumn("verdict", F.when(F.col("p") >= 0.5, "MALICIOUS").otherwise("BENIGN"))
     return report.histogram(s, "p", bins=20, by=("verdict",))
+
+
+# ---------------------------------------------------------------- volume: flows_l through both stages
+L_KEEP = ["dataset"]
+
+
+def scored_volume(spark: SparkSession, sf: str) -> DataFrame:
+    """flows_l (lineitem volume) through both stages; features the view lacks
+    (local_orig, ...) are absent and score as 0.0 (P4)."""
+    return two_stage(flows_l(spark, sf), BIN, MUL, keep=tuple(L_KEEP))
+
+
+def _vol_sql() -> list[str]:
+    ctes = _s2_sql()
+    ctes[0] = S.FLOWS_L
+    ctes[1] = S.feats_cte("feats", "flows_l", ALL_FEATS, ["dataset"], S.L_TYPES).replace(
+        "SELECT ", "SELECT row_number() OVER () AS row_id, ", 1)
+    return ctes
+
+
+@query("volume_threat_summary", S.with_(*_vol_sql()) + f"""SELECT {S.B('count(*)')} AS total,
+  {S.B('count(*) - coalesce(sum(pred), 0)')} AS benign, {S.B('coalesce(sum(pred), 0)')} AS malicious,
+  coalesce(round({S.D('sum(pred)')} * {S.num(100.0)} / count(*), 2), {S.num(0.0)}) AS threat_pct FROM s1""")
+def volume_threat_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """A7 over the lineitem-derived flows (absent features as 0.0)."""
+    return report.threat_summary(scored_volume(spark, sf))
+
+
+@query("volume_variant_counts", S.with_(*_vol_sql()) +
+       f"SELECT dataset, variant, {S.B('count(*)')} AS n FROM s2 WHERE pred = 1 GROUP BY ALL")
+def volume_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """A8 per dataset over the lineitem-derived flows: both stages on every row."""
+    s = scored_volume(spark, sf)
+    return s.where(F.col("pred") == 1).groupBy("dataset", "variant").agg(F.count(F.lit(1)).alias("n"))

@@ -15,8 +15,25 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; a fused stage
+    # bigger than that is better split back into per-operator code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Runtime SQL settings the plans rely on; applied to a session handed to us.
+PLAN_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply ``PLAN_CONF`` to an existing session (runtime SQL confs only)."""
+    for k, v in PLAN_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "flowlens", extra: dict | None = None) -> SparkSession:

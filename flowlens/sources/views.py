@@ -19,6 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str, parts: int | None = None) -> DataFrame:
+    """Opt-in: hash-spread a scan that yields fewer partitions than the cluster
+    has cores (one file of one row group), for CPU-heavy row-local work on a
+    small input. Inputs that already scan as many partitions pass untouched."""
+    par = parts or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, *[F.col(k) for k in keys])
+
+
 def _case(c, pairs, default=None):
     expr = None
     for k, v in pairs:

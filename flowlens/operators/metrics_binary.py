@@ -17,7 +17,7 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
-def ranked_metrics(cum: DataFrame, group_cols, fpr_limits=FPR_LIMITS) -> DataFrame:
+def ranked_metrics(cum: DataFrame, group_cols, fpr_limits=FPR_LIMITS, digits: int | None = 6) -> DataFrame:
     """Per group: ROC-AUC (ties count half), average precision (step form),
     best F1 = 2PR/(P+R+1e-12) with its threshold (lowest threshold on equal F1),
     and recall at FPR <= x (best TPR, no interpolation, 0 when none).
@@ -34,21 +34,26 @@ def ranked_metrics(cum: DataFrame, group_cols, fpr_limits=FPR_LIMITS) -> DataFra
     for i, x in enumerate(fpr_limits):
         aggs.append(F.max(F.when(_div(F.col("fp"), F.col("N")) <= F.lit(x), rec)).alias(f"_r{i}"))
     m = cum.groupBy(*group_cols).agg(*aggs)
+
+    def rnd(c):
+        return F.round(c, digits) if digits is not None else c
+
     out = [*group_cols,
            F.col("P").alias("n_pos"), F.col("N").alias("n_neg"),
            F.when((F.col("P") > 0) & (F.col("N") > 0),
-                  F.round(_div(F.col("_auc_num"), F.col("P") * F.col("N")), 6)).alias("roc_auc"),
-           F.when(F.col("P") > 0, F.round("_ap", 6)).alias("pr_auc"),
-           F.when(F.col("P") > 0, F.round("_best.f1", 6)).alias("best_f1"),
-           F.when(F.col("P") > 0, F.round(-F.col("_best.neg_s"), 6)).alias("best_threshold")]
+                  rnd(_div(F.col("_auc_num"), F.col("P") * F.col("N")))).alias("roc_auc"),
+           F.when(F.col("P") > 0, rnd(F.col("_ap"))).alias("pr_auc"),
+           F.when(F.col("P") > 0, rnd(F.col("_best.f1"))).alias("best_f1"),
+           F.when(F.col("P") > 0, rnd(-F.col("_best.neg_s"))).alias("best_threshold")]
     for i, x in enumerate(fpr_limits):
         name = "recall_at_fpr_" + str(x).replace("0.", "")
-        out.append(F.when(F.col("N") > 0, F.round(F.coalesce(F.col(f"_r{i}"), F.lit(0.0)), 6)).alias(name))
+        out.append(F.when(F.col("N") > 0, rnd(F.coalesce(F.col(f"_r{i}"), F.lit(0.0)))).alias(name))
     return m.select(*out)
 
 
-def binary_report(df: DataFrame, group_cols, score: str, label: str) -> DataFrame:
-    return ranked_metrics(cumulative_by_score(df, group_cols, score, label), group_cols)
+def binary_report(df: DataFrame, group_cols, score: str, label: str, digits: int | None = 6) -> DataFrame:
+    """Ranked metrics of scored rows per group (see ``ranked_metrics``)."""
+    return ranked_metrics(cumulative_by_score(df, group_cols, score, label), group_cols, digits=digits)
 
 
 def confusion_at(df: DataFrame, group_cols, score: str, label: str,

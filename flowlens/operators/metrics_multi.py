@@ -54,7 +54,11 @@ def confusion_matrix(scored: DataFrame, by, label: str, num_class: int, pred: st
 
 def class_table(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFrame:
     """Per group and label in truth or prediction: tp, support, predicted."""
-    pairs = pair_counts(scored, by, label, pred)
+    return class_table_from_pairs(pair_counts(scored, by, label, pred), by)
+
+
+def class_table_from_pairs(pairs: DataFrame, by) -> DataFrame:
+    """Same, from (by..., y, pred, n) pair counts (e.g. a stored confusion matrix)."""
     zero = F.lit(0).cast("long")
     roles = F.array(
         F.struct(F.col("y").alias("cls"), F.col("n").alias("support"), zero.alias("predicted"),
@@ -83,19 +87,25 @@ def per_class(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFram
                      "support")
 
 
-def accuracy_f1(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFrame:
+def accuracy_f1(scored: DataFrame, by, label: str, pred: str = "pred", digits: int | None = 6) -> DataFrame:
     """Accuracy, macro F1 (labels in truth or prediction) and
     support-weighted F1."""
-    ct = _prf(class_table(scored, by, label, pred))
+    return accuracy_f1_from_pairs(pair_counts(scored, by, label, pred), by, digits)
+
+
+def accuracy_f1_from_pairs(pairs: DataFrame, by, digits: int | None = 6) -> DataFrame:
+    def rnd(c):
+        return F.round(c, digits) if digits is not None else c
+    ct = _prf(class_table_from_pairs(pairs, by))
     m = ct.groupBy(*by).agg(F.sum("support").alias("n"), F.sum("tp").alias("_tp"),
                             F.avg("f1").alias("_macro"),
                             F.sum(F.col("f1") * F.col("support")).alias("_wsum"),
                             F.max("support").alias("_maxs"))
     return m.select(*by, "n",
-                    F.round(F.col("_tp") / F.col("n"), 6).alias("accuracy"),
-                    F.round("_macro", 6).alias("f1_macro"),
-                    F.round(F.col("_wsum") / F.col("n"), 6).alias("f1_weighted"),
-                    F.round(F.col("_maxs") / F.col("n"), 6).alias("majority_class_share"))
+                    rnd(F.col("_tp") / F.col("n")).alias("accuracy"),
+                    rnd(F.col("_macro")).alias("f1_macro"),
+                    rnd(F.col("_wsum") / F.col("n")).alias("f1_weighted"),
+                    rnd(F.col("_maxs") / F.col("n")).alias("majority_class_share"))
 
 
 def row_metrics(scored: DataFrame, by, probs: str, label: str, num_class: int, ks=(2, 3)) -> DataFrame:

@@ -61,8 +61,9 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
                            .otherwise(F.lit(1.0)))
     data = data.withColumn("_y", F.col(label).cast("double"))
     gbt = GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=max_iter,
-                        stepSize=step, maxDepth=depth, seed=seed,
-                        validationIndicatorCol="_val" if val is not None else None)
+                        stepSize=step, maxDepth=depth, seed=seed)
+    if val is not None:
+        gbt = gbt.setValidationIndicatorCol("_val")
     model = Pipeline(stages=[_assembler(features), gbt]).fit(data)
     st.update({"scale_pos_weight": spw})
     return FitResult("trained", FittedBinary(name, tuple(features), model), st)

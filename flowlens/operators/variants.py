@@ -46,14 +46,42 @@ def usable(models) -> list:
     return [m for m in ordered(models) if m.num_class > 1]
 
 
+def padded_labels(model) -> list[str]:
+    """Label of every class index 0..K-1, ``Variant-{i}`` beyond the known list."""
+    labels = model.label_list()
+    return [labels[k] if k < len(labels) else f"Variant-{k}" for k in range(model.num_class)]
+
+
+def model_vote(probs: Column, model, rank: int) -> Column:
+    """O5 + J4 + P18 for one model, as one struct (valid, conf, neg_rank, display, model).
+
+    The arg-max is ``array_max`` over (probability, -class, named, display)
+    structs: the first class wins ties and the label (already as display
+    name, J3) travels with its class. Lambdas bind the probabilities and the
+    arg-max once each, so the plan stays linear in size even when a filter on
+    the result is pushed down through it.
+    """
+    labels = padded_labels(model)
+    named = F.array(*[F.lit(lab != BENIGN_LABEL) for lab in labels])
+    display = F.array(*[F.lit(VARIANT_DISPLAY.get(lab, lab)) for lab in labels])
+    cands = F.transform(probs, lambda p, k: F.struct(p.alias("conf"), (-k).alias("neg_cls"),
+                                                     named[k].alias("named"), display[k].alias("display")))
+
+    def vote(t):
+        valid = t["named"] & (t["conf"] > F.lit(0.0))
+        return F.struct(F.coalesce(valid, F.lit(False)).alias("valid"), t["conf"].alias("conf"),
+                        F.lit(-rank).alias("neg_rank"), t["display"].alias("display"),
+                        F.lit(model.name).alias("model"))
+    return F.transform(F.array(F.array_max(cands)), vote)[0]
+
+
 def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
     """Add ``variant``, ``variant_confidence`` (4 digits) and ``variant_model``.
 
     Rows with ``pred = 0`` get N/A and 0.0; malicious rows with no usable vote
-    get Unknown Malware and 0.0. Class probabilities are evaluated only on
-    malicious rows. Each model's vote is struct(conf, -rank, label, model) or
-    null; ``greatest`` skips nulls and orders by confidence, then by the
-    earlier model, so every step stays in generated code.
+    get Unknown Malware and 0.0. Across models ``greatest`` picks a valid
+    vote first, then the highest confidence, then the earlier model in name
+    order; every step is a built-in expression inside generated code.
     """
     models = usable(models)
     mal = F.col(pred_col) == 1
@@ -63,32 +91,17 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
                                    "variant_model": F.lit(None).cast("string")})
     cur = scored
     for m in models:
-        cur = m.class_probs(cur, probs_col(m.name), gate=mal) if is_expression_model(m) \
-            else m.class_probs(cur, probs_col(m.name))
-    conf = {f"_conf{i}": F.array_max(F.col(probs_col(m.name))) for i, m in enumerate(models)}
-    cur = cur.withColumns(conf)
-    cls = {f"_cls{i}": F.array_position(F.col(probs_col(m.name)), F.col(f"_conf{i}")) - 1
-           for i, m in enumerate(models)}
-    cur = cur.withColumns(cls)
-    lab = {f"_lab{i}": class_label(m.label_list(), F.col(f"_cls{i}")) for i, m in enumerate(models)}
-    cur = cur.withColumns(lab)
-    votes = []
-    for i, m in enumerate(models):
-        c, lb = F.col(f"_conf{i}"), F.col(f"_lab{i}")
-        vote = F.struct(c.alias("conf"), F.lit(-i).alias("neg_rank"), lb.alias("label"),
-                        F.lit(m.name).alias("model"))
-        votes.append(F.when(mal & (lb != F.lit(BENIGN_LABEL)) & (c > F.lit(0.0)), vote))
-    best = F.greatest(*votes) if len(votes) > 1 else votes[0]
-    cur = cur.withColumn("_best", best)
+        cur = m.class_probs(cur, probs_col(m.name))
+    votes = [model_vote(F.col(probs_col(m.name)), m, i) for i, m in enumerate(models)]
+    cur = cur.withColumn("_best", F.greatest(*votes) if len(votes) > 1 else votes[0])
+    ok = mal & F.col("_best.valid")
     out = cur.withColumns({
-        "variant": F.when(mal, display_name(F.coalesce(F.col("_best.label"), F.lit(UNKNOWN_VARIANT))))
-                    .otherwise(F.lit(NO_VARIANT)),
-        "variant_confidence": F.when(mal, F.round(F.coalesce(F.col("_best.conf"), F.lit(0.0)), 4))
-                               .otherwise(F.lit(0.0)),
-        "variant_model": F.col("_best.model"),
+        "variant": F.when(ok, F.col("_best.display"))
+                    .when(mal, F.lit(UNKNOWN_VARIANT)).otherwise(F.lit(NO_VARIANT)),
+        "variant_confidence": F.when(ok, F.round(F.col("_best.conf"), 4)).otherwise(F.lit(0.0)),
+        "variant_model": F.when(ok, F.col("_best.model")),
     })
-    tmp = ["_best"] + [f"_{p}{i}" for i in range(len(models)) for p in ("conf", "cls", "lab")]
-    return out.drop(*tmp, *[probs_col(m.name) for m in models])
+    return out.drop("_best", *[probs_col(m.name) for m in models])
 
 
 def two_stage(df_raw: DataFrame, binary_models, multi_models, threshold: float = DEFAULT_THRESHOLD,

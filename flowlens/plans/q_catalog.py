@@ -33,12 +33,29 @@ def split_scored(spark: SparkSession, sf: str) -> DataFrame:
     return MM.with_prediction(pr, "probs", "y_multiclass", K, pred_out="mpred")
 
 
+def scored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """``split_scored`` computed once and cut from its lineage.
+
+    The report queries read the scored rows in several branches (counts,
+    ranked metrics, multiclass pairs). Rather than re-scanning, re-splitting
+    and re-scoring per branch, the narrow scored table is written once by a
+    reliable ``checkpoint()`` into the session's shared checkpoint folder
+    (``spark.checkpoint.dir``), which also survives executor loss.
+    """
+    from flowlens.session import shared_dir
+    shared_dir(spark, "")   # makes sure the context knows the shared folder
+    sc = split_scored(spark, sf)
+    keep = ["row_id", "dataset", "split", "y_binary", "y_multiclass", "prob", "pred", "mpred",
+            *[prob_col(m.name) for m in BIN]]
+    return sc.select(*keep).checkpoint(eager=True)
+
+
 def catalog(spark: SparkSession, sf: str) -> DataFrame:
-    return C.dataset_catalog(split_scored(spark, sf))
+    return C.dataset_catalog(scored_table(spark, sf))
 
 
 def stats(spark: SparkSession, sf: str) -> DataFrame:
-    return C.multiclass_stats(split_scored(spark, sf), FLOW_LABELS)
+    return C.multiclass_stats(scored_table(spark, sf), FLOW_LABELS)
 
 
 # ------------------------------------------------------------------ SQL
@@ -133,7 +150,7 @@ def multiclass_stats(spark: SparkSession, sf: str) -> DataFrame:
             n_variants, multi_selected FROM a, v, m""")
 def catalog_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Page summary over the catalog."""
-    sc = split_scored(spark, sf)
+    sc = scored_table(spark, sf)
     return C.catalog_summary(spark, C.dataset_catalog(sc), C.multiclass_stats(sc, FLOW_LABELS))
 
 
@@ -152,7 +169,7 @@ def catalog_summary(spark: SparkSession, sf: str) -> DataFrame:
   FROM cat c LEFT JOIN mst s ON c.dataset = s.dataset ORDER BY c.dataset""")
 def performance_table(spark: SparkSession, sf: str) -> DataFrame:
     """Per-dataset performance rows."""
-    sc = split_scored(spark, sf)
+    sc = scored_table(spark, sf)
     return C.performance_table(spark, C.dataset_catalog(sc), C.multiclass_stats(sc, FLOW_LABELS))
 
 
@@ -187,7 +204,7 @@ def master_summary_df(spark: SparkSession, sf: str) -> DataFrame:
     """Each dataset is evaluated with the binary model of the same name on its
     test split; datasets without a model become error rows (anti join), and
     both kinds are united by name."""
-    sc = split_scored(spark, sf).where(F.col("split") == "test")
+    sc = scored_table(spark, sf).where(F.col("split") == "test")
     reg = C.names_table(spark, REGISTRY)
     own = None
     for m in BIN:
@@ -227,7 +244,7 @@ def master_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ A30, A31
 def chosen_threshold_df(spark: SparkSession, sf: str) -> DataFrame:
-    sc = split_scored(spark, sf)
+    sc = scored_table(spark, sf)
     val = MB.binary_report(sc.where(F.col("split") == "val"), ["dataset"], "prob", "y_binary")
     thr = MB.chosen_threshold(val, ["dataset"])
     test = sc.where(F.col("split") == "test").join(thr, on="dataset", how="inner")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowlens.constants import FEATURE_CATALOGUE, LABEL_COLS
 from flowlens.functions.clean import missing_columns
 from flowlens.plans import sqltext as S
-from flowlens.plans.q_catalog import split_scored
+from flowlens.plans.q_catalog import scored_table
 from flowlens.plans.q_scoring import BIN, MUL, THREAT_SQL, _s2_sql
 from flowlens.plans.registry import query
 from flowlens.session import shared_dir
@@ -72,7 +72,7 @@ def input_checks(spark: SparkSession, sf: str) -> DataFrame:
 def report_frame(spark: SparkSession, sf: str) -> DataFrame:
     """One nested report per dataset (meta, class counts map,
     test metrics), stamped with the current UTC time."""
-    sc = split_scored(spark, sf)
+    sc = scored_table(spark, sf)
     y = F.col("y_binary")
     counts = sc.groupBy("dataset", "split", "y_binary").agg(F.count(F.lit(1)).alias("n"))
     cc = counts.groupBy("dataset", "split").agg(

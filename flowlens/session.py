@@ -61,5 +61,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = tempfile.mkdtemp(prefix="flowlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    if not name:
+        return base
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"

@@ -115,9 +115,12 @@ def performance_table(spark: SparkSession, catalog: DataFrame, stats: DataFrame,
     used = (F.when(F.col("used_binary") & F.col("used_multi"), F.lit("Both"))
             .when(F.col("used_binary"), F.lit("Binary"))
             .when(F.col("used_multi"), F.lit("Multi")).otherwise(F.lit("Excluded")))
+    mal_pct = F.when(F.col("train_pos") > 0, F.round(F.col("train_pos") * 100.0 / tot, 1)).otherwise(F.lit(0.0))
     return t.select(
         "dataset", "status", "train_rows",
-        F.when(F.col("train_pos") > 0, F.round(F.col("train_pos") * 100.0 / tot, 1)).otherwise(F.lit(0.0)).alias("mal_pct"),
+        F.format_number(F.col("train_rows"), 0).alias("train_rows_fmt"),
+        mal_pct.alias("mal_pct"),
+        F.concat(mal_pct.cast("string"), F.lit("%")).alias("mal_pct_label"),
         F.round(auc, 4).alias("binary_auc"),
         F.when(auc.isNull(), F.lit(None)).when(auc >= AUC_SELECTION_LIMIT, F.lit("green"))
          .when(auc > 0.5, F.lit("amber")).otherwise(F.lit("red")).alias("auc_band"),
@@ -140,6 +143,14 @@ def models_per_variant(spark: SparkSession, stats: DataFrame, selected_multi=SEL
             .select("variant", F.coalesce("display", "variant").alias("display"), "n_models"))
 
 
+def model_ranking(stats: DataFrame, by: str = "flagged") -> DataFrame:
+    """Models ordered by a per-model figure (largest first, name on ties)
+    with their rank. The input holds one row per model."""
+    from pyspark.sql import Window
+    w = Window.orderBy(F.desc(by), "name")
+    return stats.withColumn("rank", F.row_number().over(w)).orderBy("rank")
+
+
 def model_selection(spark: SparkSession, catalog: DataFrame, limit: float = AUC_SELECTION_LIMIT,
                     published=SELECTED_BINARY) -> DataFrame:
     """The selection rule as a query over the metric table, beside the

@@ -203,6 +203,22 @@ def model_stats(spark: SparkSession, sf: str) -> DataFrame:
     return report.model_stats(s, [m.name for m in BIN])
 
 
+def _model_stats_cte() -> str:
+    return "ms AS (" + " UNION ALL ".join(
+        f"SELECT {S.lit(m.name)} AS name, "
+        f"{S.B('coalesce(sum(CAST(' + S.q(c) + ' >= 0.5 AS INTEGER)), 0)')} AS flagged, "
+        f"round(avg({S.q(c)}), 4) AS avg_prob FROM s1" for m, c in zip(BIN, P_COLS)) + ")"
+
+
+@query("model_ranking", S.with_(*_s1_sql(), _model_stats_cte()) +
+       "SELECT name, flagged, avg_prob, CAST(row_number() OVER (ORDER BY flagged DESC, name) AS INTEGER) AS rank FROM ms")
+def model_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Binary models ordered by flagged count, with rank."""
+    from flowlens.operators.catalog import model_ranking as rank
+    s = predict_binary(flows_e(spark, sf), BIN, keep=("row_id",))
+    return rank(report.model_stats(s, [m.name for m in BIN]))
+
+
 @query("first_rows", S.with_(*_s2_sql()) + f"""SELECT {S.B('row_number() OVER (ORDER BY row_id) - 1')} AS "index",
   row_id, round(prob, 6) AS probability, verdict, top_model, round(top_model_conf, 6) AS top_model_conf,
   variant, CASE WHEN pred = 1 THEN round(variant_confidence, 4) ELSE {S.num(0.0)} END AS variant_confidence

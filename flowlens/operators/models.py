@@ -22,6 +22,23 @@ from flowlens.constants import DATASET_VARIANTS
 from flowlens.functions.clean import col
 
 
+# Generated arithmetic is handed to Spark as one SQL expression per model
+# (parsed once in the JVM) instead of one Python->JVM call per node.
+def sql_num(x: float) -> str:
+    return f"({float(x)!r}D)"
+
+
+def sql_col(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_linear(features, weights, bias) -> str:
+    z = sql_num(bias)
+    for f, w in zip(features, weights):
+        z = f"({z} + {sql_num(w)} * {sql_col(f)})"
+    return z
+
+
 @dataclass(frozen=True)
 class Logistic:
     """p = 1 / (1 + exp(-(bias + sum w_i x_i))), optionally rounded to ``digits``
@@ -33,11 +50,8 @@ class Logistic:
     digits: int | None = None
 
     def expr(self) -> Column:
-        z = F.lit(float(self.bias))
-        for f, w in zip(self.features, self.weights):
-            z = z + F.lit(float(w)) * col(f)
-        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-        return p if self.digits is None else F.round(p, self.digits)
+        p = f"(1.0D / (1.0D + exp(-{sql_linear(self.features, self.weights, self.bias)})))"
+        return F.expr(p if self.digits is None else f"round({p}, {int(self.digits)})")
 
     def score(self, df: DataFrame, out: str) -> DataFrame:
         return df.withColumn(out, self.expr())
@@ -53,14 +67,14 @@ class Tree:
     features: tuple
     root: object
 
-    def _node(self, node) -> Column:
+    def _node(self, node) -> str:
         if not isinstance(node, tuple):
-            return F.lit(float(node))
+            return sql_num(node)
         f, t, left, right = node
-        return F.when(col(f) <= F.lit(float(t)), self._node(left)).otherwise(self._node(right))
+        return f"(CASE WHEN {sql_col(f)} <= {sql_num(t)} THEN {self._node(left)} ELSE {self._node(right)} END)"
 
     def expr(self) -> Column:
-        return self._node(self.root)
+        return F.expr(self._node(self.root))
 
     def score(self, df: DataFrame, out: str) -> DataFrame:
         return df.withColumn(out, self.expr())
@@ -91,27 +105,34 @@ class Softmax:
         return F.array(*[e / total for e in ez])
 
     def _z(self, b, ws) -> Column:
-        z = F.lit(float(b))
-        for f, w in zip(self.features, ws):
-            z = z + F.lit(float(w)) * col(f)
-        return z
+        return F.expr(sql_linear(self.features, ws, b))
 
     def class_probs(self, df: DataFrame, out: str, gate: Column | None = None) -> DataFrame:
-        """Probabilities in staged projections: each exp once, then the total,
-        then the ratios (all codegen, nothing recomputed). With ``gate`` the
-        exps are only evaluated where the gate holds (null elsewhere)."""
+        """Probabilities in staged projections (see ``add_softmax_probs``)."""
+        return add_softmax_probs(df, [(self, out)], gate)
+
+
+def add_softmax_probs(df: DataFrame, models_outs, gate: Column | None = None) -> DataFrame:
+    """Class probabilities of several softmax models in three projections:
+    every exp once, then each model's total, then the ratios, so nothing is
+    recomputed and the plan holds each exp a bounded number of times. With
+    ``gate`` the exps are only evaluated where the gate holds (null elsewhere)."""
+    e_cols, t_cols, a_cols = {}, {}, {}
+    for m, out in models_outs:
         tag = f"_sm_{out}"
-        e_cols = {f"{tag}_e{k}": (F.exp(self._z(b, ws)) if gate is None else F.when(gate, F.exp(self._z(b, ws))))
-                  for k, (b, ws) in enumerate(zip(self.bias, self.weights))}
-        cur = df.withColumns(e_cols)
+        names = []
+        for k, (b, ws) in enumerate(zip(m.bias, m.weights)):
+            e = F.exp(m._z(b, ws))
+            e_cols[f"{tag}_e{k}"] = e if gate is None else F.when(gate, e)
+            names.append(f"{tag}_e{k}")
         total = None
-        for c in e_cols:
+        for c in names:
             total = F.col(c) if total is None else total + F.col(c)
-        cur = cur.withColumn(f"{tag}_t", total)
-        arr = F.array(*[F.col(c) / F.col(f"{tag}_t") for c in e_cols])
-        if gate is not None:
-            arr = F.when(gate, arr)
-        return cur.withColumn(out, arr).drop(*e_cols, f"{tag}_t")
+        t_cols[f"{tag}_t"] = total
+        arr = F.array(*[F.col(c) / F.col(f"{tag}_t") for c in names])
+        a_cols[out] = arr if gate is None else F.when(gate, arr)
+    cur = df.withColumns(e_cols).withColumns(t_cols).withColumns(a_cols)
+    return cur.drop(*e_cols, *t_cols)
 
 
 @dataclass

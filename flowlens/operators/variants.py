@@ -52,7 +52,11 @@ def padded_labels(model) -> list[str]:
     return [labels[k] if k < len(labels) else f"Variant-{k}" for k in range(model.num_class)]
 
 
-def model_vote(probs: Column, model, rank: int) -> Column:
+def _sql_str(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def model_vote(probs: str, model, rank: int) -> Column:
     """O5 + J4 + P18 for one model, as one struct (valid, conf, neg_rank, display, model).
 
     The arg-max is ``array_max`` over (probability, -class, named, display)
@@ -62,17 +66,13 @@ def model_vote(probs: Column, model, rank: int) -> Column:
     the result is pushed down through it.
     """
     labels = padded_labels(model)
-    named = F.array(*[F.lit(lab != BENIGN_LABEL) for lab in labels])
-    display = F.array(*[F.lit(VARIANT_DISPLAY.get(lab, lab)) for lab in labels])
-    cands = F.transform(probs, lambda p, k: F.struct(p.alias("conf"), (-k).alias("neg_cls"),
-                                                     named[k].alias("named"), display[k].alias("display")))
-
-    def vote(t):
-        valid = t["named"] & (t["conf"] > F.lit(0.0))
-        return F.struct(F.coalesce(valid, F.lit(False)).alias("valid"), t["conf"].alias("conf"),
-                        F.lit(-rank).alias("neg_rank"), t["display"].alias("display"),
-                        F.lit(model.name).alias("model"))
-    return F.transform(F.array(F.array_max(cands)), vote)[0]
+    named = "array(" + ", ".join("true" if lab != BENIGN_LABEL else "false" for lab in labels) + ")"
+    display = "array(" + ", ".join(_sql_str(VARIANT_DISPLAY.get(lab, lab)) for lab in labels) + ")"
+    cands = (f"transform(`{probs}`, (p, k) -> named_struct('conf', p, 'neg_cls', -k, "
+             f"'named', {named}[k], 'display', {display}[k]))")
+    vote = (f"named_struct('valid', coalesce(t.named AND t.conf > 0.0D, false), 'conf', t.conf, "
+            f"'neg_rank', {-rank}, 'display', t.display, 'model', {_sql_str(model.name)})")
+    return F.expr(f"transform(array(array_max({cands})), t -> {vote})[0]")
 
 
 def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
@@ -89,10 +89,13 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
         return scored.withColumns({"variant": F.when(mal, F.lit(UNKNOWN_VARIANT)).otherwise(F.lit(NO_VARIANT)),
                                    "variant_confidence": F.lit(0.0),
                                    "variant_model": F.lit(None).cast("string")})
-    cur = scored
+    from flowlens.operators.models import Softmax, add_softmax_probs
+    soft = [m for m in models if isinstance(m, Softmax)]
+    cur = add_softmax_probs(scored, [(m, probs_col(m.name)) for m in soft]) if soft else scored
     for m in models:
-        cur = m.class_probs(cur, probs_col(m.name))
-    votes = [model_vote(F.col(probs_col(m.name)), m, i) for i, m in enumerate(models)]
+        if not isinstance(m, Softmax):
+            cur = m.class_probs(cur, probs_col(m.name))
+    votes = [model_vote(probs_col(m.name), m, i) for i, m in enumerate(models)]
     cur = cur.withColumn("_best", F.greatest(*votes) if len(votes) > 1 else votes[0])
     ok = mal & F.col("_best.valid")
     out = cur.withColumns({

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     # HotSpot does not JIT methods above 8000 bytes of bytecode; a fused stage
     # bigger than that is better split back into per-operator code.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # no Python call-site capture on every column function (plans are built
+    # from generated expressions; the capture costs a stack walk per call)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Runtime SQL settings the plans rely on; applied to a session handed to us.

@@ -23,8 +23,8 @@ P_COLS = [f"p_{m.name}" for m in BIN]
 
 def scored_e(spark: SparkSession, sf: str, rule: str = "mean", threshold: float = 0.5) -> DataFrame:
     """flows_e through both stages, keyed by row_id, with its dataset."""
-    return two_stage(flows_e(spark, sf), BIN, MUL, threshold=threshold, combine_rule=rule,
-                     keep=("row_id", "dataset"))
+    return two_stage(flows_e(spark, sf, parallel=True), BIN, MUL, threshold=threshold,
+                     combine_rule=rule, keep=("row_id", "dataset"))
 
 
 # ---------------------------------------------------------------- SQL pieces
@@ -288,7 +288,7 @@ L_KEEP = ["dataset"]
 def scored_volume(spark: SparkSession, sf: str) -> DataFrame:
     """flows_l (lineitem volume) through both stages; features the view lacks
     (local_orig, ...) are absent and score as 0.0 (P4)."""
-    return two_stage(flows_l(spark, sf), BIN, MUL, keep=tuple(L_KEEP))
+    return two_stage(flows_l(spark, sf, parallel=True), BIN, MUL, keep=tuple(L_KEEP))
 
 
 def _vol_sql() -> list[str]:

@@ -56,12 +56,16 @@ def flows_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def flows_e(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows_from_events(table(spark, sf_dir, "events"))
+def flows_e(spark: SparkSession, sf_dir: str, parallel: bool = False) -> DataFrame:
+    """``parallel``: spread an under-partitioned scan before CPU-heavy scoring."""
+    ev = table(spark, sf_dir, "events")
+    return flows_from_events(spread(ev, "event_id") if parallel else ev)
 
 
-def flows_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flows_l(spark: SparkSession, sf_dir: str, parallel: bool = False) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
+    if parallel:
+        li = spread(li, "l_orderkey", "l_linenumber")
     return li.select(
         F.concat(F.lit("dataset"), (F.col("l_suppkey") % 23 + 1).cast("string")).alias("dataset"),
         _case(F.col("l_returnflag"), [("A", "tcp"), ("N", "udp"), ("R", "icmp")]).alias("proto"),

@@ -41,15 +41,25 @@ def pair_counts(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFr
 
 def confusion_matrix(scored: DataFrame, by, label: str, num_class: int, pred: str = "pred") -> DataFrame:
     """Counts over the full K x K grid per group (zeros kept); omitted
-    (no rows) above 30 classes."""
+    (no rows) above 30 classes. Labels outside 0..K-1 leave the matrix."""
+    return confusion_from_pairs(pair_counts(scored, by, label, pred), by, num_class)
+
+
+def confusion_from_pairs(pairs: DataFrame, by, num_class: int) -> DataFrame:
+    """The K x K grid from (group, y, pred, n) cells in one pass: each group's
+    cells (at most K^2 <= 900 of them) become a map, the grid is generated
+    by ``sequence`` and looked up, so there is no join and no second scan."""
     if num_class > MAX_CM_CLASSES:
-        return pair_counts(scored, by, label, pred).limit(0)
-    pairs = pair_counts(scored, by, label, pred)
-    seq = F.sequence(F.lit(0), F.lit(num_class - 1))
-    grid = (pairs.select(*by).distinct()
-            .withColumn("y", F.explode(seq)).withColumn("pred", F.explode(seq)))
-    return (grid.join(pairs, on=[*by, "y", "pred"], how="left")
-            .select(*by, "y", "pred", F.coalesce("n", F.lit(0)).alias("n")))
+        return pairs.limit(0)
+    k = num_class
+    inside = pairs.where((F.col("y") >= 0) & (F.col("y") < k))
+    cells = inside.groupBy(*by).agg(F.map_from_entries(F.collect_list(
+        F.struct((F.col("y") * k + F.col("pred")).alias("c"), F.col("n")))).alias("_m"))
+    seq = F.sequence(F.lit(0), F.lit(k - 1))
+    grid = cells.withColumn("y", F.explode(seq)).withColumn("pred", F.explode(seq))
+    return grid.select(*by, "y", "pred",
+                       F.coalesce(F.try_element_at("_m", F.col("y") * k + F.col("pred")),
+                                  F.lit(0).cast("long")).alias("n"))
 
 
 def class_table(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFrame:
@@ -108,42 +118,62 @@ def accuracy_f1_from_pairs(pairs: DataFrame, by, digits: int | None = 6) -> Data
                     rnd(F.col("_maxs") / F.col("n")).alias("majority_class_share"))
 
 
-def row_metrics(scored: DataFrame, by, probs: str, label: str, num_class: int, ks=(2, 3)) -> DataFrame:
-    """Top-k accuracy, log loss (null when a label lies
-    outside 0..K-1), mean class probability, mean predicted class, classes in
-    test, in one aggregate."""
-    y = F.col(label)
+def cell_stats(scored: DataFrame, by, probs: str, label: str, num_class: int,
+               pred: str = "pred", ks=(2, 3)) -> DataFrame:
+    """The one pass over scored rows: (group, y, pred) cells with their count
+    and every row-level sum the suite needs (log loss, top-k hits, mean class
+    probability). All further figures come from this small table."""
     pt = F.col("p_true")
     higher = F.size(F.filter(F.col(probs), lambda p: p > pt))
     aggs = [F.count(F.lit(1)).alias("n"),
-            F.countDistinct(y).alias("n_classes_in_test"),
-            F.sum(((y < 0) | (y >= num_class)).cast("long")).alias("_outside"),
-            F.avg(-F.log(F.least(F.greatest(pt, F.lit(LOGLOSS_EPS)), F.lit(1.0 - LOGLOSS_EPS)))).alias("_ll"),
-            F.avg(F.aggregate(F.col(probs), F.lit(0.0), lambda a, x: a + x) / F.lit(float(num_class))).alias("_pm"),
-            F.avg(F.col("pred").cast("double")).alias("_pc")]
+            F.sum(-F.log(F.least(F.greatest(pt, F.lit(LOGLOSS_EPS)), F.lit(1.0 - LOGLOSS_EPS)))).alias("_ll"),
+            F.sum(F.aggregate(F.col(probs), F.lit(0.0), lambda a, x: a + x) / F.lit(float(num_class))).alias("_pm")]
     for k in ks:
-        aggs.append(F.avg((pt.isNotNull() & (higher < k)).cast("double")).alias(f"_top{k}"))
-    m = scored.groupBy(*by).agg(*aggs)
+        aggs.append(F.sum((pt.isNotNull() & (higher < k)).cast("long")).alias(f"_top{k}"))
+    return scored.groupBy(*by, F.col(label).alias("y"), F.col(pred).alias("pred")).agg(*aggs)
+
+
+def row_metrics(scored: DataFrame, by, probs: str, label: str, num_class: int, ks=(2, 3)) -> DataFrame:
+    """Top-k accuracy, log loss (null when a label lies
+    outside 0..K-1), mean class probability, mean predicted class, classes in
+    test."""
+    return row_metrics_from_cells(cell_stats(scored, by, probs, label, num_class, ks=ks), by, num_class, ks)
+
+
+def row_metrics_from_cells(cells: DataFrame, by, num_class: int, ks=(2, 3)) -> DataFrame:
+    y = F.col("y")
+    n = F.col("n")
+    m = cells.groupBy(*by).agg(
+        F.coalesce(F.sum(n), F.lit(0).cast("long")).alias("n"),
+        F.countDistinct(y).alias("n_classes_in_test"),
+        F.coalesce(F.sum(F.when((y < 0) | (y >= num_class), n)), F.lit(0).cast("long")).alias("_outside"),
+        F.sum("_ll").alias("_ll"), F.sum("_pm").alias("_pm"),
+        F.sum(F.col("pred") * n).alias("_pc"),
+        *[F.sum(f"_top{k}").alias(f"_top{k}") for k in ks])
+    tot = F.col("n").cast("double")
     ll = F.when(F.col("_outside") > 0, F.lit(None).cast("double"))
-    ll = ll.otherwise(F.lit(0.0)) if num_class <= 1 else ll.otherwise(F.round("_ll", 6))
+    ll = ll.otherwise(F.lit(0.0)) if num_class <= 1 else ll.otherwise(F.round(F.col("_ll") / tot, 6))
     return m.select(*by, "n", "n_classes_in_test", "_outside",
-                    *[F.round(f"_top{k}", 6).alias(f"top{k}_accuracy") for k in ks],
+                    *[F.round(F.col(f"_top{k}") / tot, 6).alias(f"top{k}_accuracy") for k in ks],
                     ll.alias("logloss"),
-                    F.round("_pm", 6).alias("probs_mean"),
-                    F.round("_pc", 6).alias("predicted_class_mean"))
+                    F.round(F.col("_pm") / tot, 6).alias("probs_mean"),
+                    F.round(F.col("_pc") / tot, 6).alias("predicted_class_mean"))
 
 
 def eval_summary(scored: DataFrame, by, probs: str, label: str, num_class: int) -> DataFrame:
-    """M11 summary row per group; A16 degenerate and A17 empty notes."""
+    """M11 summary row per group; A16 degenerate and A17 empty notes. One
+    aggregation over the rows (``cell_stats``); the rest is on the cells."""
     by = list(by)
+    cells = cell_stats(scored, by, probs, label, num_class)
+    pairs = cells.select(*by, "y", "pred", "n")
     if by:
-        rm = row_metrics(scored, by, probs, label, num_class)
-        out = rm.join(accuracy_f1(scored, by, label).drop("n"), on=by, how="left")
+        rm = row_metrics_from_cells(cells, by, num_class)
+        out = rm.join(accuracy_f1_from_pairs(pairs, by).drop("n"), on=by, how="left")
     else:
         # whole frame: the global aggregate yields a row even for empty input
         g = F.lit(0).alias("_g")
-        rm = row_metrics(scored, [], probs, label, num_class).select("*", g)
-        af = accuracy_f1(scored.select("*", g), ["_g"], label).drop("n")
+        rm = row_metrics_from_cells(cells, [], num_class).select("*", g)
+        af = accuracy_f1_from_pairs(pairs.select("*", g), ["_g"]).drop("n")
         out = rm.join(af, on=["_g"], how="left").drop("_g")
     note = (F.when(F.col("n") == 0, F.lit("no_rows"))
             .when(F.lit(num_class <= 1), F.lit("degenerate_num_class_1")))

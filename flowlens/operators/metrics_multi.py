@@ -161,20 +161,49 @@ def row_metrics_from_cells(cells: DataFrame, by, num_class: int, ks=(2, 3)) -> D
 
 
 def eval_summary(scored: DataFrame, by, probs: str, label: str, num_class: int) -> DataFrame:
-    """M11 summary row per group; A16 degenerate and A17 empty notes. One
-    aggregation over the rows (``cell_stats``); the rest is on the cells."""
+    """M11 summary row per group; A16 degenerate and A17 empty notes.
+
+    One linear pipeline, no branches: rows -> (group, y, pred) cells ->
+    per-class rows (the row-level sums ride on the truth-role entry, so each
+    cell is counted once) -> one row per group.
+    """
     by = list(by)
-    cells = cell_stats(scored, by, probs, label, num_class)
-    pairs = cells.select(*by, "y", "pred", "n")
-    if by:
-        rm = row_metrics_from_cells(cells, by, num_class)
-        out = rm.join(accuracy_f1_from_pairs(pairs, by).drop("n"), on=by, how="left")
-    else:
-        # whole frame: the global aggregate yields a row even for empty input
-        g = F.lit(0).alias("_g")
-        rm = row_metrics_from_cells(cells, [], num_class).select("*", g)
-        af = accuracy_f1_from_pairs(pairs.select("*", g), ["_g"]).drop("n")
-        out = rm.join(af, on=["_g"], how="left").drop("_g")
+    ks = (2, 3)
+    cells = cell_stats(scored, by, probs, label, num_class, ks=ks)
+    zero_l, zero_d = F.lit(0).cast("long"), F.lit(0.0)
+    y, p, n = F.col("y"), F.col("pred"), F.col("n")
+    sums = ["_ll", "_pm", "_pc"] + [f"_top{k}" for k in ks]
+    truth = F.struct(y.alias("cls"), n.alias("support"), zero_l.alias("predicted"),
+                     F.when(y == p, n).otherwise(zero_l).alias("tp"),
+                     F.when((y < 0) | (y >= num_class), n).otherwise(zero_l).alias("outside"),
+                     F.coalesce(F.col("_ll"), zero_d).alias("_ll"), F.col("_pm").alias("_pm"),
+                     (p * n).cast("double").alias("_pc"),
+                     *[F.col(f"_top{k}").cast("double").alias(f"_top{k}") for k in ks])
+    guess = F.struct(p.alias("cls"), zero_l.alias("support"), n.alias("predicted"), zero_l.alias("tp"),
+                     zero_l.alias("outside"), zero_d.alias("_ll"), zero_d.alias("_pm"), zero_d.alias("_pc"),
+                     *[zero_d.alias(f"_top{k}") for k in ks])
+    ct = (cells.select(*by, F.inline(F.array(truth, guess)))
+          .groupBy(*by, "cls").agg(*[F.sum(c).alias(c) for c in ["tp", "support", "predicted", "outside"] + sums]))
+    ct = _prf(ct)
+    g = ct.groupBy(*by).agg(
+        F.coalesce(F.sum("support"), zero_l).alias("n"),
+        F.sum((F.col("support") > 0).cast("long")).alias("n_classes_in_test"),
+        F.coalesce(F.sum("outside"), zero_l).alias("_outside"),
+        F.sum("tp").alias("_tp"), F.avg("f1").alias("_macro"),
+        F.sum(F.col("f1") * F.col("support")).alias("_wsum"), F.max("support").alias("_maxs"),
+        *[F.sum(c).alias(c) for c in sums])
+    tot = F.col("n").cast("double")
+    ll = F.when(F.col("_outside") > 0, F.lit(None).cast("double"))
+    ll = ll.otherwise(F.lit(0.0)) if num_class <= 1 else ll.otherwise(F.round(F.col("_ll") / tot, 6))
+    out = g.select(*by, "n", "n_classes_in_test", "_outside",
+                   F.round(F.col("_maxs") / tot, 6).alias("majority_class_share"),
+                   F.round(F.col("_tp") / tot, 6).alias("accuracy"),
+                   *[F.round(F.col(f"_top{k}") / tot, 6).alias(f"top{k}_accuracy") for k in ks],
+                   ll.alias("logloss"),
+                   F.round("_macro", 6).alias("f1_macro"),
+                   F.round(F.col("_wsum") / tot, 6).alias("f1_weighted"),
+                   F.round(F.col("_pm") / tot, 6).alias("probs_mean"),
+                   F.round(F.col("_pc") / tot, 6).alias("predicted_class_mean"))
     note = (F.when(F.col("n") == 0, F.lit("no_rows"))
             .when(F.lit(num_class <= 1), F.lit("degenerate_num_class_1")))
     f1m = F.when(F.lit(num_class > 1), F.col("f1_macro"))

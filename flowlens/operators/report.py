@@ -28,17 +28,27 @@ def threat_summary(scored: DataFrame) -> DataFrame:
     )
 
 
-def variant_counts(scored: DataFrame) -> DataFrame:
-    """Rows per variant over all malicious rows (partial aggregation map-side)."""
-    return (scored.where(F.col("pred") == 1)
-            .groupBy("variant").agg(F.count(F.lit(1)).alias("n")))
+def variant_counts(scored: DataFrame, by=()) -> DataFrame:
+    """Rows per variant over all malicious rows (partial aggregation map-side).
+
+    Malicious rows are counted per group and empty groups dropped afterwards,
+    instead of filtering rows first: a row filter on ``pred`` would be pushed
+    below the scoring projection and evaluate stage 1 twice per row.
+    """
+    return (scored.groupBy(*by, "variant")
+            .agg(F.sum(F.col("pred").cast("long")).alias("n"))
+            .where(F.col("n") > 0))
 
 
 def variant_breakdown(scored: DataFrame, min_count: int = 1) -> DataFrame:
     """Resolved variants only, positive counts, largest first."""
-    return (variant_counts(scored)
-            .where(~F.col("variant").isin(NO_VARIANT, UNKNOWN_VARIANT))
-            .where(F.col("n") >= min_count)
+    # the resolved flag is an aggregate, so the filter stays above the
+    # aggregation instead of being pushed into the scoring projection
+    resolved = ~F.col("variant").isin(NO_VARIANT, UNKNOWN_VARIANT)
+    return (scored.groupBy("variant")
+            .agg(F.sum(F.col("pred").cast("long")).alias("n"), F.max(resolved).alias("_resolved"))
+            .where((F.col("n") >= F.lit(max(min_count, 1))) & F.col("_resolved"))
+            .drop("_resolved")
             .orderBy(F.desc("n"), "variant"))
 
 
@@ -109,19 +119,18 @@ def verdict_export(scored: DataFrame, which: str) -> DataFrame:
 def histogram(df: DataFrame, value_col: str, bins: int = 20, by=()) -> DataFrame:
     """Fixed-width bins on [0, 1], 1.0 in the last bin, empty bins as 0.
 
-    The counts are one partial aggregate; the empty-bin frame has ``bins`` rows
-    per group and is generated, not joined in from a cross product.
+    One partial aggregate to (group, bin) counts; each group's counts (at most
+    ``bins``) become a map and the bins are generated by ``sequence``, so the
+    input is read once and nothing is joined.
     """
-    spark: SparkSession = df.sparkSession
     b = F.least(F.floor(F.col(value_col) * bins), F.lit(bins - 1)).cast("int")
     counts = df.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    if by:
-        grid = df.select(*by).distinct().withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    else:
-        grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    keys = list(by) + ["bin"]
-    return (grid.join(counts, on=keys, how="left")
-            .select(*keys,
-                    (F.col("bin") / F.lit(float(bins))).alias("lo"),
-                    ((F.col("bin") + 1) / F.lit(float(bins))).alias("hi"),
-                    F.coalesce("n", F.lit(0)).alias("n")))
+    per = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
+    if not by:
+        # a global aggregate yields its row even for empty input: all bins 0
+        per = counts.agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
+    grid = per.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    return grid.select(*by, "bin",
+                       (F.col("bin") / F.lit(float(bins))).alias("lo"),
+                       ((F.col("bin") + 1) / F.lit(float(bins))).alias("hi"),
+                       F.coalesce(F.try_element_at("_m", F.col("bin")), F.lit(0).cast("long")).alias("n"))

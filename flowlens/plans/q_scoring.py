@@ -311,5 +311,4 @@ def volume_threat_summary(spark: SparkSession, sf: str) -> DataFrame:
        f"SELECT dataset, variant, {S.B('count(*)')} AS n FROM s2 WHERE pred = 1 GROUP BY ALL")
 def volume_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     """A8 per dataset over the lineitem-derived flows: both stages on every row."""
-    s = scored_volume(spark, sf)
-    return s.where(F.col("pred") == 1).groupBy("dataset", "variant").agg(F.count(F.lit(1)).alias("n"))
+    return report.variant_counts(scored_volume(spark, sf), by=("dataset",))

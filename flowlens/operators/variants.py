@@ -16,7 +16,6 @@ from flowlens.constants import (BENIGN_LABEL, DEFAULT_THRESHOLD, NO_VARIANT, UNK
                                 VARIANT_DISPLAY)
 from flowlens.functions.encode import feature_union, prepare_features
 from flowlens.operators.ensemble import STAGE1_COLS, ordered, prob_col, stage1
-from flowlens.operators.models import is_expression_model
 
 
 def probs_col(name: str) -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flowlens.functions.encode import prepare_features
 from flowlens.operators import metrics_multi as MM

@@ -14,7 +14,6 @@ from flowlens.plans.q_catalog import scored_table
 from flowlens.plans.q_scoring import BIN, MUL, THREAT_SQL, _s2_sql
 from flowlens.plans.registry import query
 from flowlens.session import shared_dir
-from flowlens.sources.files import read_reports
 from flowlens.sources.views import flows_e
 from flowlens.streaming import scoring as R
 
@@ -109,5 +108,3 @@ def report_json(spark: SparkSession, sf: str) -> DataFrame:
                          F.size("r.meta.class_counts_train").alias("train_classes"),
                          F.col("r.metrics.test.accuracy").alias("test_accuracy"), "json")
 
-
-__all__ = ["read_reports"]

@@ -115,7 +115,7 @@ def performance_table(spark: SparkSession, catalog: DataFrame, stats: DataFrame,
     used = (F.when(F.col("used_binary") & F.col("used_multi"), F.lit("Both"))
             .when(F.col("used_binary"), F.lit("Binary"))
             .when(F.col("used_multi"), F.lit("Multi")).otherwise(F.lit("Excluded")))
-    mal_pct = F.when(F.col("train_pos") > 0, F.round(F.col("train_pos") * 100.0 / tot, 1)).otherwise(F.lit(0.0))
+    mal_pct = F.when(F.col("train_pos") > 0, F.round(F.col("train_pos") / tot * 100.0, 1)).otherwise(F.lit(0.0))
     return t.select(
         "dataset", "status", "train_rows",
         F.format_number(F.col("train_rows"), 0).alias("train_rows_fmt"),

@@ -23,7 +23,7 @@ def threat_summary(scored: DataFrame) -> DataFrame:
         "total",
         (F.col("total") - F.col("malicious")).alias("benign"),
         "malicious",
-        F.coalesce(F.round(F.try_divide(F.col("malicious") * 100.0, F.col("total")), 2),
+        F.coalesce(F.round(F.try_divide(F.col("malicious").cast("double"), F.col("total")) * 100.0, 2),
                    F.lit(0.0)).alias("threat_pct"),
     )
 

@@ -156,8 +156,8 @@ def catalog_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("performance_table", S.with_(*_stats_sql()) + """SELECT c.dataset, status, train_rows,
     format('{:,}', train_rows) AS train_rows_fmt,
-    CASE WHEN train_pos > 0 THEN round(train_pos * 100.0 / (train_neg + train_pos), 1) ELSE 0.0 END AS mal_pct,
-    CAST(CASE WHEN train_pos > 0 THEN round(train_pos * 100.0 / (train_neg + train_pos), 1) ELSE 0.0 END AS VARCHAR)
+    CASE WHEN train_pos > 0 THEN round(CAST(train_pos AS DOUBLE) / (train_neg + train_pos) * 100.0, 1) ELSE 0.0 END AS mal_pct,
+    CAST(CASE WHEN train_pos > 0 THEN round(CAST(train_pos AS DOUBLE) / (train_neg + train_pos) * 100.0, 1) ELSE 0.0 END AS VARCHAR)
       || '%' AS mal_pct_label,
     round(test_roc_auc, 4) AS binary_auc,
     CASE WHEN test_roc_auc IS NULL THEN NULL WHEN test_roc_auc >= 0.85 THEN 'green'

@@ -164,7 +164,7 @@ def two_stage_variants(spark: SparkSession, sf: str) -> DataFrame:
 THREAT_SQL = S.with_(*_s1_sql()) + f"""SELECT {S.B('count(*)')} AS total,
   {S.B('count(*) - coalesce(sum(pred), 0)')} AS benign,
   {S.B('coalesce(sum(pred), 0)')} AS malicious,
-  coalesce(round({S.D('sum(pred)')} * {S.num(100.0)} / count(*), 2), {S.num(0.0)}) AS threat_pct
+  coalesce(round({S.D('sum(pred)')} / count(*) * {S.num(100.0)}, 2), {S.num(0.0)}) AS threat_pct
 FROM s1"""
 
 
@@ -301,7 +301,7 @@ def _vol_sql() -> list[str]:
 
 @query("volume_threat_summary", S.with_(*_vol_sql()) + f"""SELECT {S.B('count(*)')} AS total,
   {S.B('count(*) - coalesce(sum(pred), 0)')} AS benign, {S.B('coalesce(sum(pred), 0)')} AS malicious,
-  coalesce(round({S.D('sum(pred)')} * {S.num(100.0)} / count(*), 2), {S.num(0.0)}) AS threat_pct FROM s1""")
+  coalesce(round({S.D('sum(pred)')} / count(*) * {S.num(100.0)}, 2), {S.num(0.0)}) AS threat_pct FROM s1""")
 def volume_threat_summary(spark: SparkSession, sf: str) -> DataFrame:
     """A7 over the lineitem-derived flows (absent features as 0.0)."""
     return report.threat_summary(scored_volume(spark, sf))

@@ -61,7 +61,7 @@ def running_totals(scored: DataFrame) -> DataFrame:
     """R2: total / malicious / benign and threat percentage over all arrivals."""
     agg = scored.agg(F.count(F.lit(1)).alias("total"), F.sum("pred").cast("long").alias("malicious"))
     return agg.select("total", (F.col("total") - F.col("malicious")).alias("benign"), "malicious",
-                      F.coalesce(F.round(F.try_divide(F.col("malicious") * 100.0, F.col("total")), 2),
+                      F.coalesce(F.round(F.try_divide(F.col("malicious").cast("double"), F.col("total")) * 100.0, 2),
                                  F.lit(0.0)).alias("threat_pct"))
 
 

@@ -90,3 +90,21 @@ def test_summary_sink(spark, tmpdir_path):
     back = spark.read.json(os.path.join(tmpdir_path, "ms_json"))
     assert back.count() == ms.count()
     assert back.where("status = 'error'").count() > 0
+
+
+def test_importance_csv_and_model_round_trip(spark, tmpdir_path):
+    from pyspark.ml import PipelineModel
+    from flowlens.operators.train import importances, train_binary
+    rows = [(float(i % 10), float(i % 7), int(i % 10 >= 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, y_binary int")
+    fit = train_binary(df, ["a", "b"], max_iter=3, depth=2)
+    imp = spark.createDataFrame(importances(fit.model.model, ["a", "b"]), "feature string, score double")
+    W.write_importance(imp, os.path.join(tmpdir_path, "imp"))
+    back = spark.read.option("header", True).option("inferSchema", True).csv(os.path.join(tmpdir_path, "imp"))
+    assert {r.feature for r in back.collect()} == {"a", "b"}
+    dst = os.path.join(tmpdir_path, "model")
+    W.save_model(fit.model.model, dst)
+    loaded = PipelineModel.load(dst)
+    p1 = [r.probability[1] for r in fit.model.model.transform(df).select("probability").collect()]
+    p2 = [r.probability[1] for r in loaded.transform(df).select("probability").collect()]
+    assert p1 == p2

@@ -87,3 +87,13 @@ def test_stream_totals_equal_batch(spark):
     a = q["stream_totals"](spark, SF_SMALL).first().asDict()
     b = q["threat_summary"](spark, SF_SMALL).first().asDict()
     assert a == b
+
+
+def test_class_and_split_counts_sum_to_rows(spark):
+    import __spark_entry__ as E
+    q = E.queries()
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert q["class_counts"](spark, SF_SMALL).agg(F.sum("n")).first()[0] == n
+    assert q["split_counts"](spark, SF_SMALL).agg(F.sum("n")).first()[0] == n
+    sp = q["stratified_split"](spark, SF_SMALL)
+    assert sp.count() == n and sp.select("row_id").distinct().count() == n

@@ -36,6 +36,15 @@ def _assembler(features, out="features"):
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
+def check_vector_width(df: DataFrame, vec_col: str, features) -> None:
+    """D3: the assembled vector must hold exactly one slot per listed feature.
+
+    Read from the column's ML attribute metadata (schema only, no job)."""
+    width = df.schema[vec_col].metadata.get("ml_attr", {}).get("num_attrs")
+    if width is not None and width != len(features):
+        raise ValueError(f"feature vector has {width} slots, feature list has {len(features)}")
+
+
 def label_stats(df: DataFrame, label: str) -> dict:
     """One aggregate: rows, positives, distinct classes, max class."""
     r = df.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col(label) == 1).cast("long")).alias("pos"),
@@ -65,6 +74,7 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
     if val is not None:
         gbt = gbt.setValidationIndicatorCol("_val")
     model = Pipeline(stages=[_assembler(features), gbt]).fit(data)
+    check_vector_width(model.stages[0].transform(data), "features", features)
     st.update({"scale_pos_weight": spw})
     return FitResult("trained", FittedBinary(name, tuple(features), model), st)
 

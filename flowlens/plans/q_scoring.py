@@ -224,8 +224,15 @@ def model_ranking(spark: SparkSession, sf: str) -> DataFrame:
   variant, CASE WHEN pred = 1 THEN round(variant_confidence, 4) ELSE {S.num(0.0)} END AS variant_confidence
 FROM s2 ORDER BY row_id LIMIT 500""")
 def first_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """First 500 detail rows in input order."""
-    return report.first_rows(scored_e(spark, sf)).withColumn("index", F.col("index").cast("long"))
+    """First 500 detail rows in input order.
+
+    Scoring is row-local and the order key comes from the raw table, so the
+    first 500 raw rows are taken first (a per-partition top-500 merged once)
+    and only those are scored: 500 rows through both stages, not the table.
+    """
+    raw = flows_e(spark, sf).orderBy("row_id").limit(report.FIRST_ROWS)
+    scored = two_stage(raw, BIN, MUL, keep=("row_id", "dataset"))
+    return report.first_rows(scored).withColumn("index", F.col("index").cast("long"))
 
 
 @query("first_per_verdict", S.with_(*_s1_sql()) + f"""SELECT verdict, pos, row_id, prob FROM (

@@ -21,6 +21,8 @@ def read_flows(spark: SparkSession, paths, schema: T.StructType | None = None) -
     """
     if isinstance(paths, str):
         paths = [paths]
+    if not paths:
+        raise ValueError("no input file")     # D6
     pq = [p for p in paths if p.lower().endswith(".parquet")]
     csv = [p for p in paths if not p.lower().endswith(".parquet")]
     frames = []

@@ -108,3 +108,9 @@ def test_importance_csv_and_model_round_trip(spark, tmpdir_path):
     p1 = [r.probability[1] for r in fit.model.model.transform(df).select("probability").collect()]
     p2 = [r.probability[1] for r in loaded.transform(df).select("probability").collect()]
     assert p1 == p2
+
+
+def test_no_input_file(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        FS.read_flows(spark, [])

@@ -38,3 +38,14 @@ def test_multiclass_probabilities_sum_to_one(spark):
     acc = MM.accuracy_f1(sc, [], "y_multiclass").first()["accuracy"]
     majority = df.groupBy("y_multiclass").count().agg(F.max("count")).first()[0] / df.count()
     assert acc > majority
+
+
+def test_vector_width_check(spark):
+    import pytest
+    from pyspark.ml.feature import VectorAssembler
+    from flowlens.operators.train import check_vector_width
+    df = _separable(spark)
+    vec = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(df)
+    check_vector_width(vec, "v", ["a", "b"])
+    with pytest.raises(ValueError):
+        check_vector_width(vec, "v", ["a", "b", "c"])

@@ -24,10 +24,16 @@ def save_selected(df: DataFrame, features, dst: str, partition_by=("dataset", "s
         cols.append(v.cast("float").alias(f))
     for lab in labels:
         cols.append((to_label(col(lab), types[lab]) if lab in types else F.lit(0)).alias(lab))
+    parts = [p for p in partition_by if p in types]
     obs = Observation("rows_written")
     out = df.select(*cols).observe(obs, F.count(F.lit(1)).alias("n"))
+    # REBALANCE lets AQE split a hot (dataset, split) over many writers and
+    # merge small ones, instead of one task per partition value (skew) or
+    # every task writing into every directory (small files).
+    if parts:
+        out = out.hint("rebalance", *parts)
     (out.write.mode("overwrite").option("compression", "snappy")
-        .partitionBy(*[p for p in partition_by if p in types]).parquet(dst))
+        .partitionBy(*parts).parquet(dst))
     return int(obs.get["n"])
 
 

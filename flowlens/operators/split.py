@@ -9,7 +9,7 @@ rows) never lands in a single task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.operators.ordered import prefix_sums
@@ -56,11 +56,25 @@ def split_counts(df: DataFrame, by=("dataset", "split"), label: str = "y_binary"
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """O3: n rows by seeded hash order (a uniform sample, not a head).
+    """O3: the first n rows by seeded hash order (a uniform sample, not a head).
 
-    ``orderBy().limit()`` runs as a per-partition top-n merged once.
+    Equal to ``orderBy(md5(seed:key), key).limit(n)``, but without its final
+    single-task merge of n rows from every partition: rows are counted per
+    hash-prefix chunk (65,536 of them, a small table), only the chunks that
+    can hold the first n rows are kept, and positions are ranked inside
+    those chunks. No task sees more than one chunk.
     """
-    return df.orderBy(hash_order(key, str(seed)), key).limit(n)
+    h = hash_order(key, str(seed))
+    base = df.withColumn("_h", h).withColumn("_chunk", F.conv(F.substring("_h", 1, 4), 16, 10).cast("int"))
+    tot = base.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_t"))
+    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tot.select("_chunk", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+               .where(F.col("_o") < F.lit(n)))
+    # at most 65,536 chunk rows: a bounded broadcast
+    cand = base.join(F.broadcast(offsets), on="_chunk", how="inner")
+    within = Window.partitionBy("_chunk").orderBy("_h", key)
+    pos = F.col("_o") + F.row_number().over(within) - 1
+    return cand.withColumn("_pos", pos).where(F.col("_pos") < F.lit(n)).drop("_h", "_chunk", "_o", "_pos")
 
 
 def stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:

@@ -4,6 +4,7 @@ one class or the fit fails. Only the ranked name list reaches the driver."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,15 @@ def select_features(spark: SparkSession, df: DataFrame, candidates, label: str =
     """Returns (ordered feature names, score table (feature, score, rank, method))."""
     candidates = list(candidates)
     prepared = prepare_features(df, candidates, keep=(key, label))
-    sample = SP.sample_rows(prepared, sample_size, key, seed)
+    # bounded (sample_size rows) and read three times: label check, hold-out cut, fit
+    sample = SP.sample_rows(prepared, sample_size, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, depth)
+    finally:
+        sample.unpersist()
+
+
+def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, depth):
     st = label_stats(sample, label)
     method = "gain"
     scores = None

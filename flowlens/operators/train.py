@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -129,15 +130,23 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
         model = Pipeline(stages=[_assembler(features), rf]).fit(data)
         return FitResult("trained", RandomForestProbs(tuple(features), k, model), st)
     present = {r[0] for r in train.select(label).distinct().collect()}   # at most k values
+    # The K one-vs-rest fits share one assembled input: persisted once (spilling
+    # to disk as needed) instead of re-running the upstream plan K times.
+    assembler = _assembler(features)
+    assembled = assembler.transform(train).select("features", F.col(label).alias("_label")) \
+                         .persist(StorageLevel.MEMORY_AND_DISK)
     models = []
-    for c in range(k):
-        if c not in present:
-            models.append(None)
-            continue
-        data = train.withColumn("_y", (F.col(label) == c).cast("double"))
-        gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, stepSize=step,
-                            maxDepth=depth, subsamplingRate=subsample, seed=seed)
-        models.append(Pipeline(stages=[_assembler(features), gbt]).fit(data))
+    try:
+        for c in range(k):
+            if c not in present:
+                models.append(None)
+                continue
+            data = assembled.withColumn("_y", (F.col("_label") == c).cast("double"))
+            gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, stepSize=step,
+                                maxDepth=depth, subsamplingRate=subsample, seed=seed)
+            models.append(PipelineModel(stages=[assembler, gbt.fit(data)]))
+    finally:
+        assembled.unpersist()
     return FitResult("trained", OneVsRestGBT(tuple(features), k, models), st)
 
 

@@ -94,3 +94,11 @@ def test_empty_evaluation_note(spark):
     sc = MM.with_prediction(df, "probs", "y", 3)
     r = MM.eval_summary(sc, [], "probs", "y", 3).first()
     assert r["n"] == 0 and r["note"] == "no_rows"
+
+
+def test_chosen_threshold_one_class_validation(spark):
+    two = _scores(spark, [(0.8, 1, 5), (0.3, 0, 5)]).withColumn("g", F.lit("two"))
+    one = _scores(spark, [(0.8, 0, 4)]).withColumn("g", F.lit("one"))
+    val = MB.binary_report(two.unionByName(one), ["g"], "s", "y")
+    got = {r.g: r.chosen_threshold for r in MB.chosen_threshold(val, ["g"]).collect()}
+    assert got == {"two": 0.8, "one": 0.5}

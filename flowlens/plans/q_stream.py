@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowlens.constants import FEATURE_CATALOGUE, LABEL_COLS
 from flowlens.functions.clean import missing_columns
 from flowlens.plans import sqltext as S
+from flowlens.plans.q_catalog import _base as _catalog_base
 from flowlens.plans.q_catalog import scored_table
 from flowlens.plans.q_scoring import BIN, MUL, THREAT_SQL, _s2_sql
 from flowlens.plans.registry import query
@@ -94,17 +95,24 @@ def report_frame(spark: SparkSession, sf: str) -> DataFrame:
                           F.col("accuracy")).alias("test")).alias("metrics"))
 
 
-@query("report_json")
+REPORT_SQL = S.with_(*_catalog_base()) + f"""SELECT dataset, CAST(2 AS BIGINT) AS num_class,
+    {S.B("sum(CAST(split = 'train' AS INTEGER))")} AS train_rows,
+    CAST(count(DISTINCT CASE WHEN split = 'train' THEN y_binary END) AS INTEGER) AS train_classes,
+    round(avg(CASE WHEN split = 'test' THEN CAST(pred = y_binary AS DOUBLE) END), 6) AS test_accuracy
+  FROM cs GROUP BY dataset"""
+
+
+@query("report_json", REPORT_SQL)
 def report_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Reports encoded to JSON and decoded back with the
-    report schema and a num_class default."""
+    """Nested reports encoded to JSON text (with a UTC
+    creation stamp) and decoded back with the report schema and a num_class
+    default; the decoded, deterministic fields are returned."""
     rep = report_frame(spark, sf)
     js = rep.select("dataset", F.to_json(F.struct("dataset", "meta", "metrics")).alias("json"))
     from flowlens.sources.files import REPORT_SCHEMA
-    parsed = js.select("json", F.from_json("json", REPORT_SCHEMA).alias("r"))
+    parsed = js.select(F.from_json("json", REPORT_SCHEMA).alias("r"))
     return parsed.select(F.col("r.dataset").alias("dataset"),
-                         F.coalesce(F.col("r.meta.num_class"), F.lit(2)).alias("num_class"),
+                         F.coalesce(F.col("r.meta.num_class"), F.lit(2).cast("long")).alias("num_class"),
                          F.col("r.meta.train_rows").alias("train_rows"),
                          F.size("r.meta.class_counts_train").alias("train_classes"),
-                         F.col("r.metrics.test.accuracy").alias("test_accuracy"), "json")
-
+                         F.round("r.metrics.test.accuracy", 6).alias("test_accuracy"))

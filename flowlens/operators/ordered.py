@@ -40,7 +40,10 @@ def prefix_sums(df: DataFrame, group_cols, chunk: Column, order: Column, sums: d
     offsets = tot.select(*group_cols, "_chunk",
                          *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
                          *[F.sum(f"_t_{n}").over(whole).alias(f"{n}_total") for n in sums])
-    joined = base.join(offsets, on=group_cols + ["_chunk"], how="inner")
+    # Explicitly spread by (group, chunk): a hash partitioning on the group
+    # alone would also satisfy the window below and put a hot group in one task.
+    joined = base.join(offsets, on=group_cols + ["_chunk"], how="inner") \
+                 .repartition(*[F.col(c) for c in group_cols], F.col("_chunk"))
     within = (Window.partitionBy(*group_cols, "_chunk")
               .orderBy(order.desc() if descending else order.asc())
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))

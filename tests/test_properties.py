@@ -97,3 +97,29 @@ def test_class_and_split_counts_sum_to_rows(spark):
     assert q["split_counts"](spark, SF_SMALL).agg(F.sum("n")).first()[0] == n
     sp = q["stratified_split"](spark, SF_SMALL)
     assert sp.count() == n and sp.select("row_id").distinct().count() == n
+
+
+def test_chunked_sample_equals_order_limit(spark):
+    from flowlens.operators.split import hash_order, sample_rows
+    from flowlens.sources.views import flows_e
+    df = flows_e(spark, SF_SMALL).select("row_id", "dataset")
+    total = df.count()
+    for n in (1, 37, 500, total + 5):
+        got = sorted(r.row_id for r in sample_rows(df, n, "row_id", seed=7).collect())
+        want = sorted(r.row_id for r in df.orderBy(hash_order("row_id", "7"), "row_id").limit(n).collect())
+        assert got == want, n
+
+
+def test_split_positions_match_brute_force(spark):
+    import hashlib
+    from flowlens.operators.split import stratified_split
+    rows = [(i, i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "row_id long, y int")
+    got = {r.row_id: r.split for r in stratified_split(df, ["y"], "row_id").collect()}
+    for y in range(3):
+        ids = sorted((r for r, yy in rows if yy == y), key=lambda r: hashlib.md5(str(r).encode()).hexdigest())
+        n = len(ids)
+        n_train, n_val = n * 7000 // 10000, n * 1500 // 10000
+        for pos, r in enumerate(ids):
+            want = "train" if pos < n_train else "val" if pos < n_train + n_val else "test"
+            assert got[r] == want

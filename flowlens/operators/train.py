@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.clean import col
-from flowlens.operators.models import FittedBinary
+from flowlens.operators.models import FittedBinary, FittedMulti
 
 
 @dataclass
@@ -162,3 +162,9 @@ class RandomForestProbs:
         pad = F.transform(F.sequence(F.lit(0), F.lit(self.num_class - 1)),
                           lambda i: F.coalesce(F.try_element_at(arr, (i + 1).cast("int")), F.lit(0.0)))
         return res.select(*[col(c) for c in df.columns], pad.alias(out))
+
+
+def as_stage2(model, name: str, labels=()) -> FittedMulti:
+    """Wrap a fitted multiclass model for stage 2: a name (model order and
+    ties) and its class-index -> raw-label list (``Variant-i`` beyond it)."""
+    return FittedMulti(name, tuple(model.features), model, model.num_class, tuple(labels))

@@ -49,3 +49,19 @@ def test_vector_width_check(spark):
     check_vector_width(vec, "v", ["a", "b"])
     with pytest.raises(ValueError):
         check_vector_width(vec, "v", ["a", "b", "c"])
+
+
+def test_two_stage_with_fitted_models(spark):
+    from flowlens.operators.train import as_stage2
+    from flowlens.operators.variants import two_stage
+    df = _separable(spark)
+    b = train_binary(df, ["a", "b"], max_iter=3, depth=2, name="fitted_b").model
+    m = as_stage2(train_multiclass(df, ["a", "b"], max_iter=2, depth=2).model, "fitted_m",
+                  labels=("-", "C&C"))
+    sc = two_stage(df, [b], [m], keep=("row_id", "y_binary"))
+    rows = sc.collect()
+    assert len(rows) == df.count()
+    for r in rows:
+        assert (r.pred == 1) == (r.prob >= 0.5)
+        assert (r.variant == "N/A") == (r.pred == 0)
+        assert r.variant in ("N/A", "Unknown Malware", "C&C Communication", "Variant-2")

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     # no Python call-site capture on every column function (plans are built
     # from generated expressions; the capture costs a stack walk per call)
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpointed tables in the shared folder are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Runtime SQL settings the plans rely on; applied to a session handed to us.

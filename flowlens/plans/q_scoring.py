@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.constants import FEATURE_CATALOGUE
+from flowlens.constants import FEATURE_CATALOGUE, SERVICE_CATEGORIES_COMPAT
 from flowlens.functions.clean import col, to_double, to_label
 from flowlens.functions.encode import feature_union, prepare_features
 from flowlens.operators import report
@@ -120,6 +120,23 @@ def onehot_encode(spark: SparkSession, sf: str) -> DataFrame:
     return prepare_features(flows_e(spark, sf), ENC_FEATS, keep=("row_id",))
 
 
+def _compat_sql() -> str:
+    cols = []
+    for f in ENC_FEATS:
+        if f.startswith("service_") and f[8:] not in SERVICE_CATEGORIES_COMPAT:
+            cols.append(f"CAST(0.0 AS DOUBLE) AS {S.q(f)}")
+        else:
+            cols.append(f"{S.feature_expr(f, S.E_TYPES)} AS {S.q(f)}")
+    return S.with_(S.FLOWS_E) + "SELECT row_id, " + ", ".join(cols) + " FROM flows_e"
+
+
+@query("onehot_encode_compat", _compat_sql())
+def onehot_encode_compat(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 compat switch: only dns / http / - are derived from the raw service;
+    the other service_* features stay 0.0 unless the input already has them."""
+    return prepare_features(flows_e(spark, sf), ENC_FEATS, keep=("row_id",), compat=True)
+
+
 # ---------------------------------------------------------------- stage 1
 def _ens_sql(rule: str) -> str:
     cols = ", ".join(_r6(c) for c in P_COLS)

@@ -192,6 +192,20 @@ def threat_summary(spark: SparkSession, sf: str) -> DataFrame:
     return report.threat_summary(s)
 
 
+THREAT_075_SQL = S.with_(*_s1_sql("mean", 0.75)) + f"""SELECT {S.B('count(*)')} AS total,
+  {S.B('count(*) - coalesce(sum(pred), 0)')} AS benign,
+  {S.B('coalesce(sum(pred), 0)')} AS malicious,
+  coalesce(round({S.D('sum(pred)')} / count(*) * {S.num(100.0)}, 2), {S.num(0.0)}) AS threat_pct
+FROM s1"""
+
+
+@query("threat_summary_page", THREAT_075_SQL)
+def threat_summary_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The same totals at the page's default threshold of 0.75."""
+    s = predict_binary(flows_e(spark, sf), BIN, threshold=0.75, keep=("row_id",))
+    return report.threat_summary(s)
+
+
 @query("variant_counts", S.with_(*_s2_sql()) +
        f"SELECT variant, {S.B('count(*)')} AS n FROM s2 WHERE pred = 1 GROUP BY variant")
 def variant_counts(spark: SparkSession, sf: str) -> DataFrame:

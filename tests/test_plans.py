@@ -24,3 +24,12 @@ def test_first_per_verdict_uses_partial_group_limit(spark):
     import __spark_entry__ as E
     p = _plan(E.queries()["first_per_verdict"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def test_ranked_metrics_partition_by_chunk(spark):
+    import re
+    import __spark_entry__ as E
+    df = E.queries()["binary_auc"](spark, SF_SMALL)
+    df.collect()
+    p = _plan(df)
+    assert re.search(r"hashpartitioning\(dataset#\d+, model#\d+, _chunk#\d+", p)

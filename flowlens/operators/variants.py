@@ -1,10 +1,10 @@
 """Stage 2: name the attack variant of malicious rows.
 
 Per model: arg-max class and its confidence (first class on ties), class index
--> raw label with a ``Variant-{i}`` fallback, benign votes dropped. Across
-models the best vote wins on confidence, the first model in name order on
-ties; a vote must beat 0.0. The result is written back by projection
-(``when(pred = 1, ...)``), not by a join on a row index.
+-> raw label with a ``Variant-{i}`` fallback and its display name (J3), benign
+votes dropped. Across models the best vote wins on confidence, the first model
+in name order on ties; a vote must beat 0.0. The result is written back by
+projection (``when(pred = 1, ...)``), not by a join on a row index.
 """
 
 from __future__ import annotations
@@ -22,24 +22,6 @@ def probs_col(name: str) -> str:
     return f"cp_{name}"
 
 
-def display_name(label: Column) -> Column:
-    """Display name, falling back to the raw label."""
-    m = F.create_map(*[F.lit(x) for kv in VARIANT_DISPLAY.items() for x in kv])
-    return F.coalesce(F.try_element_at(m, label), label)
-
-
-def class_label(labels: list[str], cls: Column) -> Column:
-    """Class index -> raw label, ``Variant-{i}`` beyond the known list."""
-    arr = F.array(*[F.lit(x) for x in labels]) if labels else F.array().cast("array<string>")
-    return F.coalesce(F.try_element_at(arr, (cls + 1).cast("int")),
-                      F.concat(F.lit("Variant-"), cls.cast("string")))
-
-
-def argmax(probs: Column) -> Column:
-    """0-based index of the first maximum."""
-    return F.array_position(probs, F.array_max(probs)) - 1
-
-
 def usable(models) -> list:
     """Only models with more than one class take part."""
     return [m for m in ordered(models) if m.num_class > 1]

@@ -146,3 +146,19 @@ def test_hot_group_is_spread_over_tasks(spark):
     pairs = [(s, y) for _, s, y in rows]
     r = MB.ranked_metrics(cum, ["g"], digits=None).first()
     assert r["roc_auc"] == pytest.approx(brute_auc(pairs), abs=1e-12)
+
+
+def test_hot_stratum_split_is_spread_over_tasks(spark):
+    from flowlens.operators.split import stratified_split
+    df = spark.range(4000).select(F.col("id").alias("row_id"), F.lit(1).alias("y"))
+    out = stratified_split(df, ["y"], "row_id")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        parts = out.select(F.spark_partition_id().alias("p")).distinct().count()
+        counts = {r.split: r.n for r in out.groupBy("split").agg(F.count("*").alias("n")).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert parts > 1
+    assert counts == {"train": 2800, "val": 600, "test": 600}

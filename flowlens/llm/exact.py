@@ -53,11 +53,13 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     rows = written(
         df.select(F.col(id_col).alias("doc_id"), norm.alias("__norm"), shared.alias("__shared"))
         .select("doc_id", recipe.alias("recipe"), F.sha2(F.col("__norm"), 256).alias("text_sha256")))
-    groups = rows.groupBy(F.col("recipe").alias("__recipe")).agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, F.col("recipe") == F.col("__recipe")).select(
-        "doc_id", "keep_id", "group_size",
-        F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    # written: groups of several join by their size, and a large group's rows can be split
+    groups = written(rows.groupBy(F.col("recipe").alias("__recipe")).agg(
+        F.max("doc_id").alias("__keep"), F.count(F.lit(1)).alias("__size")).where("__size > 1"))
+    joined = rows.join(groups, F.col("recipe") == F.col("__recipe"), "left")
+    keep = F.when(F.col("__size").isNull(), F.col("doc_id")).otherwise(F.col("__keep"))
+    return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("__size", F.lit(1)).cast("long").alias("group_size"),
+                         F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

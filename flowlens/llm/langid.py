@@ -27,8 +27,14 @@ MAX_DOCS = 1500
 MAX_DOC_CHARS = 8_000
 #: One in this many learning documents calibrates instead of counting.
 CALIBRATION = 5
-#: Rejection beyond this many deviations of the calibration documents.
-DEVIATIONS = 8.0
+#: Rejection beyond this many (robust) deviations, or three times the 90th percentile
+#: of the calibration documents if that is more; languages with fewer than
+#: MIN_SHOWN of them reject nothing but texts without letters.
+DEVIATIONS = 6.0
+MIN_SHOWN = 10
+#: and never within this distance (nats per symbol) of the language's usual
+#: entropy: texts that repeat themselves vary more than their length tells.
+MIN_EXCESS = 1.0
 UNKNOWN = "und"
 _WINDOW = 1 << 19
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -74,6 +80,7 @@ class Model:
     mean: np.ndarray
     spread: np.ndarray
     noise: np.ndarray
+    reach: np.ndarray
 
     def _find(self, order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         table = self.grams[order - 1]
@@ -143,7 +150,8 @@ class Model:
         weight = np.minimum(n, 40)[:, None]
         odds = np.exp((lowest[:, None] - entropy) * weight)
         score = 1.0 / odds.sum(1)
-        limit = self.mean[best] + DEVIATIONS * np.sqrt(self.spread[best] + self.noise[best] / np.maximum(n, 1))
+        limit = self.mean[best] + np.maximum(MIN_EXCESS, self.reach[best] * np.sqrt(
+            self.spread[best] + self.noise[best] / np.maximum(n, 1)))
         # a text without a letter is a single space or nothing
         bare = n <= 1
         names = [UNKNOWN if b else self.languages[k] for b, k in zip(bare, best)]
@@ -263,20 +271,30 @@ def fit(df: DataFrame, key: Column, text: str = "text", lang: str = "lang",
     languages = sorted(counts["lang"].unique())
     size = len(languages)
     grams, logp, backoff, floor = _kneser_ney(counts, languages)
-    model = Model(languages, grams, logp, backoff, floor, np.zeros(size), np.full(size, 0.01), np.full(size, 4.0))
+    model = Model(languages, grams, logp, backoff, floor, np.full(size, np.inf),
+                  np.full(size, 0.01), np.full(size, 4.0), np.full(size, DEVIATIONS))
     shown = rows.where(F.col("calibrate")).select("lang", "text").mapInArrow(
         lambda batches: _calibrate(batches, model), "lang string, n long, entropy double")
     seen = shown.toPandas()
+    short, shown_at = [], {}
     for i, name in enumerate(languages):
         own = seen[(seen["lang"] == name) & (seen["n"] >= 20)]
-        if len(own) < 5:
+        if len(own) < MIN_SHOWN:
             continue
         e, n = own["entropy"].to_numpy(), own["n"].to_numpy()
         model.mean[i] = np.median(e)
         away = (e - model.mean[i]) ** 2
         long = n >= 400
-        model.spread[i] = max(away[long].mean(), 1e-3) if long.any() else 0.01
-        model.noise[i] = max((away[~long] * n[~long]).mean(), 1.0) if (~long).any() else 4.0
+        # the median of squares is 0.455 times the variance of a normal error
+        model.spread[i] = max(np.median(away[long]) / 0.455, 1e-3) if long.any() else 0.01
+        short += (away[~long] * n[~long]).tolist()
+        shown_at[i] = (e, n)
+    # what a single symbol adds, from the short texts of all languages together
+    if len(short) >= MIN_SHOWN:
+        model.noise[:] = max(np.median(short) / 0.455, 1.0)
+    for i, (e, n) in shown_at.items():
+        z = (e - model.mean[i]) / np.sqrt(model.spread[i] + model.noise[i] / n)
+        model.reach[i] = max(DEVIATIONS, 3 * np.quantile(z, 0.9))
     return model
 
 

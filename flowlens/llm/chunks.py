@@ -20,15 +20,15 @@ from .common import written
 from .textbytes import BYTE_VALUES, SpanHasher, column_bytes, slices
 
 #: A cut needs this many zero bits, MIN_CHUNK bytes from the preceding candidate, MAX_CHUNK at most.
-CUT_BITS = 5
-MIN_CHUNK = 24
+CUT_BITS = 4
+MIN_CHUNK = 16
 MAX_CHUNK = 256
 #: Bytes of repeated neighbouring chunks from which a run counts as a passage.
-MIN_RUN = 112
+MIN_RUN = 96
 #: Bits 11 to 15 of the hash depend on the last 16 bytes.
 _REACH = 16
 
-_SCHEMA = "doc_id long, idx long, start long, length int, digest long"
+_SCHEMA = "doc_id long, start long, length int, digest long"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -70,55 +70,61 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0)
         data, offsets = column_bytes(batch.column(1))
         for lo, hi in slices(offsets):
-            rows, idx, start, length, digest = [], [], [], [], []
+            rows, start, length, digest = [], [], [], []
             for i in range(lo, hi):
                 text = data[offsets[i]:offsets[i + 1]]
                 cuts = chunk_starts(text)
                 ends = np.append(cuts[1:], len(text))[:len(cuts)]
                 rows.append(np.full(len(cuts), i))
-                idx.append(np.arange(len(cuts)))
                 start.append(cuts)
                 length.append(ends - cuts)
                 digest.append(hashes(text, cuts, ends).view(np.int64))
             yield pa.RecordBatch.from_arrays([
                 ids.take(pa.array(np.concatenate(rows))),
-                pa.array(np.concatenate(idx), pa.int64()), pa.array(np.concatenate(start), pa.int64()),
+                pa.array(np.concatenate(start), pa.int64()),
                 pa.array(np.concatenate(length).astype(np.int32)), pa.array(np.concatenate(digest))],
-                names=["doc_id", "idx", "start", "length", "digest"])
+                names=["doc_id", "start", "length", "digest"])
 
 
 def document_chunks(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Chunks of every text: doc_id, idx, start, length (bytes), digest."""
+    """Chunks of every text: doc_id, start, length (bytes), digest."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(_chunk_rows, _SCHEMA)
 
 
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
                       min_run: int = MIN_RUN) -> DataFrame:
-    """One row per passage that also stands in another document.
+    """One row per passage, or part of one, that also stands in another document.
 
     Columns: doc_id, start and length (in UTF-8 bytes of the text), n_chunks,
-    first_doc_id (the smallest id that holds the passage's first repeated
-    chunk), kept (true where this is that document; elsewhere the passage is to
-    be cut). Passages of at least ``min_run`` bytes of whole chunks count, the
-    part chunks at both ends not included. Repeats within one document are not
-    reported; rows that share an id are one document. Null and empty texts have
-    no chunks; an empty table gives an empty result. Only ids, places and
-    digests are shuffled; counts are pre-aggregated, and a digest that a third
-    of all documents hold is one row of the aggregate.
+    first_doc_id (the smallest id that holds one of these chunks), kept (true
+    where the chunks occur in this document first, false where they are to be
+    cut). Runs of at least ``min_run`` bytes of whole chunks count, the part
+    chunks at both ends not included; a run of which some chunks occur here
+    first and others elsewhere gives a row for each part. Repeats within one
+    document are not reported; rows that share an id are one document. Null and
+    empty texts have no chunks; an empty table gives an empty result. Only ids,
+    places and digests are shuffled; counts are pre-aggregated, and a digest
+    that a third of all documents hold is one row of the aggregate.
     """
     chunks = written(document_chunks(df, id_col, text))
-    shared = (chunks.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-              .where("lo < hi").select(F.col("digest").alias("__d"), F.col("lo").alias("first")))
-    hits = chunks.join(shared, F.col("digest") == F.col("__d")).select("doc_id", "idx", "start", "length", "first")
-    along = Window.partitionBy("doc_id").orderBy("idx", "start")
-    runs = hits.distinct().withColumn("run", F.col("idx") - F.row_number().over(along))
-    return (runs.groupBy("doc_id", "run").agg(
+    # written: the join is planned by its size, and the rows of a frequent digest can be split
+    shared = written(chunks.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+                     .where("lo < hi").select(F.col("digest").alias("__d"), F.col("lo").alias("first")))
+    hits = chunks.join(shared, F.col("digest") == F.col("__d")).select("doc_id", "start", "length", "first").distinct()
+    # chunks that follow each other have the same start less the lengths before
+    def island(*keys):
+        before = Window.partitionBy("doc_id", *keys).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+        return F.col("start") - F.coalesce(F.sum("length").over(before), F.lit(0))
+
+    runs = (hits.withColumn("run", island())
+            .withColumn("whole", F.sum("length").over(Window.partitionBy("doc_id", "run")))
+            .where(F.col("whole") >= min_run)
+            .withColumn("kept", F.col("first") == F.col("doc_id")))
+    return (runs.withColumn("part", island("run", "kept")).groupBy("doc_id", "run", "kept", "part").agg(
         F.min("start").alias("start"), F.sum("length").alias("length"),
-        F.count(F.lit(1)).alias("n_chunks"), F.min_by("first", "idx").alias("first_doc_id"))
-        .where(F.col("length") >= min_run)
-        .select("doc_id", "start", "length", "n_chunks", "first_doc_id",
-                (F.col("doc_id") == F.col("first_doc_id")).alias("kept")))
+        F.count(F.lit(1)).alias("n_chunks"), F.min("first").alias("first_doc_id"))
+        .select("doc_id", "start", "length", "n_chunks", "first_doc_id", "kept"))
 
 
 def cut_passages(df: DataFrame, passages: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:

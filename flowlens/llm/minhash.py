@@ -222,8 +222,9 @@ def candidate_stars(classes: DataFrame, percent: int) -> DataFrame:
     whole = n <= math.floor((K - 1) * percent / 100)
     t = F.when(whole, F.ceil(n * percent / 100)).otherwise(F.lit(math.floor(SAFE * K * percent / 100)))
     values = classes.select("node", k.alias("k"), (k - t + 1).cast("int").alias("take"), F.explode("sketch").alias("value"))
-    shared = (values.groupBy(F.col("value").alias("v")).agg(F.count(F.lit(1)).alias("members"))
-              .where("members > 1"))
+    # written: the rows of a frequent value can then be split in the join
+    shared = written(values.groupBy(F.col("value").alias("v")).agg(F.count(F.lit(1)).alias("members"))
+                     .where("members > 1"))
     # values of a single class are the rarest and tie nothing: only their number counts
     ranked = (values.join(shared, F.col("value") == F.col("v")).groupBy("node", "k", "take")
               .agg(F.sort_array(F.collect_list(F.struct("members", "value"))).alias("order")))
@@ -282,8 +283,8 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     smallest = (named.join(roots, F.col("node") == F.col("linked"))
                 .groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("smallest")))
     names = roots.join(smallest, F.col("root") == F.col("r")).select("linked", "smallest")
-    labels = named.join(names, F.col("node") == F.col("linked"), "left").select(
-        F.col("node").alias("c"), F.coalesce("smallest", "rep").alias("label"))
+    labels = written(named.join(names, F.col("node") == F.col("linked"), "left").select(
+        F.col("node").alias("c"), F.coalesce("smallest", "rep").alias("label")))
     out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     component = F.coalesce("label", "doc_id")
     return out.join(labels, F.col("node") == F.col("c"), "left").select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.constants import LOGLOSS_EPS, MAX_CM_CLASSES
+from flowlens.constants import LOGLOSS_EPS
 
 
 def argmax(probs: Column) -> Column:
@@ -40,21 +40,20 @@ def pair_counts(scored: DataFrame, by, label: str, pred: str = "pred") -> DataFr
 
 
 def confusion_matrix(scored: DataFrame, by, label: str, num_class: int, pred: str = "pred") -> DataFrame:
-    """Counts over the full K x K grid per group (zeros kept); omitted
-    (no rows) above 30 classes. Labels outside 0..K-1 leave the matrix."""
+    """Counts over the full K x K grid per group (zeros kept), for any K.
+    Labels outside 0..K-1 leave the matrix; a group of such labels only has a
+    grid of zeros."""
     return confusion_from_pairs(pair_counts(scored, by, label, pred), by, num_class)
 
 
 def confusion_from_pairs(pairs: DataFrame, by, num_class: int) -> DataFrame:
     """The K x K grid from (group, y, pred, n) cells in one pass: each group's
-    cells (at most K^2 <= 900 of them) become a map, the grid is generated
-    by ``sequence`` and looked up, so there is no join and no second scan."""
-    if num_class > MAX_CM_CLASSES:
-        return pairs.limit(0)
+    cells (at most K^2 of them) become a map, the grid is generated by
+    ``sequence`` and looked up, so there is no join and no second scan."""
     k = num_class
-    inside = pairs.where((F.col("y") >= 0) & (F.col("y") < k))
-    cells = inside.groupBy(*by).agg(F.map_from_entries(F.collect_list(
-        F.struct((F.col("y") * k + F.col("pred")).alias("c"), F.col("n")))).alias("_m"))
+    inside = (F.col("y") >= 0) & (F.col("y") < k) & (F.col("pred") >= 0) & (F.col("pred") < k)
+    cells = pairs.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.when(inside,
+        F.struct((F.col("y") * k + F.col("pred")).alias("c"), F.col("n"))))).alias("_m"))
     seq = F.sequence(F.lit(0), F.lit(k - 1))
     grid = cells.withColumn("y", F.explode(seq)).withColumn("pred", F.explode(seq))
     return grid.select(*by, "y", "pred",

@@ -13,56 +13,82 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_CHUNKS = 1 << 16
+#: Chunks of an octave (a factor of two) of a score.
+PER_OCTAVE = 1024
+_ZERO_EXP = 1100        # below the exponent of the smallest double
 
 
-def score_chunk(score: Column, chunks: int = DEFAULT_CHUNKS) -> Column:
-    """Chunk of a probability-like score, monotone in the score.
+def _ordered_bits(x: Column, per_octave: int) -> Column:
+    """Exponent and leading fraction bits of a positive double as one integer,
+    monotone in x: chunks are as fine near 0 as the values themselves."""
+    e = F.floor(F.log2(x))
+    return ((e + _ZERO_EXP) * per_octave + F.floor((x / F.pow(F.lit(2.0), e) - 1) * per_octave)).cast("int")
 
-    Scores outside [0, 1] clamp to the end chunks: still correct, only less even.
+
+def score_chunk(score: Column, chunks: int = PER_OCTAVE) -> Column:
+    """Chunk of a score of any shape, monotone in it.
+
+    Scores crowd near 0 and near 1 (saturated probabilities) or around any
+    value (raw margins): chunks follow the binary exponent of the distance to
+    0 below one half, of the distance to 1 from there to 1, and of the value
+    elsewhere, ``chunks`` for each power of two. Their number is bounded by
+    the doubles' exponents.
     """
-    return F.least(F.greatest(F.floor(score * chunks), F.lit(0)), F.lit(chunks - 1)).cast("int")
+    s = score.cast("double")
+    half = (_ZERO_EXP - 1) * chunks
+    return (F.when(s < 0, -_ordered_bits(-s, chunks))
+            .when(s == 0, 0)
+            .when(s <= 0.5, _ordered_bits(s, chunks))
+            .when(s < 1, 2 * half - _ordered_bits(1 - s, chunks))
+            .otherwise(2 * half + _ordered_bits(s, chunks)))
 
 
-def prefix_sums(df: DataFrame, group_cols, chunk: Column, order: Column, sums: dict,
+def prefix_sums(df: DataFrame, group_cols, chunk: Column, order, sums: dict,
                 descending: bool = True) -> DataFrame:
     """Add running totals ``<name>_cum`` (inclusive, in ``order`` direction) and
     group totals ``<name>_total`` for each column in ``sums`` (name -> column).
 
-    ``chunk`` must be monotone in ``order`` (same direction) within a group.
+    ``order`` is a column or a list of columns; ``chunk`` must be monotone in
+    it (same direction) within a group. Nulls in group columns and chunks are
+    values like any other: the key is one struct, and structs with equal nulls
+    are equal, so that no row is lost in the join.
     """
     group_cols = list(group_cols)
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
     base = df.withColumn("_chunk", chunk)
-    tot = base.groupBy(*group_cols, "_chunk").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    key = F.struct(*[F.col(c) for c in group_cols], F.col("_chunk"))
+    base = base.withColumn("_key", key)
+    tot = base.groupBy(*group_cols, "_chunk", "_key").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     ochunk = F.desc("_chunk") if descending else F.asc("_chunk")
     before = Window.partitionBy(*group_cols).orderBy(ochunk).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group_cols)
-    offsets = tot.select(*group_cols, "_chunk",
+    offsets = tot.select("_key",
                          *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
                          *[F.sum(f"_t_{n}").over(whole).alias(f"{n}_total") for n in sums])
     # Explicitly spread by (group, chunk): a hash partitioning on the group
     # alone would also satisfy the window below and put a hot group in one task.
-    joined = base.join(offsets, on=group_cols + ["_chunk"], how="inner") \
-                 .repartition(*[F.col(c) for c in group_cols], F.col("_chunk"))
-    within = (Window.partitionBy(*group_cols, "_chunk")
-              .orderBy(order.desc() if descending else order.asc())
+    joined = base.join(offsets, on="_key", how="inner").repartition("_key")
+    within = (Window.partitionBy("_key")
+              .orderBy(*[o.desc() if descending else o.asc() for o in order])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = joined.withColumns({f"{n}_cum": F.col(f"_o_{n}") + F.sum(c).over(within) for n, c in sums.items()})
-    return out.drop("_chunk", *[f"_o_{n}" for n in sums])
+    return out.drop("_chunk", "_key", *[f"_o_{n}" for n in sums])
 
 
 def cumulative_by_score(df: DataFrame, group_cols, score: str, label: str,
-                        chunks: int = DEFAULT_CHUNKS) -> DataFrame:
+                        chunks: int = PER_OCTAVE) -> DataFrame:
     """Per group and distinct score (descending), positives/negatives at the
     score and at-or-above it.
 
     Output: group cols, ``s``, ``pos``, ``neg``, ``tp`` (= pos_cum), ``fp``,
     ``P``, ``N``. Rows are first grouped by score (map-side partial
-    aggregation), so ties collapse before anything is ordered.
+    aggregation), so ties collapse before anything is ordered. Null groups are
+    groups; rows without a score or a label cannot be ranked and stay out.
     """
     y = F.col(label).cast("long")
-    g = df.groupBy(*group_cols, F.col(score).alias("s")).agg(
-        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
+    g = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+         .groupBy(*group_cols, F.col(score).alias("s")).agg(
+        F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
     out = prefix_sums(g, group_cols, score_chunk(F.col("s"), chunks), F.col("s"),
                       {"pos": F.col("pos"), "neg": F.col("neg")})
     return out.select(*group_cols, "s", "pos", "neg",

@@ -108,27 +108,32 @@ def verdict_export(scored: DataFrame, which: str) -> DataFrame:
     """The allowed (benign) or dropped (malicious) rows for export."""
     if which == "allowed":
         return scored.where(F.col("verdict") == BENIGN).select(
-            "row_id", F.round("prob", 6).alias("probability"), "top_model")
+            "row_id", "verdict", F.round("prob", 6).alias("probability"),
+            F.round("top_model_conf", 6).alias("confidence"), "top_model")
     if which == "dropped":
         return scored.where(F.col("verdict") == MALICIOUS).select(
-            "row_id", F.round("prob", 6).alias("probability"), "variant",
+            "row_id", "verdict", F.round("prob", 6).alias("probability"), "variant",
             F.round("variant_confidence", 4).alias("variant_confidence"), "top_model")
     raise ValueError("which must be 'allowed' or 'dropped'")
 
 
 def histogram(df: DataFrame, value_col: str, bins: int = 20, by=()) -> DataFrame:
-    """Fixed-width bins on [0, 1], 1.0 in the last bin, empty bins as 0.
+    """Fixed-width bins on [0, 1], 1.0 in the last bin, empty bins as 0;
+    null values are in no bin.
 
     One partial aggregate to (group, bin) counts; each group's counts (at most
     ``bins``) become a map and the bins are generated by ``sequence``, so the
     input is read once and nothing is joined.
     """
-    b = F.least(F.floor(F.col(value_col) * bins), F.lit(bins - 1)).cast("int")
+    v = F.col(value_col)
+    b = F.when(v.isNotNull(), F.least(F.floor(v * bins), F.lit(bins - 1))).cast("int")
     counts = df.groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    per = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
+    per = counts.groupBy(*by).agg(F.map_from_entries(F.collect_list(
+        F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("_m"))
     if not by:
         # a global aggregate yields its row even for empty input: all bins 0
-        per = counts.agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_m"))
+        per = counts.agg(F.map_from_entries(F.collect_list(
+            F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("_m"))
     grid = per.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return grid.select(*by, "bin",
                        (F.col("bin") / F.lit(float(bins))).alias("lo"),

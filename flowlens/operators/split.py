@@ -16,18 +16,23 @@ from flowlens.operators.ordered import prefix_sums
 
 
 def hash_order(key: str, seed: str | None = None) -> Column:
-    k = F.col(key).cast("string")
+    # a null key has a place in the order too (that of the empty text)
+    k = F.coalesce(F.col(key).cast("string"), F.lit(""))
     return F.md5(F.concat(F.lit(f"{seed}:"), k) if seed is not None else k)
 
 
 def stratum_position(df: DataFrame, strata, key: str, seed: str | None = None) -> DataFrame:
-    """Add ``pos`` (0-based position in the stratum by hash order) and ``n``."""
+    """Add ``pos`` (0-based position in the stratum by hash order) and ``n``.
+
+    Null strata are strata. Rows that share a key are ordered by a hash of the
+    whole row, so the split does not depend on the run; rows equal in all
+    columns are interchangeable."""
     h = hash_order(key, seed)
-    base = df.withColumn("_h", h)
+    base = df.withColumns({"_h": h, "_tie": F.xxhash64(*df.columns)})
     chunk = F.conv(F.substring(F.col("_h"), 1, 4), 16, 10).cast("int")
-    out = prefix_sums(base, strata, chunk, F.col("_h"), {"_one": F.lit(1)}, descending=False)
+    out = prefix_sums(base, strata, chunk, [F.col("_h"), F.col("_tie")], {"_one": F.lit(1)}, descending=False)
     return out.withColumn("pos", F.col("_one_cum") - 1).withColumnRenamed("_one_total", "n") \
-              .drop("_h", "_one_cum")
+              .drop("_h", "_tie", "_one_cum")
 
 
 def stratified_split(df: DataFrame, strata, key: str, fractions=(0.70, 0.15),
@@ -72,11 +77,7 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
                .where(F.col("_o") < F.lit(n)))
     # at most 65,536 chunk rows: a bounded broadcast
     cand = base.join(F.broadcast(offsets), on="_chunk", how="inner")
-    within = Window.partitionBy("_chunk").orderBy("_h", key)
+    within = Window.partitionBy("_chunk").orderBy("_h", key, F.xxhash64(*df.columns))
     pos = F.col("_o") + F.row_number().over(within) - 1
     return cand.withColumn("_pos", pos).where(F.col("_pos") < F.lit(n)).drop("_h", "_chunk", "_o", "_pos")
 
-
-def stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 42) -> DataFrame:
-    """Stratified Bernoulli sample (``sampleBy``), for sizes beyond a top-n."""
-    return df.sampleBy(label, fractions, seed)

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowlens.constants import LABEL_BINARY, LABEL_COLS, is_leak
+from flowlens.constants import LABEL_BINARY, LABEL_COLS, LEAK_EXACT, LEAK_PREFIX
 from flowlens.functions.clean import col, to_double
 
 
 def non_leak_columns(df: DataFrame) -> list[str]:
-    """Columns that are not leaks (exact names or prefixes)."""
-    return [c for c in df.columns if not is_leak(c)]
+    """Columns that are not leaks: neither one of the exact names nor
+    starting with a leak prefix, in frame order."""
+    leaks = set(LEAK_EXACT)
+    prefixes = (LEAK_PREFIX,) if isinstance(LEAK_PREFIX, str) else tuple(LEAK_PREFIX)
+    leaks.update(c for p in prefixes for c in df.columns if c[:len(p)] == p)
+    return [c for c in df.columns if c not in leaks]
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
@@ -24,7 +28,7 @@ def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
 def feature_columns(df: DataFrame, keys=("row_id",)) -> list[str]:
     """P11 + P2 + P3: numeric, non-leak, non-label, non-key columns in frame order."""
     skip = set(LABEL_COLS) | set(keys)
-    return [c for c in numeric_columns(df) if c not in skip and not is_leak(c)]
+    return [c for c in non_leak_columns(df.select(*[col(n) for n in numeric_columns(df)])) if c not in skip]
 
 
 def distinct_labels(df: DataFrame, label: str, by=()) -> DataFrame:

@@ -23,7 +23,7 @@ P_COLS = [f"p_{m.name}" for m in BIN]
 
 def scored_e(spark: SparkSession, sf: str, rule: str = "mean", threshold: float = 0.5) -> DataFrame:
     """flows_e through both stages, keyed by row_id, with its dataset."""
-    return two_stage(flows_e(spark, sf, parallel=True), BIN, MUL, threshold=threshold,
+    return two_stage(flows_e(spark, sf), BIN, MUL, threshold=threshold,
                      combine_rule=rule, keep=("row_id", "dataset"))
 
 
@@ -242,12 +242,13 @@ def _model_stats_cte() -> str:
 
 
 @query("model_ranking", S.with_(*_s1_sql(), _model_stats_cte()) +
-       "SELECT name, flagged, avg_prob, CAST(row_number() OVER (ORDER BY flagged DESC, name) AS INTEGER) AS rank FROM ms")
+       "SELECT name, flagged, avg_prob, CAST(row_number() OVER (ORDER BY flagged DESC, name) AS INTEGER) AS rank "
+       "FROM ms WHERE flagged > 0")
 def model_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    """Binary models ordered by flagged count, with rank."""
+    """Binary models that flagged rows, ordered by their count, with rank."""
     from flowlens.operators.catalog import model_ranking as rank
     s = predict_binary(flows_e(spark, sf), BIN, keep=("row_id",))
-    return rank(report.model_stats(s, [m.name for m in BIN]))
+    return rank(report.model_stats(s, [m.name for m in BIN]).where(F.col("flagged") > 0))
 
 
 @query("first_rows", S.with_(*_s2_sql()) + f"""SELECT {S.B('row_number() OVER (ORDER BY row_id) - 1')} AS "index",
@@ -275,15 +276,15 @@ def first_per_verdict(spark: SparkSession, sf: str) -> DataFrame:
     return report.first_per_verdict(s).withColumn("pos", F.col("pos").cast("long"))
 
 
-@query("verdict_export", S.with_(*_s2_sql()) + """SELECT row_id, round(prob, 6) AS probability, variant,
+@query("verdict_export", S.with_(*_s2_sql()) + """SELECT row_id, verdict, round(prob, 6) AS probability, variant,
   round(variant_confidence, 4) AS variant_confidence, top_model FROM s2 WHERE verdict = 'MALICIOUS'""")
 def verdict_export(spark: SparkSession, sf: str) -> DataFrame:
     """Dropped (malicious) rows as exported."""
     return report.verdict_export(scored_e(spark, sf), "dropped")
 
 
-@query("verdict_export_allowed", S.with_(*_s1_sql()) + """SELECT row_id, round(prob, 6) AS probability,
-  top_model FROM s1 WHERE verdict = 'BENIGN'""")
+@query("verdict_export_allowed", S.with_(*_s1_sql()) + """SELECT row_id, verdict, round(prob, 6) AS probability,
+  round(top_model_conf, 6) AS confidence, top_model FROM s1 WHERE verdict = 'BENIGN'""")
 def verdict_export_allowed(spark: SparkSession, sf: str) -> DataFrame:
     """Allowed (benign) rows as exported."""
     s = predict_binary(flows_e(spark, sf), BIN, keep=("row_id",))
@@ -326,7 +327,7 @@ L_KEEP = ["dataset"]
 def scored_volume(spark: SparkSession, sf: str) -> DataFrame:
     """flows_l (lineitem volume) through both stages; features the view lacks
     (local_orig, ...) are absent and score as 0.0 (P4)."""
-    return two_stage(flows_l(spark, sf, parallel=True), BIN, MUL, keep=tuple(L_KEEP))
+    return two_stage(flows_l(spark, sf), BIN, MUL, keep=tuple(L_KEEP))
 
 
 def _vol_sql() -> list[str]:

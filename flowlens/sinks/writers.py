@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.constants import BENIGN, LABEL_COLS, MALICIOUS
+from flowlens.constants import LABEL_COLS
 from flowlens.functions.clean import col, to_double, to_label
+from flowlens.operators.report import verdict_export
 
 
 def save_selected(df: DataFrame, features, dst: str, partition_by=("dataset", "split"),
@@ -92,13 +93,4 @@ def save_model(model, dst: str) -> None:
 def export_verdicts(scored: DataFrame, which: str, dst: str) -> None:
     """K8: allowed (benign) or dropped (malicious) rows as CSV; the two exports
     carry different columns."""
-    if which == "allowed":
-        out = scored.where(F.col("verdict") == BENIGN).select("row_id", F.round("prob", 6).alias("probability"),
-                                                             "top_model")
-    elif which == "dropped":
-        out = scored.where(F.col("verdict") == MALICIOUS).select(
-            "row_id", F.round("prob", 6).alias("probability"), "variant",
-            F.round("variant_confidence", 4).alias("variant_confidence"), "top_model")
-    else:
-        raise ValueError("which must be 'allowed' or 'dropped'")
-    out.write.mode("overwrite").option("header", True).csv(dst)
+    verdict_export(scored, which).write.mode("overwrite").option("header", True).csv(dst)

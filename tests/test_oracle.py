@@ -7,11 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from flowlens.plans import queries as Q
 from flowlens.sources.views import TABLES
 from tests.conftest import SF_SMALL
 
-KEYS = list(E.queries())
-ORACLE = E.oracle_sql()
+# the training-data operators have tests of their own
+KEYS = list(Q.queries())
+ORACLE = Q.oracle_sql()
 SLOW = {"select_gain", "train_binary", "feature_importance", "train_multiclass", "train_report"}
 
 

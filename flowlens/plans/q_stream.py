@@ -42,6 +42,16 @@ def stream_totals(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("stream_variant_counts", S.with_(*_s2_sql()) +
+       f"SELECT variant, {S.B('count(*)')} AS n FROM s2 WHERE pred = 1 GROUP BY variant")
+def stream_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """R2: running counts per variant over the arrivals (complete mode)."""
+    out, ckpt = _run_dirs(spark, "variants")
+    scored = R.scored_stream(R.event_stream(spark, sf), BIN, MUL)
+    R.run_complete(R.running_variant_counts(scored), out, ckpt)
+    return spark.read.parquet(out)
+
+
 REQUIRED = ("row_id", "dataset") + LABEL_COLS
 
 
@@ -89,7 +99,7 @@ def report_frame(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("dataset"), F.lit(2).cast("long").alias("num_class"),
                  F.lit(len(FEATURE_CATALOGUE)).cast("long").alias("feature_count"),
                  F.col("train_n").alias("train_rows"),
-                 F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+                 F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
                  F.col("train_class_counts").alias("class_counts_train")).alias("meta"),
         F.struct(F.struct(F.col("test_n").alias("n"), F.col("test_class_counts").alias("class_counts"),
                           F.col("accuracy")).alias("test")).alias("metrics"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowlens.constants import DEFAULT_THRESHOLD
+from flowlens.operators.report import variant_counts
 from flowlens.operators.variants import two_stage
 from flowlens.sources.views import flows_from_events
 
@@ -30,10 +31,12 @@ EVENTS_SCHEMA = T.StructType([
 def event_stream(spark: SparkSession, source_dir: str, file_glob: str = "events*.parquet",
                  max_files: int = 1000) -> DataFrame:
     """Arriving event files as a stream of flow records; ``max_files`` bounds
-    one micro-batch so a backlog is drained in steady, restartable steps."""
-    raw = (spark.readStream.schema(EVENTS_SCHEMA)
-           .option("pathGlobFilter", file_glob).option("maxFilesPerTrigger", max_files)
-           .parquet(source_dir))
+    one micro-batch so a backlog is drained in steady, restartable steps.
+
+    The pattern names files or tables: of a table stored as a folder all part
+    files are read."""
+    raw = (spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", max_files)
+           .parquet(f"{source_dir.rstrip('/')}/{file_glob}"))
     return flows_from_events(raw)
 
 
@@ -59,7 +62,7 @@ def run_scoring(scored: DataFrame, sink_dir: str, checkpoint_dir: str, available
 
 def running_totals(scored: DataFrame) -> DataFrame:
     """R2: total / malicious / benign and threat percentage over all arrivals."""
-    agg = scored.agg(F.count(F.lit(1)).alias("total"), F.sum("pred").cast("long").alias("malicious"))
+    agg = scored.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.sum("pred"), F.lit(0)).cast("long").alias("malicious"))
     return agg.select("total", (F.col("total") - F.col("malicious")).alias("benign"), "malicious",
                       F.coalesce(F.round(F.try_divide(F.col("malicious").cast("double"), F.col("total")) * 100.0, 2),
                                  F.lit(0.0)).alias("threat_pct"))
@@ -67,7 +70,7 @@ def running_totals(scored: DataFrame) -> DataFrame:
 
 def running_variant_counts(scored: DataFrame) -> DataFrame:
     """R2: variant counts over all malicious arrivals."""
-    return scored.where(F.col("pred") == 1).groupBy("variant").agg(F.count(F.lit(1)).alias("n"))
+    return variant_counts(scored)
 
 
 def run_complete(agg: DataFrame, table_dir: str, checkpoint_dir: str, available_now: bool = True):

@@ -4,7 +4,9 @@ one class or the fit fails. Only the ranked name list reaches the driver."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from flowlens.operators.train import importances, label_stats, train_binary
 def select_features(spark: SparkSession, df: DataFrame, candidates, label: str = "y_binary",
                     k: int = 66, sample_size: int = 300_000, key: str = "row_id", seed: int = 42,
                     max_iter: int = 20, depth: int = 6):
-    """Returns (ordered feature names, score table (feature, score, rank, method))."""
+    """Returns (ordered feature names, score table (feature, score, rank, method,
+    fallback_reason: why the gain ranking was not used, else null))."""
     candidates = list(candidates)
     prepared = prepare_features(df, candidates, keep=(key, label))
     # bounded (sample_size rows) and read three times: label check, hold-out cut, fit
@@ -32,7 +35,8 @@ def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter,
     st = label_stats(sample, label)
     method = "gain"
     scores = None
-    if st["classes"] >= 2:
+    reason = "single_class" if st["classes"] < 2 else None
+    if reason is None:
         try:
             cut = SP.stratified_split(sample, [label], key, fractions=(0.8,), names=("fit", "hold"), seed=str(seed))
             fit = train_binary(cut.where(F.col("split") == "fit"), candidates, label,
@@ -41,11 +45,15 @@ def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter,
             if fit.status == "trained":
                 imp = importances(fit.model.model, candidates)
                 scores = spark.createDataFrame([(f, float(v)) for f, v in imp], "feature string, score double")
-        except Exception:  # noqa: BLE001 - any fit failure falls back, as the original does
-            scores = None
+            else:
+                reason = fit.status
+        except (PySparkException, Py4JJavaError, ValueError) as e:
+            # a failed fit falls back to the one-pass score; the reason stays with the ranking
+            reason = f"fit failed: {e}".splitlines()[0][:300]
     if scores is None:
         method = "pointbiserial"
         scores = ST.point_biserial(prepared, candidates, label)
-    ranked = ST.top_k(scores, k).withColumn("method", F.lit(method))
+    ranked = ST.top_k(scores, k).withColumns(
+        {"method": F.lit(method), "fallback_reason": F.lit(reason).cast("string")})
     names = [r["feature"] for r in ranked.orderBy("rank").collect()]   # at most k names
     return names, ranked

@@ -38,16 +38,15 @@ def scored_table(spark: SparkSession, sf: str) -> DataFrame:
 
     The report queries read the scored rows in several branches (counts,
     ranked metrics, multiclass pairs). Rather than re-scanning, re-splitting
-    and re-scoring per branch, the narrow scored table is written once by a
-    reliable ``checkpoint()`` into the session's shared checkpoint folder
-    (``spark.checkpoint.dir``), which also survives executor loss.
+    and re-scoring per branch, the narrow scored table is written once as
+    Parquet into the session's shared folder (``spark.checkpoint.dir``): it
+    survives lost executors, and later reads keep column pruning and filters.
     """
-    from flowlens.session import shared_dir
-    shared_dir(spark, "")   # makes sure the context knows the shared folder
+    from flowlens.session import written
     sc = split_scored(spark, sf)
     keep = ["row_id", "dataset", "split", "y_binary", "y_multiclass", "prob", "pred", "mpred",
             *[prob_col(m.name) for m in BIN]]
-    return sc.select(*keep).checkpoint(eager=True)
+    return written(sc.select(*keep))
 
 
 def catalog(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,26 +247,28 @@ def master_summary(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ A30, A31
 def chosen_threshold_df(spark: SparkSession, sf: str) -> DataFrame:
     sc = scored_table(spark, sf)
-    val = MB.binary_report(sc.where(F.col("split") == "val"), ["dataset"], "prob", "y_binary")
+    # the threshold is applied as it is; only what is shown is rounded
+    val = MB.binary_report(sc.where(F.col("split") == "val"), ["dataset"], "prob", "y_binary", digits=None)
     thr = MB.chosen_threshold(val, ["dataset"])
-    test = sc.where(F.col("split") == "test").join(thr, on="dataset", how="inner")
-    conf = MB.confusion_at(test, ["dataset"], "prob", "y_binary", F.col("chosen_threshold"))
-    return conf.join(thr, on="dataset").select("dataset", "chosen_threshold", "n", "tn", "fp", "fn", "tp",
-                                               "accuracy")
+    parts = sc.where(F.col("split").isin("val", "test")).join(thr, on="dataset", how="inner")
+    conf = MB.confusion_at(parts, ["dataset", "split", "chosen_threshold"], "prob", "y_binary", F.col("chosen_threshold"))
+    return conf.select("dataset", "split", F.round("chosen_threshold", 6).alias("chosen_threshold"),
+                       "n", "tn", "fp", "fn", "tp", "accuracy")
 
 
 @query("chosen_threshold", S.with_(*_base(), "val AS (SELECT * FROM cs WHERE split = 'val')",
                                    *S.ranked_sql("val", ["dataset"], "prob", "y_binary", "v"),
                                    """thr AS (SELECT dataset, CASE WHEN n_pos = 0 OR n_neg = 0 THEN 0.5
-                                        ELSE best_threshold END AS chosen_threshold FROM vm)""",
-                                   f"""k AS (SELECT t.dataset, chosen_threshold, {S.B('count(*)')} AS n,
+                                        ELSE exact_threshold END AS chosen_threshold FROM vm)""",
+                                   f"""k AS (SELECT t.dataset, t.split, chosen_threshold, {S.B('count(*)')} AS n,
       {S.B('sum(CAST(y_binary = 0 AND prob < chosen_threshold AS INTEGER))')} AS tn,
       {S.B('sum(CAST(y_binary = 0 AND prob >= chosen_threshold AS INTEGER))')} AS fp,
       {S.B('sum(CAST(y_binary = 1 AND prob < chosen_threshold AS INTEGER))')} AS fn,
       {S.B('sum(CAST(y_binary = 1 AND prob >= chosen_threshold AS INTEGER))')} AS tp
-      FROM tst t JOIN thr ON t.dataset = thr.dataset GROUP BY t.dataset, chosen_threshold)""") +
-       "SELECT dataset, chosen_threshold, n, tn, fp, fn, tp, round((tn + tp) / n, 6) AS accuracy FROM k")
+      FROM cs t JOIN thr ON t.dataset = thr.dataset WHERE t.split IN ('val', 'test')
+      GROUP BY t.dataset, t.split, chosen_threshold)""") +
+       "SELECT dataset, split, round(chosen_threshold, 6) AS chosen_threshold, n, tn, fp, fn, tp, round((tn + tp) / n, 6) AS accuracy FROM k")
 def chosen_threshold(spark: SparkSession, sf: str) -> DataFrame:
     """Validation best-F1 threshold (0.5 for a one-class validation)
-    and the test confusion at it."""
+    and the validation and test confusion at it."""
     return chosen_threshold_df(spark, sf)

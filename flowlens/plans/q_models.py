@@ -42,7 +42,7 @@ def _fallback_sql() -> str:
                    f"m AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, sum(y * y) AS syy, {sums} FROM fy)",
                    "pb AS (" + " UNION ALL ".join(parts) + ")") + \
         """SELECT feature, score, CAST(row_number() OVER (ORDER BY score DESC, feature) AS INTEGER) AS rank,
-             'pointbiserial' AS method FROM pb ORDER BY score DESC, feature LIMIT 10"""
+             'pointbiserial' AS method, 'single_class' AS fallback_reason FROM pb ORDER BY score DESC, feature LIMIT 10"""
 
 
 @query("select_with_fallback", _fallback_sql())

@@ -140,7 +140,7 @@ def with_(*ctes: str) -> str:
 
 def ranked_sql(src: str, group: list[str], score: str, label: str, p: str) -> list[str]:
     """CTEs ending in ``{p}m``: per group n_pos, n_neg, roc_auc, pr_auc, best_f1,
-    best_threshold, recall_at_fpr_01/005/001 (plain windows per group)."""
+    best_threshold (``exact_threshold``: not rounded), recall_at_fpr_01/005/001 (plain windows per group)."""
     g = ", ".join(group)
     return [
         f"{p}g AS (SELECT {g}, {score} AS s, {B(f'sum({label})')} AS pos, {B(f'sum(1 - {label})')} AS neg "
@@ -155,6 +155,8 @@ def ranked_sql(src: str, group: list[str], score: str, label: str, p: str) -> li
           CASE WHEN P > 0 THEN round(max(2.0 * prec * rec / (prec + rec + 1e-12)), 6) END AS best_f1,
           CASE WHEN P > 0 THEN round(first(s ORDER BY 2.0 * prec * rec / (prec + rec + 1e-12) DESC, s ASC), 6) END
               AS best_threshold,
+          CASE WHEN P > 0 THEN first(s ORDER BY 2.0 * prec * rec / (prec + rec + 1e-12) DESC, s ASC) END
+              AS exact_threshold,
           CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.01 THEN rec END), 0), 6) END AS recall_at_fpr_01,
           CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.005 THEN rec END), 0), 6) END AS recall_at_fpr_005,
           CASE WHEN N > 0 THEN round(coalesce(max(CASE WHEN fpr <= 0.001 THEN rec END), 0), 6) END AS recall_at_fpr_001

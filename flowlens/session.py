@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; local tests override the partition count only.
 DEFAULT_CONF = {
@@ -57,17 +57,23 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the cluster's shared checkpoint folder.
+    """A sub-folder of the cluster's shared folder (``spark.checkpoint.dir``).
 
-    The folder is read from ``spark.checkpoint.dir``; only when the session has
-    none (local tests) is a fresh temporary folder set.
+    Only a local session that names none gets a temporary folder of its own; on
+    a cluster that would be lost to the other machines, so it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    if not name:
-        return base
-    return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+        context.setCheckpointDir(base)
+    return f"{base.rstrip('/')}/{name}" if name else base
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write ``df`` as Parquet in the shared folder and read it back."""
+    path = shared_dir(df.sparkSession, f"flowlens-table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,8 +18,8 @@ def spark():
     # tests run locally: give the session its own shared folder only when unset
     from pyspark.sql import SparkSession
     s = get_session("local[*]", shuffle_partitions=8, extra=extra)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="flowlens-test-"))
+    from flowlens.session import shared_dir
+    shared_dir(s, "")
     yield s
 
 

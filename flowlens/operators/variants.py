@@ -59,7 +59,8 @@ def model_vote(probs: str, model, rank: int) -> Column:
 def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
     """Add ``variant``, ``variant_confidence`` (4 digits) and ``variant_model``.
 
-    Rows with ``pred = 0`` get N/A and 0.0; malicious rows with no usable vote
+    Rows with ``pred = 0`` get N/A and 0.0, and expression models are not
+    evaluated for them; malicious rows with no usable vote
     get Unknown Malware and 0.0. Across models ``greatest`` picks a valid
     vote first, then the highest confidence, then the earlier model in name
     order; every step is a built-in expression inside generated code.
@@ -72,7 +73,7 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
                                    "variant_model": F.lit(None).cast("string")})
     from flowlens.operators.models import Softmax, add_softmax_probs
     soft = [m for m in models if isinstance(m, Softmax)]
-    cur = add_softmax_probs(scored, [(m, probs_col(m.name)) for m in soft]) if soft else scored
+    cur = add_softmax_probs(scored, [(m, probs_col(m.name)) for m in soft], gate=mal) if soft else scored
     for m in models:
         if not isinstance(m, Softmax):
             cur = m.class_probs(cur, probs_col(m.name))

@@ -13,8 +13,10 @@ from flowlens.plans import sqltext as S
 from flowlens.plans.q_catalog import _base as _catalog_base
 from flowlens.plans.q_catalog import scored_table
 from flowlens.plans.q_scoring import BIN, MUL, THREAT_SQL, _s2_sql
+from flowlens.operators.variants import two_stage
 from flowlens.plans.registry import query
 from flowlens.session import shared_dir
+from flowlens.sources.registry import load_models, save_scoring_model
 from flowlens.sources.views import flows_e
 from flowlens.streaming import scoring as R
 
@@ -52,6 +54,16 @@ def stream_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@query("registry_scoring", S.with_(*_s2_sql()) + "SELECT row_id, pred, variant, variant_confidence FROM s2")
+def registry_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Models saved, found and loaded again, then both stages over all flows."""
+    root = shared_dir(spark, f"flowlens-models-{uuid.uuid4().hex[:12]}")
+    for m in [*BIN, *MUL]:
+        save_scoring_model(spark, m, root)
+    first, second = load_models(spark, root, binary={m.name for m in BIN}, multi={m.name for m in MUL})
+    return two_stage(flows_e(spark, sf), first, second).select("row_id", "pred", "variant", "variant_confidence")
+
+
 REQUIRED = ("row_id", "dataset") + LABEL_COLS
 
 

@@ -6,10 +6,13 @@ through Catalyst.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowlens.functions.clean import col
+
 
 def read_flows(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
     """One or more flow files; ``.parquet`` (any case) is Parquet, the
@@ -32,17 +35,41 @@ def read_flows(spark: SparkSession, paths, schema: T.StructType | None = None) -
         r = spark.read.option("header", True)
         r = r.schema(schema) if schema else r.option("inferSchema", True)
         frames.append(r.csv(csv))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
+    return _united(frames)
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    """Union by name; a column whose type differs between the files becomes
+    text, so that a dash in one file doesn't fail the numbers of another."""
+    kinds: dict[str, set] = {}
+    for f in frames:
+        for name, kind in f.dtypes:
+            kinds.setdefault(name, set()).add(kind)
+    mixed = {n for n, k in kinds.items() if len(k) > 1}
+    out = None
+    for f in frames:
+        f = f.select(*[col(n).cast("string").alias(n) if n in mixed else col(n) for n in f.columns])
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
     return out
 
 
 def read_dataset_tree(spark: SparkSession, root: str, file_name: str = "*.parquet") -> DataFrame:
-    """Files under ``root/dataset*/``; the dataset name becomes a column
-    taken from each file's path (not a driver loop over folders)."""
-    df = spark.read.option("pathGlobFilter", file_name).option("recursiveFileLookup", True).parquet(root)
-    ds = F.regexp_extract(F.col("_metadata.file_path"), r"/(dataset[^/]+)/", 1)
+    """Files under ``root/dataset*/``, or the layout that ``save_selected``
+    writes (``root/dataset=<name>/split=<name>/``).
+
+    Folders of the second kind are partitions: ``dataset`` and ``split`` come
+    with them and filters on them prune folders. In the first kind the name of
+    a file's own ``dataset*`` folder becomes the column (the innermost, so the
+    names of parent folders play no part)."""
+    base = root.rstrip("/")
+    reader = spark.read.option("pathGlobFilter", file_name)
+    try:
+        return reader.option("basePath", base).parquet(f"{base}/dataset=*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    df = spark.read.option("pathGlobFilter", file_name).option("recursiveFileLookup", True).parquet(f"{base}/dataset*")
+    ds = F.regexp_extract(F.col("_metadata.file_path"), r".*/(dataset[^/]*)/", 1)
     return df.withColumn("dataset", ds)
 
 

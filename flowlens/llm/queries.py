@@ -110,6 +110,68 @@ FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
 """
 
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_SPACE = r"[\x20\x09-\x0D]+"
+
+ORACLES["op3_minhash_neardup"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (
+  SELECT p.a, p.b FROM p JOIN n x ON p.a = x.doc_id JOIN n y ON p.b = y.doc_id
+  WHERE 100 * p.c >= 80 * (x.n + y.n - p.c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(x, y) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a)
+SELECT r.x AS doc_id, coalesce(max(n.n), 0) AS n_shingles, min(r.y) AS component_id, r.x = min(r.y) AS kept
+FROM r LEFT JOIN n ON r.x = n.doc_id GROUP BY r.x
+"""
+
+ORACLES["op6_line_frequency"] = f"""
+WITH d AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+g AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c
+  FROM (SELECT doc_id, i, array_to_string(ws[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) > 4))),
+rep AS (
+  SELECT doc_id, sum(step) AS n
+  FROM (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS step FROM g WHERE c > 1)
+  GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, source, l, len(regexp_extract_all(l, '{_WORD}')) AS words,
+    trim(regexp_replace(regexp_replace(lower(l), '[0-9]+', '0', 'g'), '{_SPACE}', ' ', 'g'), ' ') AS norm
+  FROM (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS l FROM d)
+  WHERE regexp_matches(l, '{_WORD}')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id),
+freq AS (
+  SELECT source, norm FROM lines JOIN (SELECT source AS s, count(*) AS host_docs FROM d GROUP BY s) h
+    ON source IS NOT DISTINCT FROM h.s
+  GROUP BY source, norm, host_docs
+  HAVING count(DISTINCT doc_id) > {lines.MIN_DOCS} AND count(DISTINCT doc_id) > {lines.MAX_SHARE} * host_docs),
+gone AS (
+  SELECT doc_id, sum(words) AS n FROM lines JOIN freq
+    ON lines.source IS NOT DISTINCT FROM freq.source AND lines.norm = freq.norm GROUP BY doc_id),
+b AS (
+  SELECT d.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '{lines.SYMBOLS}', '', 'g')) AS n_symbols,
+    coalesce(dup.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, len(ws) - coalesce(gone.n, 0) AS n_left
+  FROM d LEFT JOIN dup ON d.doc_id = dup.doc_id LEFT JOIN rep ON d.doc_id = rep.doc_id
+    LEFT JOIN gone ON d.doc_id = gone.doc_id),
+f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND n_left >= {lines.MIN_LEFT} * n_words AS kept, CAST(n_left AS BIGINT) AS n_left
+FROM f
+"""
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

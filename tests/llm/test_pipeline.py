@@ -51,7 +51,7 @@ def test_registered():
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op5_exact_dedup"])
+@pytest.mark.parametrize("name", ["op3_minhash_neardup", "op5_exact_dedup", "op6_line_frequency"])
 def test_sql_forms(docs, name):
     import duckdb
 

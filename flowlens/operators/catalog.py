@@ -151,6 +151,28 @@ def model_ranking(stats: DataFrame, by: str = "flagged") -> DataFrame:
     return stats.withColumn("rank", F.row_number().over(w)).orderBy("rank")
 
 
+#: Failures of an evaluation, in the order in which they are looked for.
+FAILURES = ("missing_model", "missing_feature_list", "missing_test_parquet", "evaluation_failed")
+
+
+def multiclass_master(registry: DataFrame, rows: DataFrame, summary: DataFrame) -> DataFrame:
+    """M10, D5 for multiclass models: one row for every entry of the registry.
+
+    ``registry`` has dataset, has_model and has_features; ``rows`` the test and
+    labelled rows of each dataset (dataset, test_rows, labelled); ``summary``
+    the evaluation of labelled test rows. The first check that fails names the
+    error, and its row has no figures. All tables have one row a dataset.
+    """
+    t = registry.join(rows, "dataset", "left").join(summary.withColumnRenamed("dataset", "_ds"),
+                                                    F.col("dataset") == F.col("_ds"), "left")
+    found = [~F.col("has_model"), ~F.col("has_features"), F.col("test_rows").isNull(),
+             F.coalesce(F.col("labelled"), F.lit(0)) == 0]
+    error = F.coalesce(*[F.when(c, F.lit(name)) for c, name in zip(found, FAILURES)])
+    figures = ("test_rows", "accuracy", "f1_macro", "f1_weighted", "logloss", "probs_mean")
+    return t.withColumn("error", error).select(
+        "dataset", "error", *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in figures])
+
+
 def model_selection(spark: SparkSession, catalog: DataFrame, limit: float = AUC_SELECTION_LIMIT,
                     published=SELECTED_BINARY) -> DataFrame:
     """The selection rule as a query over the metric table, beside the

@@ -7,7 +7,7 @@ partial per partition and merge one row per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlens.constants import (BENIGN, DEFAULT_THRESHOLD, DIST_ROWS_PER_VERDICT, FIRST_ROWS,
@@ -28,6 +28,22 @@ def threat_summary(scored: DataFrame) -> DataFrame:
     )
 
 
+def threat_band(pct: Column) -> Column:
+    """High above 50 percent of threats, medium above 20, else low."""
+    return F.when(pct > 50, "high").when(pct > 20, "medium").otherwise("low")
+
+
+def dataset_threat(scored: DataFrame) -> DataFrame:
+    """A7, A21, F1 for each dataset: totals, threat percentage with its band and
+    one-digit label, and the short dataset name. Null names are a dataset."""
+    agg = scored.groupBy("dataset").agg(F.count(F.lit(1)).alias("total"),
+                                        F.coalesce(F.sum("pred"), F.lit(0)).cast("long").alias("malicious"))
+    pct = F.col("malicious").cast("double") / F.col("total") * 100.0
+    return agg.select("dataset", F.replace("dataset", F.lit("dataset"), F.lit("D")).alias("short"),
+                      "total", (F.col("total") - F.col("malicious")).alias("benign"), "malicious",
+                      F.round(pct, 2).alias("threat_pct"), threat_band(pct).alias("band"))
+
+
 def variant_counts(scored: DataFrame, by=()) -> DataFrame:
     """Rows per variant over all malicious rows (partial aggregation map-side).
 

@@ -244,6 +244,48 @@ def master_summary(spark: SparkSession, sf: str) -> DataFrame:
     return master_summary_df(spark, sf)
 
 
+# ------------------------------------------------------------------ M10, D5: multiclass
+#: What the folders of the multiclass models hold: (dataset, model, feature list).
+#: ``dataset24`` has no rows, ``dataset7`` no labels.
+MULTI_FOLDERS = [(f"dataset{i}", i not in (2, 6), i not in (3, 6)) for i in range(1, 25)]
+UNLABELLED = "dataset7"
+
+
+@query("multiclass_master_summary", S.with_(*_stats_sql(), "fold AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({S.lit(d)}, {str(m).lower()}, {str(f).lower()})" for d, m, f in MULTI_FOLDERS) + """) t(dataset, has_model, has_features))""",
+    f"""ll AS (SELECT dataset, {S.B('count(*)')} AS test_rows,
+      round(sum(-ln(least(greatest(probs[y_multiclass + 1], 1e-15), 1 - 1e-15))) / count(*), 6) AS logloss,
+      round(sum(list_sum(probs) / {K}.0) / count(*), 6) AS probs_mean FROM tst GROUP BY dataset)""",
+    f"""err AS (SELECT fold.dataset, CASE WHEN NOT has_model THEN 'missing_model'
+      WHEN NOT has_features THEN 'missing_feature_list' WHEN ll.dataset IS NULL THEN 'missing_test_parquet'
+      WHEN fold.dataset = {S.lit(UNLABELLED)} THEN 'evaluation_failed' END AS error
+      FROM fold LEFT JOIN ll ON fold.dataset = ll.dataset)""") +
+       """SELECT err.dataset, error, test_rows, accuracy, f1_macro, f1_weighted, logloss, probs_mean
+          FROM err LEFT JOIN ll ON err.dataset = ll.dataset AND error IS NULL
+          LEFT JOIN maf ON err.dataset = maf.dataset AND error IS NULL""")
+def multiclass_master_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Every multiclass folder evaluated on its test split, or
+    the first of four failures."""
+    test = split_scored(spark, sf).where(F.col("split") == "test").drop("pred").withColumnRenamed("mpred", "pred")
+    label = F.when(F.col("dataset") != UNLABELLED, F.col("y_multiclass"))
+    test = test.withColumn("label", label)
+    rows = test.groupBy("dataset").agg(F.count(F.lit(1)).alias("test_rows"), F.count("label").alias("labelled"))
+    summary = MM.eval_summary(test.where(F.col("label").isNotNull()), ["dataset"], "probs", "label", K)
+    folders = spark.createDataFrame(MULTI_FOLDERS, "dataset string, has_model boolean, has_features boolean")
+    return C.multiclass_master(folders, rows, summary)
+
+
+@query("accuracy_ranking", S.with_(*_stats_sql()) + """SELECT dataset AS name,
+    replace(dataset, 'dataset', 'D') AS short, accuracy, dataset IN (SELECT dataset FROM selm) AS selected,
+    CAST(row_number() OVER (ORDER BY accuracy DESC NULLS LAST, dataset) AS INTEGER) AS rank FROM mst""")
+def accuracy_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Multiclass models by test accuracy, with short names and the selected set."""
+    st = C.flag(stats(spark, sf), C.names_table(spark, SELECTED_MULTI), "selected")
+    named = st.select(F.col("dataset").alias("name"), F.replace("dataset", F.lit("dataset"), F.lit("D")).alias("short"),
+                      "accuracy", "selected")
+    return C.model_ranking(named, by="accuracy")
+
+
 # ------------------------------------------------------------------ A30, A31
 def chosen_threshold_df(spark: SparkSession, sf: str) -> DataFrame:
     sc = scored_table(spark, sf)

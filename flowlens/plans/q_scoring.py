@@ -251,6 +251,16 @@ def model_ranking(spark: SparkSession, sf: str) -> DataFrame:
     return rank(report.model_stats(s, [m.name for m in BIN]).where(F.col("flagged") > 0))
 
 
+@query("dataset_threat", S.with_(*_s1_sql()) + f"""SELECT dataset, replace(dataset, 'dataset', 'D') AS short, total,
+  total - malicious AS benign, malicious, round(p, 2) AS threat_pct,
+  CASE WHEN p > 50 THEN 'high' WHEN p > 20 THEN 'medium' ELSE 'low' END AS band
+FROM (SELECT *, {S.D('malicious')} / total * {S.num(100.0)} AS p FROM (SELECT dataset, {S.B('count(*)')} AS total,
+        {S.B('coalesce(sum(pred), 0)')} AS malicious FROM s1 GROUP BY dataset))""")
+def dataset_threat(spark: SparkSession, sf: str) -> DataFrame:
+    """Threat totals of each dataset with band and short name."""
+    return report.dataset_threat(predict_binary(flows_e(spark, sf), BIN, keep=("row_id", "dataset")))
+
+
 @query("first_rows", S.with_(*_s2_sql()) + f"""SELECT {S.B('row_number() OVER (ORDER BY row_id) - 1')} AS "index",
   row_id, round(prob, 6) AS probability, verdict, top_model, round(top_model_conf, 6) AS top_model_conf,
   variant, CASE WHEN pred = 1 THEN round(variant_confidence, 4) ELSE {S.num(0.0)} END AS variant_confidence

@@ -94,3 +94,23 @@ def cumulative_by_score(df: DataFrame, group_cols, score: str, label: str,
     return out.select(*group_cols, "s", "pos", "neg",
                       F.col("pos_cum").alias("tp"), F.col("neg_cum").alias("fp"),
                       F.col("pos_total").alias("P"), F.col("neg_total").alias("N"))
+
+
+#: Groups of the first level of ``first_n``.
+FIRST_GROUPS = 256
+
+
+def first_n(df: DataFrame, n: int, order_col: str, by=()) -> DataFrame:
+    """The first ``n`` rows (of each ``by`` group) in the order of a column.
+
+    Two levels: rows are dealt by a hash of the order column, each group keeps
+    its first n (partially before the shuffle), and one task sees only
+    ``FIRST_GROUPS * n`` rows, whatever the number of input partitions. Ties
+    are broken by a hash of the row.
+    """
+    tie = F.xxhash64(*[c for c in df.columns])
+    dealt = df.withColumns({"_part": F.pmod(F.xxhash64(order_col), F.lit(FIRST_GROUPS)), "_tie": tie})
+    for keys in ([*by, "_part"], list(by)):
+        w = Window.partitionBy(*keys).orderBy(order_col, "_tie")
+        dealt = dealt.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+    return dealt.drop("_part", "_tie")

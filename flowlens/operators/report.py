@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flowlens.constants import (BENIGN, DEFAULT_THRESHOLD, DIST_ROWS_PER_VERDICT, FIRST_ROWS,
                                 MALICIOUS, NO_VARIANT, UNKNOWN_VARIANT)
 from flowlens.operators.ensemble import prob_col
+from flowlens.operators.ordered import first_n
 
 
 def threat_summary(scored: DataFrame) -> DataFrame:
@@ -110,13 +111,12 @@ def first_per_verdict(scored: DataFrame, n: int = DIST_ROWS_PER_VERDICT,
                       order_col: str = "row_id") -> DataFrame:
     """First n probabilities per verdict (the page's capped distribution).
 
-    ``row_number() <= n`` is planned with a partial window group limit before
-    the shuffle, so only n rows per verdict and partition move.
+    Found in two levels (``first_n``): no task merges the first rows of all
+    partitions.
     """
     w = Window.partitionBy("verdict").orderBy(order_col)
-    return (scored.select("verdict", order_col, "prob")
+    return (first_n(scored.select("verdict", order_col, "prob"), n, order_col, by=("verdict",))
             .withColumn("pos", F.row_number().over(w))
-            .where(F.col("pos") <= n)
             .select("verdict", "pos", order_col, F.round("prob", 4).alias("prob")))
 
 

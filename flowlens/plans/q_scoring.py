@@ -13,6 +13,7 @@ from flowlens.operators.ensemble import ordered, predict_binary
 from flowlens.operators.variants import two_stage, usable
 from flowlens.plans import sqltext as S
 from flowlens.plans.fixed_models import BINARY, METRIC_MODELS, MULTI
+from flowlens.operators.ordered import first_n
 from flowlens.plans.registry import query
 from flowlens.sources.views import flows_e, flows_l
 
@@ -269,10 +270,10 @@ def first_rows(spark: SparkSession, sf: str) -> DataFrame:
     """First 500 detail rows in input order.
 
     Scoring is row-local and the order key comes from the raw table, so the
-    first 500 raw rows are taken first (a per-partition top-500 merged once)
-    and only those are scored: 500 rows through both stages, not the table.
+    first 500 raw rows are taken first (in two levels) and only those are
+    scored: 500 rows through both stages, not the table.
     """
-    raw = flows_e(spark, sf).orderBy("row_id").limit(report.FIRST_ROWS)
+    raw = first_n(flows_e(spark, sf), report.FIRST_ROWS, "row_id")
     scored = two_stage(raw, BIN, MUL, keep=("row_id", "dataset"))
     return report.first_rows(scored).withColumn("index", F.col("index").cast("long"))
 

@@ -124,23 +124,23 @@ def test_packing_odd_rows_in_blocks(odd, odd_rows, none):
 @settings(max_examples=40, deadline=None)
 @given(st.lists(st.integers(1, 16), min_size=1, max_size=40))
 def test_sum_of_squares_rule(lengths):
-    """Every piece goes where the sum of squares is smallest, by trying all places."""
+    """Every piece goes to the open sequence with room where the sum of squares
+    becomes smallest, by trying all; to a new one where none has room."""
     seq, offset = pack.sum_of_squares(np.array(lengths), 16)
     free = {}
     for n, s, at in zip(lengths, seq.tolist(), offset.tolist()):
-        def after(space):
+        def after(b):
             counts = defaultdict(int)
-            for v in free.values():
-                counts[v] += 1
-            if space < 16:
-                counts[space] -= 1
-            if space > n:
-                counts[space - n] += 1
+            for k, v in free.items():
+                counts[v - n if k == b else v] += 1
             return sum(v * v for k, v in counts.items() if k)
-        had = free.get(s, 16)
-        assert at == 16 - had and had >= n
-        assert after(had) == min(after(g) for g in {16, *(v for v in free.values() if v >= n)})
-        free[s] = had - n
+        room = [b for b, v in free.items() if v >= n]
+        assert at == 16 - free.get(s, 16)
+        if room:
+            assert s in room and after(s) == min(after(b) for b in room)
+        else:
+            assert s not in free
+        free[s] = free.get(s, 16) - n
 
 
 def test_gear_hash_is_the_rolling_hash():

@@ -74,8 +74,16 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
                         stepSize=step, maxDepth=depth, seed=seed)
     if val is not None:
         gbt = gbt.setValidationIndicatorCol("_val")
-    model = Pipeline(stages=[_assembler(features), gbt]).fit(data)
-    check_vector_width(model.stages[0].transform(data), "features", features)
+    # checked on the schema before anything is fitted; the boosting rounds then
+    # share one assembled input instead of running split and preparation again
+    assembler = _assembler(features)
+    vectors = assembler.transform(data)
+    check_vector_width(vectors, "features", features)
+    vectors = vectors.select("features", "_y", "_w", "_val").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = PipelineModel(stages=[assembler, gbt.fit(vectors)])
+    finally:
+        vectors.unpersist()
     st.update({"scale_pos_weight": spw})
     return FitResult("trained", FittedBinary(name, tuple(features), model), st)
 
@@ -114,8 +122,10 @@ class OneVsRestGBT:
 
 def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *, num_class: int | None = None,
                      algo: str = "gbt_ovr", max_iter: int = 20, step: float = 0.1, depth: int = 6,
-                     subsample: float = 0.8, seed: int = 42):
-    """Multiclass model; classes = max label + 1 unless given."""
+                     subsample: float = 0.8, seed: int = 42, val: DataFrame | None = None):
+    """Multiclass model; classes = max label + 1 unless given. With
+    ``val`` each class's boosting stops early when the validation rows show no
+    more gain."""
     st = label_stats(train, label)
     if st["n"] == 0:
         return FitResult("no_rows", info=st)
@@ -133,8 +143,12 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
     # The K one-vs-rest fits share one assembled input: persisted once (spilling
     # to disk as needed) instead of re-running the upstream plan K times.
     assembler = _assembler(features)
-    assembled = assembler.transform(train).select("features", F.col(label).alias("_label")) \
-                         .persist(StorageLevel.MEMORY_AND_DISK)
+    both = train.withColumn("_val", F.lit(False))
+    if val is not None:
+        both = both.unionByName(val.withColumn("_val", F.lit(True)), allowMissingColumns=True)
+    assembled = assembler.transform(both)
+    check_vector_width(assembled, "features", features)
+    assembled = assembled.select("features", "_val", F.col(label).alias("_label")).persist(StorageLevel.MEMORY_AND_DISK)
     models = []
     try:
         for c in range(k):
@@ -144,6 +158,8 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
             data = assembled.withColumn("_y", (F.col("_label") == c).cast("double"))
             gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, stepSize=step,
                                 maxDepth=depth, subsamplingRate=subsample, seed=seed)
+            if val is not None:
+                gbt = gbt.setValidationIndicatorCol("_val")
             models.append(PipelineModel(stages=[assembler, gbt.fit(data)]))
     finally:
         assembled.unpersist()

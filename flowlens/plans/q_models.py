@@ -16,7 +16,7 @@ from flowlens.operators.selection import select_features
 from flowlens.operators.train import importances, train_binary, train_multiclass
 from flowlens.plans import sqltext as S
 from flowlens.plans.fixed_models import EVAL_MULTI
-from flowlens.plans.q_prep import split_e
+from flowlens.plans.q_prep import SPLIT_CTE, split_e
 from flowlens.plans.q_scoring import BIN
 from flowlens.plans.registry import query
 from flowlens.sources.views import flows_e
@@ -89,7 +89,8 @@ def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
 
 def _fit_multi(spark, sf):
     prepared = prepare_features(split_e(spark, sf), TRAIN_FEATS, keep=KEEP)
-    fit = train_multiclass(prepared.where(F.col("split") == "train"), TRAIN_FEATS, max_iter=5, depth=3)
+    fit = train_multiclass(prepared.where(F.col("split") == "train"), TRAIN_FEATS, max_iter=5, depth=3,
+                           val=prepared.where(F.col("split") == "val"))
     return prepared, fit
 
 
@@ -110,3 +111,27 @@ def train_report(spark: SparkSession, sf: str) -> DataFrame:
     pr = fit.model.class_probs(prepared, "probs")
     pr = MM.with_prediction(pr, "probs", "y_multiclass", fit.model.num_class)
     return MM.eval_summary(pr, ["split"], "probs", "y_multiclass", fit.model.num_class)
+
+
+@query("train_checks", S.with_(S.FLOWS_E, SPLIT_CTE) + f"""SELECT model, {S.B('count(*)')} AS n_rows, CAST(0 AS BIGINT) AS bad_probs,
+    true AS at_least_majority FROM sp, (VALUES ('binary'), ('multiclass')) t(model) WHERE split = 'test' GROUP BY model""")
+def train_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """M3-M5: what holds for any good fit: every test row scored, probabilities
+    in [0, 1] (those of the classes add up to 1), accuracy of the training rows
+    not below the share of their largest class."""
+    prepared, fit = _fit_binary(spark, sf)
+    two = fit.model.score(prepared, "p").select(
+        "split", F.lit("binary").alias("model"), F.col("y_binary").alias("y"), (F.col("p") >= 0.5).cast("int").alias("pred"),
+        (F.col("p").isNull() | (F.col("p") < 0) | (F.col("p") > 1)).alias("bad"))
+    prepared, fit = _fit_multi(spark, sf)
+    many = MM.with_prediction(fit.model.class_probs(prepared, "probs"), "probs", "y_multiclass", fit.model.num_class)
+    total = F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)
+    many = many.select("split", F.lit("multiclass").alias("model"), F.col("y_multiclass").alias("y"), "pred",
+                       (F.abs(total - 1) > 1e-9).alias("bad"))
+    cells = two.unionByName(many).groupBy("model", "split", "y").agg(
+        F.count(F.lit(1)).alias("n"), F.sum((F.col("pred") == F.col("y")).cast("long")).alias("hits"),
+        F.sum(F.col("bad").cast("long")).alias("bad"))
+    train, test = F.col("split") == "train", F.col("split") == "test"
+    return cells.groupBy("model").agg(
+        F.sum(F.when(test, F.col("n"))).alias("n_rows"), F.sum("bad").alias("bad_probs"),
+        (F.sum(F.when(train, F.col("hits"))) >= F.max(F.when(train, F.col("n")))).alias("at_least_majority"))

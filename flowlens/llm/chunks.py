@@ -24,7 +24,7 @@ CUT_BITS = 4
 MIN_CHUNK = 16
 MAX_CHUNK = 256
 #: Bytes of repeated neighbouring chunks from which a run counts as a passage.
-MIN_RUN = 96
+MIN_RUN = 144
 #: Bits 11 to 15 of the hash depend on the last 16 bytes.
 _REACH = 16
 

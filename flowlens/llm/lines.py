@@ -16,7 +16,7 @@ from .common import WORD, let, written
 
 MAX_SHARE = 0.01
 MIN_DOCS = 10
-MIN_LEFT = 0.3
+MIN_LEFT = 0.2
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5

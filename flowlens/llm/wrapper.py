@@ -34,8 +34,12 @@ MIN_PAGES = 4
 #: Constant text may be this share of a content slot's text; beyond it the
 #: references are copies of one article and nothing in the slot is template.
 MAX_TEMPLATE = 0.4
-#: Longest child sequences that are aligned exactly; longer ones match by order.
+#: Share of link text from which a list or block counts as links.
 LINK_SHARE = 0.6
+#: Cells of an alignment table; beyond it children match greedily in order.
+EXACT_CELLS = 250_000
+#: Elements nested deeper become leaves of their parent.
+MAX_DEPTH = 150
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -61,7 +65,7 @@ MARKS = frozenset("ad ads adv advert advertisement adverts banner sponsor sponso
                   "complementary contentinfo pagination pager skip".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s>/]*)[^>]*(?:>|\Z)"
-                   r"|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+                   r"|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 SPACES = re.compile(r"\s+")
 
@@ -116,7 +120,7 @@ def parse(page: str) -> Node:
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
-            elif tag not in VOID and not m[3].endswith("/"):
+            elif tag not in VOID and not m[3].endswith("/") and len(stack) < MAX_DEPTH:
                 stack.append(node)
     return root
 
@@ -169,6 +173,8 @@ class Slot:
 def matching(left: list, right: list, weight) -> list[tuple[int, int]]:
     """Simple tree matching of two ordered child lists: the pairs (i, j) of an
     order-keeping matching of the largest total weight (0: not the same kind)."""
+    if len(left) * len(right) > EXACT_CELLS:
+        return _in_order(left, right)
     table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     own = [[weight(a, b) for b in right] for a in left]
     for i in range(len(left) - 1, -1, -1):
@@ -188,6 +194,21 @@ def matching(left: list, right: list, weight) -> list[tuple[int, int]]:
     return pairs
 
 
+def _in_order(left: list, right: list) -> list[tuple[int, int]]:
+    """Slots and groups of the same signature, each taken at the first place
+    after the one before it: for child lists too long for the table."""
+    places: dict[str, list[int]] = {}
+    for i, slot in enumerate(left):
+        places.setdefault(slot.sign, []).append(i)
+    pairs, last = [], -1
+    for j, group in enumerate(right):
+        i = next((i for i in places.get(group[0], ()) if i > last), None)
+        if i is not None:
+            pairs.append((i, j))
+            last = i
+    return pairs
+
+
 def likeness(slot: Slot, group: tuple[str, list[Node]], depth: int = 3) -> int:
     """Matched nodes of a slot and a page's group: 0 for another kind, else 1 and
     those of the children (down to a depth, which bounds the work)."""

@@ -65,6 +65,16 @@ def test_odd_markup(page, text):
 
 def test_deep_nesting_does_not_fail():
     assert extract("<div>" * 300 + "x", None) == "x"
+    deep = "<div>" * 20_000 + "x" + "</div>" * 20_000 + "<p>y"
+    assert extract(deep, _Known(induce([deep, deep + "z", deep + "w"]))) == "x y"
+
+
+def test_very_many_different_children():
+    pages = ["".join(f"<div class='{'abcdefgh'[k % 8] * (k // 8 + 1)}'>text {k} {v}</div>" for k in range(1200))
+             for v in range(3)]
+    got = extract(pages[0], _Known(induce(pages)))
+    assert got == " ".join(f"text {k} 0" for k in range(1200))
+    assert extract("<a b='" * 50_000, None) is not None
 
 
 def test_matching_is_the_best_order_keeping_one():

@@ -382,8 +382,9 @@ def wrappers(df: DataFrame, id_col: str = "page_id", url: str = "url", html: str
            .withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= REFERENCES)
            .groupBy(F.col("host").alias("top_host")).agg(F.max("h").alias("top")))
     top = written(top)
-    chosen = pages.join(top, (F.col("host") == F.col("top_host")) & (F.col("h") <= F.col("top"))).select(
-        "host", "h", "html")
+    # rows that repeat a page collapse before they meet: a host's group has few rows
+    chosen = (pages.join(top, (F.col("host") == F.col("top_host")) & (F.col("h") <= F.col("top")))
+              .groupBy("host", "h").agg(F.min("html").alias("html")))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         texts = rows.sort_values(["h", "html"])["html"].drop_duplicates().tolist()[:REFERENCES]

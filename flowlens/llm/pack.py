@@ -29,7 +29,7 @@ LENGTH = 1024
 END_ID = 2
 BLOCK = 100_000
 #: Cuts whose ids a task remembers.
-MEMORY = 400_000
+MEMORY = 800_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -53,15 +53,20 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[int, int] = {}
+        #: sorted hashes of the cuts met, and the place of each in starts and counts
+        self.known = np.zeros(0, np.uint64)
+        self.place = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def _learn(self, keys: list[int], cuts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, cuts: list[str]) -> None:
+        """Remember new cuts; their hashes are sorted and not known yet."""
         ids = [e.ids for e in self.tokenizer.encode_batch(cuts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.index.update(zip(keys, range(len(self.index), len(self.index) + len(keys))))
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.place = np.insert(self.place, at, len(self.starts) + np.arange(len(hashes)))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
         self.counts = np.concatenate([self.counts, counts])
         self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum()))])
@@ -70,7 +75,7 @@ class Encoder:
         """(ids, offsets) of the texts data[offsets[i]:offsets[i + 1]]."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if len(self.index) > MEMORY:
+        if len(self.known) > MEMORY:
             self._forget()
         space = SPACE[data]
         cut = np.zeros(len(data), bool)
@@ -78,16 +83,17 @@ class Encoder:
         cut[offsets[:-1][offsets[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(data))
-        different, first, at = np.unique(self.hashes(data, starts, ends), return_index=True, return_inverse=True)
-        known = [self.index.get(k, -1) for k in different.tolist()]
-        known = np.array(known)
-        new = np.flatnonzero(known < 0)
+        different, first, which = np.unique(self.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, different)
+        new = np.arange(len(different))
+        if len(self.known):
+            new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != different)
         if len(new):
-            raw, base = data.tobytes(), len(self.index)
+            raw = data.tobytes()
             spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
-            self._learn(different[new].tolist(), [raw[a:b].decode() for a, b in spans])
-            known[new] = np.arange(base, base + len(new))
-        at = known[at]
+            self._learn(different[new], [raw[a:b].decode() for a, b in spans])
+            at = np.searchsorted(self.known, different)
+        at = self.place[at][which]
         counts = self.counts[at]
         upto = np.concatenate([[0], np.cumsum(counts)])
         places = np.arange(upto[-1]) + np.repeat(self.starts[at] - upto[:-1], counts)

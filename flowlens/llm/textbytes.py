@@ -78,7 +78,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, limit: int = 4 * WINDOW) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, limit: int = 2 * WINDOW) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``limit`` bytes, or a single row."""
     i, n = 0, len(offsets) - 1
     while i < n:

@@ -165,8 +165,12 @@ def _learning_rows(df: DataFrame, text: str, lang: str, key: Column, max_docs: i
 
     keyed = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
-    ranked = keyed.select("lang", "h").withColumn(
-        "n", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("n") <= max_docs)
+    # in two steps: a language of a third of all rows is ranked by many tasks first
+    def lowest(rows: DataFrame, *parts) -> DataFrame:
+        return rows.withColumn("n", F.row_number().over(Window.partitionBy("lang", *parts).orderBy("h"))).where(
+            F.col("n") <= max_docs).drop("n")
+
+    ranked = lowest(lowest(keyed.select("lang", "h").withColumn("part", F.pmod("h", F.lit(64))), "part"))
     top = ranked.groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("top"))
     return keyed.join(F.broadcast(top), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top"))).select(
         "lang", "text", (F.pmod("h", F.lit(CALIBRATION)) == 0).alias("calibrate"))

@@ -1,41 +1,45 @@
 """Main-text extraction by wrapper induction.
 
-For each host a bounded number of reference pages is parsed into DOM trees and
-aligned one after another by simple tree matching. The merged tree knows, for
-each slot, in how many references it occurs and which texts it held. Slots
-whose text is the same in nearly all references are template; varying slots are
-content unless they are links or stand in page furniture (navigation, footers,
-adverts, forms and so on), judged by the merged evidence of all references.
-Every page is then aligned with its host's wrapper, which decides for each
-matched node; nodes without a match are decided as their parent is.
-
-A run of siblings with the same tag and class is one repeated slot.
+Every page is parsed into a DOM tree; its elements are slots, named by the path
+of signatures from the root (siblings with the same tag and class are one
+repeated slot). A host's wrapper comes from all its pages: for each slot, in how
+many different pages it occurs, which texts it held in how many of them, and how
+much of it is links. Texts that nearly all pages of a slot hold are template;
+varying slots are content unless they are links or stand in page furniture
+(navigation, footers, adverts, forms and so on).
+
+Pages of a host can have several layouts, so slots are counted three times: over
+the host, and over the pages with the same elements in the upper levels (two
+depths). A text is template where one of these says so, and the finest one with
+enough pages decides on links.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
-import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-#: Reference pages of a host (those with the lowest hashes; equal pages count once).
-REFERENCES = 8
-#: A text is constant when in this share of at least MIN_PAGES references.
+#: A text is constant when in this share of a slot's pages, which are MIN_PAGES or more (equal pages count once).
 CONSTANT = 0.8
 MIN_PAGES = 4
 #: Constant text may be this share of a content slot's text; beyond it the
-#: references are copies of one article and nothing in the slot is template.
+#: pages are copies of one article and nothing in the slot is template.
 MAX_TEMPLATE = 0.4
+#: Constant text may be this share of a layout's text; beyond it the layout is
+#: that of copies of one page, and only the other counts decide.
+MAX_CONSTANT = 0.5
 #: Share of link text from which a list or block counts as links.
 LINK_SHARE = 0.6
+#: Levels of the tree whose elements outside the main element tell layouts apart.
+LAYOUT_DEPTHS = (3, 5)
 #: Cells of an alignment table; beyond it children match greedily in order.
 EXACT_CELLS = 250_000
 #: Elements nested deeper become leaves of their parent.
@@ -129,47 +133,6 @@ def clean(text: str) -> str:
     return SPACES.sub(" ", entities.unescape(text)).strip()
 
 
-def slots(node: Node) -> list[tuple[str, list[Node]]]:
-    """Children grouped to repeated slots: signature and members, in order of first sight."""
-    out: dict[str, list[Node]] = {}
-    for child in node.children:
-        if isinstance(child, Node) and child.tag not in RAW and child.tag not in VOID:
-            out.setdefault(child.sign, []).append(child)
-    return list(out.items())
-
-
-def own_texts(node: Node) -> list[str]:
-    """The node's own text runs, inline elements included, cut at breaks and blocks."""
-    runs: list[list[str]] = [[]]
-
-    def walk(x: Node) -> None:
-        for child in x.children:
-            if isinstance(child, str):
-                runs[-1].append(child)
-            elif child.tag in INLINE and child.tag != "a" and not child.marked and not has_block(child):
-                walk(child)
-            else:
-                runs.append([])
-
-    walk(node)
-    return [t for t in (clean("".join(r)) for r in runs) if t]
-
-
-def has_block(node: Node) -> bool:
-    return any(isinstance(c, Node) and (c.tag not in INLINE or has_block(c)) for c in node.children)
-
-
-class Slot:
-    """A node of the merged tree of a host."""
-
-    __slots__ = ("sign", "tag", "marked", "pages", "texts", "chars", "links", "children")
-
-    def __init__(self, sign: str, tag: str, marked: bool):
-        self.sign, self.tag, self.marked = sign, tag, marked
-        self.pages, self.texts, self.chars, self.links = 0, {}, 0, 0
-        self.children: list[Slot] = []
-
-
 def matching(left: list, right: list, weight) -> list[tuple[int, int]]:
     """Simple tree matching of two ordered child lists: the pairs (i, j) of an
     order-keeping matching of the largest total weight (0: not the same kind)."""
@@ -209,155 +172,183 @@ def _in_order(left: list, right: list) -> list[tuple[int, int]]:
     return pairs
 
 
-def likeness(slot: Slot, group: tuple[str, list[Node]], depth: int = 3) -> int:
-    """Matched nodes of a slot and a page's group: 0 for another kind, else 1 and
-    those of the children (down to a depth, which bounds the work)."""
-    if slot.sign != group[0]:
-        return 0
-    if depth == 0 or not slot.children:
-        return 1
-    below = {c.sign for c in slot.children}
-    if not any(isinstance(c, Node) and c.sign in below for c in group[1][0].children):
-        return 1
-    inner = slots(group[1][0])
-    pairs = matching(slot.children, inner, lambda a, b: likeness(a, b, depth - 1))
-    return 1 + sum(likeness(slot.children[i], inner[j], depth - 1) for i, j in pairs)
-
-
-def link_text(node: Node, inside: bool = False) -> tuple[int, int]:
-    """(characters, characters in links) of a subtree."""
-    inside = inside or node.tag == "a"
-    chars = links = 0
-    for c in node.children:
-        if isinstance(c, str):
-            chars += len(c)
-            links += len(c) if inside else 0
-        elif c.tag not in RAW:
-            a, b = link_text(c, inside)
-            chars, links = chars + a, links + b
-    return chars, links
-
-
-def merge(slot: Slot, members: list[Node]) -> None:
-    """Add one page's nodes of a slot to the merged tree."""
-    slot.pages += 1
-    for text in {t for m in members for t in own_texts(m)}:
-        slot.texts[text] = slot.texts.get(text, 0) + 1
-    for m in members:
-        chars, links = link_text(m)
-        slot.chars += chars
-        slot.links += links
-    for m in members if len(members) > 1 else members[:1]:
-        groups = slots(m)
-        pairs = dict((j, i) for i, j in matching(slot.children, groups, likeness))
-        at, fresh = 0, []
-        for j, group in enumerate(groups):
-            if j in pairs:
-                at = pairs[j] + 1
-                merge(slot.children[pairs[j]], group[1])
+def digest(*parts: object) -> int:
+    """A signed 64-bit hash of the parts."""
+    raw = "\0".join(map(str, parts)).encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
+class Slot:
+    """A slot of a page: path hash, parent (None for the root), characters and those in links."""
+
+    __slots__ = ("path", "tag", "parent", "depth", "main", "off", "chars", "links", "below", "texts")
+
+    def __init__(self, path: int, tag: str, parent: Slot | None, main: bool, off: bool):
+        self.path, self.tag, self.parent, self.main, self.off = path, tag, parent, main, off
+        self.depth = parent.depth + 1 if parent else 0
+        self.chars, self.links, self.below, self.texts = 0, 0, {}, {}
+
+    def dense(self) -> bool:
+        """Whether the slot is links by this page alone."""
+        return is_links(self.chars, self.links)
+
+
+def is_links(chars: float, links: float) -> bool:
+    return chars > 0 and links > LINK_SHARE * chars
+
+
+#: Elements that can be judged as links.
+BLOCKS = frozenset("ul ol div section table nav p li".split())
+
+
+class Page:
+    """A parsed page: its slots (parents first), the blocks of text outside
+    furniture in order, as (slot, text), and its layouts, the host's (0) first."""
+
+    def __init__(self, page: str):
+        root = Slot(digest("#root"), "#root", None, False, False)
+        self.slots, self.blocks = [root], []
+        self._walk(parse(page), root)
+        for slot in reversed(self.slots[1:]):
+            slot.parent.chars += slot.chars
+            slot.parent.links += slot.chars if slot.tag == "a" else slot.links
+        upper = [s for s in self.slots if not s.off and not s.main and s.tag not in INLINE]
+        self.layouts = [0, *(digest(k, *sorted(s.path for s in upper if s.depth <= k)) for k in LAYOUT_DEPTHS)]
+        for slot, text in self.blocks:
+            slot.texts[digest(text)] = len(text)
+
+    def _walk(self, tree: Node, root: Slot) -> None:
+        run: list[str] = []
+
+        def flush(slot: Slot) -> None:
+            text = clean("".join(run))
+            run.clear()
+            if text:
+                self.blocks.append((slot, text))
+
+        # (children left, slot, slot of the block around)
+        stack = [(iter(tree.children), root, root)]
+        while stack:
+            children, slot, block = stack[-1]
+            for child in children:
+                if isinstance(child, str):
+                    slot.chars += len(child)
+                    if not slot.off:
+                        run.append(child)
+                    continue
+                if child.tag in RAW:
+                    continue
+                if child.tag in VOID:
+                    if child.tag != "wbr" and not slot.off:
+                        flush(block)
+                    continue
+                inner = slot.below.get(child.sign)
+                if inner is None:
+                    off = slot.off or child.tag in FURNITURE or child.marked or child.tag == "header" and not slot.main
+                    inner = Slot(digest(slot.path, child.sign), child.tag, slot, slot.main or child.tag in MAIN, off)
+                    slot.below[child.sign] = inner
+                    self.slots.append(inner)
+                inline = child.tag in INLINE
+                if not inline and not slot.off:
+                    flush(block)
+                stack.append((iter(child.children), inner, block if inline else inner))
+                break
+            else:
+                stack.pop()
+                if slot is block and not slot.off:
+                    flush(block)
+
+    def counts(self) -> Iterator[tuple]:
+        """(layout, slot, text, characters, those in links, characters of texts,
+        links by this page, main) of each slot (text null) and each text of it
+        (the rest of the row only has its characters)."""
+        for slot in self.slots:
+            if slot.off or not slot.texts and slot.tag not in BLOCKS:
+                continue
+            dense = int(slot.dense()) if slot.tag in BLOCKS else None
+            for layout in self.layouts:
+                yield layout, slot.path, None, slot.chars, slot.links, sum(slot.texts.values()), dense, int(slot.main)
+                for text, size in slot.texts.items():
+                    yield layout, slot.path, text, 0, 0, size, None, None
+
+
+def induce(pages: list[str]) -> list[str]:
+    """The wrapper of a host from all its pages, in one process (``wrappers`` does
+    the same for a table): the entries that ``_Known`` reads."""
+    slots: dict[tuple, list] = {}
+    texts: dict[tuple, list] = {}
+    for page in dict.fromkeys(pages):
+        for layout, path, text, chars, links, size, dense, main in Page(page).counts():
+            if text is None:
+                s = slots.setdefault((layout, path), [0, 0, 0, 0, set(), main])
+                s[:4] = s[0] + 1, s[1] + chars, s[2] + links, s[3] + size
+                s[4] |= {dense}
             else:
-                new = Slot(group[0], group[1][0].tag, group[1][0].marked)
-                merge(new, group[1])
-                fresh.append((at, len(fresh), new))
-        for place, _, new in sorted(fresh, key=lambda x: (-x[0], -x[1])):
-            slot.children.insert(place, new)
-
-
-def induce(pages: list[str]) -> dict:
-    """The wrapper of a host from its reference pages, as a JSON-ready tree of
-    {s: signature, v: verdict, t: template texts, c: children}."""
-    root = Slot("#root", "#root", False)
-    for page in pages:
-        merge(root, [parse(page)])
-    return _decide(root, "", False)
-
-
-def _decide(slot: Slot, verdict: str, in_main: bool) -> dict:
-    """Verdict of a slot: ``main``, ``off`` (furniture) or empty (as it comes)."""
-    main = in_main or slot.tag in MAIN
-    dense = slot.links > LINK_SHARE * slot.chars and slot.chars > 0 and slot.tag not in MAIN and slot.tag in (
-        "ul", "ol", "div", "section", "table", "nav", "p", "li")
-    furniture = slot.tag in FURNITURE or slot.marked or dense or (slot.tag == "header" and not in_main)
-    verdict = "off" if verdict == "off" or furniture else "main" if main else verdict
-    template = []
-    if verdict != "off" and slot.pages >= MIN_PAGES:
-        template = [t for t, n in slot.texts.items() if n >= CONSTANT * slot.pages]
-        weight = sum(len(t) * slot.texts[t] for t in template)
-        if weight > MAX_TEMPLATE * sum(len(t) * n for t, n in slot.texts.items()) and in_main:
-            template = []
-    out = {"s": slot.sign}
-    if verdict:
-        out["v"] = verdict
-    if template:
-        out["t"] = sorted(template)
-    if slot.children and verdict != "off":
-        out["c"] = [_decide(c, verdict, main) for c in slot.children]
-    return out
+                t = texts.setdefault((layout, path, text), [0, 0])
+                t[:] = t[0] + 1, t[1] + size
+    out = []
+    for (layout, path), (n, chars, links, *_) in slots.items():
+        if len(slots[0, path][4]) > 1 and (layout == 0 or n >= MIN_PAGES):
+            out.append(f"{layout}:{path}:{'+' if is_links(chars, links) else '-'}")
+    template: dict[tuple, list] = {}
+    for (layout, path, text), (n, size) in texts.items():
+        of = slots[layout, path]
+        if of[0] >= MIN_PAGES and n >= CONSTANT * of[0]:
+            template.setdefault((layout, path), []).append((text, size))
+    total: dict[int, list] = {}
+    for (layout, path), s in slots.items():
+        t = total.setdefault(layout, [0, 0])
+        t[:] = t[0] + s[3], t[1] + sum(size for _, size in template.get((layout, path), ()))
+    for (layout, path), found in template.items():
+        s = slots[layout, path]
+        if s[5] and sum(size for _, size in found) > MAX_TEMPLATE * s[3]:
+            continue
+        if layout and total[layout][1] > MAX_CONSTANT * total[layout][0]:
+            continue
+        out += [f"{layout}:{path}:{text}" for text, _ in found]
+    return sorted(out)
 
 
 class _Known:
-    """A wrapper node in the form that ``likeness`` aligns."""
+    """A wrapper: template texts as (layout, slot, text), and link verdicts of
+    (layout, slot) where the pages of a host differ."""
 
-    __slots__ = ("sign", "verdict", "template", "children")
+    __slots__ = ("template", "links")
 
-    def __init__(self, data: dict):
-        self.sign, self.verdict = data["s"], data.get("v", "")
-        self.template = frozenset(data.get("t", ()))
-        self.children = [_Known(c) for c in data.get("c", ())]
+    def __init__(self, entries: list[str]):
+        self.template, self.links = set(), {}
+        for entry in entries:
+            layout, path, what = entry.split(":")
+            if what in "+-":
+                self.links[int(layout), int(path)] = what == "+"
+            else:
+                self.template.add((int(layout), int(path), int(what)))
 
 
 def extract(page: str, wrapper: _Known | None) -> str:
     """The main text of a page: blocks in order, joined by one space.
 
-    Where the wrapper or the page has a main element, only its text counts.
+    Where the page has a main element, only its text counts.
     """
-    root = parse(page)
-    blocks: list[tuple[bool, str]] = []
-    run: list[str] = []
-
-    def flush(main: bool, template: frozenset) -> None:
-        text = clean("".join(run))
-        run.clear()
-        if text and text not in template:
-            blocks.append((main, text))
-
-    def walk(node: Node, known: _Known | None, main: bool, template: frozenset) -> None:
-        below = {}
-        if known is not None and known.children:
-            groups = slots(node)
-            for i, j in matching(known.children, groups, likeness):
-                for member in groups[j][1]:
-                    below[id(member)] = known.children[i]
-        for child in node.children:
-            if isinstance(child, str):
-                run.append(child)
-                continue
-            if child.tag in RAW:
-                continue
-            if child.tag in VOID:
-                if child.tag != "wbr":
-                    flush(main, template)
+    tree = Page(page)
+    fine = tree.layouts[::-1]
+    off: dict[int, bool] = {}
+    for slot in tree.slots:
+        links = False
+        if slot.tag in BLOCKS and not slot.off:
+            known = wrapper.links if wrapper else {}
+            links = next((known[k, slot.path] for k in fine if (k, slot.path) in known), slot.dense())
+        off[id(slot)] = slot.off or links or bool(slot.parent) and off[id(slot.parent)]
+    template = wrapper.template if wrapper else ()
+    blocks = []
+    for slot, text in tree.blocks:
+        if off[id(slot)]:
+            continue
+        if template:
+            hashed = digest(text)
+            if any((k, slot.path, hashed) in template for k in fine):
                 continue
-            match = below.get(id(child))
-            verdict = match.verdict if match else ""
-            off = verdict == "off" or not match and (
-                child.tag in FURNITURE or child.marked or child.tag == "header" and not main)
-            inline = child.tag in INLINE
-            if off:
-                if not inline:
-                    flush(main, template)
-                continue
-            inner = main or verdict == "main" or child.tag in MAIN
-            if inline:
-                walk(child, match, inner, template | match.template if match else template)
-            else:
-                flush(main, template)
-                own = match.template if match else frozenset()
-                walk(child, match, inner, own)
-                flush(inner, own)
-
-    walk(root, wrapper, False, frozenset())
-    flush(False, frozenset())
+        blocks.append((slot.main, text))
     if any(main for main, _ in blocks):
         blocks = [b for b in blocks if b[0]]
     return " ".join(text for _, text in blocks)
@@ -369,29 +360,67 @@ def host_of(url: "F.Column"):
     return F.when(host != "", F.lower(host))
 
 
-def wrappers(df: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(wrapper_host, wrapper as JSON text) of every host.
+_COUNTS = "host string, layout long, slot long, text long, n double, chars double, links double, size double, dense int, main int"
 
-    References are the pages with the lowest hashes of a host; a host's
-    threshold is found on ids alone, so only references move.
-    """
-    pages = df.where(F.col(html).isNotNull()).select(
-        host_of(F.col(url)).alias("host"), F.xxhash64(F.col(id_col), F.col(url)).alias("h"), F.col(html).alias("html"))
-    lowest = Window.partitionBy("host").orderBy("h")
-    top = (pages.select("host", "h").where(F.col("host").isNotNull())
-           .withColumn("n", F.row_number().over(lowest)).where(F.col("n") <= REFERENCES)
-           .groupBy(F.col("host").alias("top_host")).agg(F.max("h").alias("top")))
-    top = written(top)
-    # rows that repeat a page collapse before they meet: a host's group has few rows
-    chosen = (pages.join(top, (F.col("host") == F.col("top_host")) & (F.col("h") <= F.col("top")))
-              .groupBy("host", "h").agg(F.min("html").alias("html")))
 
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = rows.sort_values(["h", "html"])["html"].drop_duplicates().tolist()[:REFERENCES]
-        return pd.DataFrame({"wrapper_host": rows["host"].iloc[:1],
-                             "wrapper": [json.dumps(induce(texts), ensure_ascii=False)]})
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("host", pa.string()), *[(n, pa.int64()) for n in ("layout", "slot", "text")],
+                        *[(n, pa.float64()) for n in ("n", "chars", "links", "size")],
+                        ("dense", pa.int32()), ("main", pa.int32())])
+    for batch in batches:
+        rows: list[tuple] = []
+        for host, page, copies in zip(*[batch.column(i) for i in range(3)]):
+            host, part = host.as_py(), 1 / copies.as_py()
+            for layout, slot, text, chars, links, size, dense, main in Page(page.as_py()).counts():
+                rows.append((host, layout, slot, text, part, chars * part, links * part, size * part, dense, main))
+            if len(rows) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return chosen.groupBy("host").applyInPandas(fit, "wrapper_host string, wrapper string")
+
+def wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(wrapper_host, wrapper: entries joined by spaces) of every host that has entries.
+
+    All pages are counted; of a page that a host holds c times, each counts 1/c.
+    Only counts and hashes are shuffled, pre-aggregated, and texts of fewer than
+    MIN_PAGES pages end there.
+    """
+    pages = df.where(F.col(html).isNotNull()).select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+    pages = pages.where(F.col("host").isNotNull() & (F.col("html") != "")).withColumn("h", F.xxhash64("html"))
+    copies = written(pages.groupBy(F.col("host").alias("__host"), F.col("h").alias("__h")).agg(
+        F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    weighted = pages.join(copies, (F.col("host") == F.col("__host")) & (F.col("h") == F.col("__h")), "left").select(
+        "host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+    keys = ["host", "layout", "slot"]
+    # parts of pages sum up to whole ones but for rounding
+    few = 1e-6
+    counts = written(weighted.mapInArrow(_count, _COUNTS).groupBy(*keys, "text").agg(
+        *[F.sum(c).alias(c) for c in ("n", "chars", "links", "size")], F.min("dense").alias("lo"),
+        F.max("dense").alias("hi"), F.max("main").alias("main")).where(
+        F.col("text").isNull() | (F.col("n") >= MIN_PAGES - few)))
+    slots = counts.where("text is null").drop("text")
+    dense = (F.col("chars") > 0) & (F.col("links") > LINK_SHARE * F.col("chars"))
+    mixed = slots.where("layout = 0 and lo < hi").select("host", "slot")
+    links = (slots.join(mixed, ["host", "slot"], "left_semi").where((F.col("layout") == 0) | (F.col("n") >= MIN_PAGES - few))
+             .select(*keys, F.when(dense, "+").otherwise("-").alias("what")))
+    of = slots.select(*keys, F.col("n").alias("pages"), F.col("size").alias("all"), "main")
+    # few texts are in most pages of a slot
+    found = (counts.where("text is not null").drop("main").join(of, keys)
+             .where((F.col("pages") >= MIN_PAGES - few) & (F.col("n") >= CONSTANT * F.col("pages") - few))
+             .groupBy(*keys).agg(F.collect_list("text").alias("texts"), F.sum("size").alias("constant"),
+                                 F.first("all").alias("all"), F.first("main").alias("main")))
+    found = written(found)
+    alike = (found.groupBy("host", "layout").agg(F.sum("constant").alias("constant"))
+             .join(slots.groupBy("host", "layout").agg(F.sum("size").alias("all")), ["host", "layout"])
+             .where((F.col("layout") != 0) & (F.col("constant") > MAX_CONSTANT * F.col("all"))).select("host", "layout"))
+    template = (found.where((F.col("main") == 0) | (F.col("constant") <= MAX_TEMPLATE * F.col("all")))
+                .join(alike, ["host", "layout"], "left_anti")
+                .select(*keys, F.explode(F.col("texts").cast("array<string>")).alias("what")))
+    return (links.unionByName(template).select("host", F.concat_ws(":", "layout", "slot", "what").alias("entry"))
+            .groupBy(F.col("host").alias("wrapper_host")).agg(
+                F.concat_ws(" ", F.sort_array(F.collect_list("entry"))).alias("wrapper")))
 
 
 def _texts(pages: pa.Array, known: pa.Array) -> Iterator[str]:
@@ -401,7 +430,7 @@ def _texts(pages: pa.Array, known: pa.Array) -> Iterator[str]:
         if wrapper is not None and wrapper not in read:
             if len(read) > 1000:
                 read.clear()
-            read[wrapper] = _Known(json.loads(wrapper))
+            read[wrapper] = _Known(wrapper.split())
         yield extract(page, read.get(wrapper)) if page else ""
 
 
@@ -410,12 +439,11 @@ def main_texts(df: DataFrame, id_col: str = "page_id", url: str = "url", html: s
 
     A null or empty page has an empty text. Pages without a host (a null or
     odd URL) have no wrapper and are judged by their own elements alone, as are
-    hosts with fewer than MIN_PAGES different references as far as constant
-    texts go. Repeated pages get equal rows; an empty table gives an empty
+    hosts with fewer than MIN_PAGES different pages as far as constant texts go. Repeated pages get equal rows; an empty table gives an empty
     result. Pages move only where the wrappers of all hosts are too large to be
     broadcast, which their written size decides.
     """
-    known = written(wrappers(df, id_col, url, html))
+    known = written(wrappers(df, url, html))
 
     @F.arrow_udf("string")
     def texts(pages: pa.Array, wrapper: pa.Array) -> pa.Array:

@@ -96,3 +96,44 @@ def test_odd_page_rows(spark, docs):
     assert len(got) == 6 and by[1]["text"] == "a" and by[2]["text"] == "" and by[3]["text"] == "b"
     assert by[4]["n_chars"] == 0 and by[None]["n_chars"] == 99_999
     assert wrapper.main_texts(df.where("1 = 0")).count() == 0
+
+
+def _layout(k, kind):
+    """Pages of a site with four layouts: each has its own legal line and link list in unmarked elements."""
+    links = "".join(f"<li><a href=/{kind}{j}>Link {kind} {j} of {k}</a></li>" for j in range(3))
+    inner = f"<div>Legal line of {kind}</div><div><h2>Story {k}</h2><p>Some words of page {k} alone.</p><p>Read more</p></div>"
+    return (f"<html><body><div class=page-{kind}>{inner}<ul>{links}</ul></div></body></html>",
+            f"Story {k} Some words of page {k} alone.")
+
+
+def test_every_layout_of_a_host_has_its_template(spark, docs):
+    made = [_layout(k, "abcd"[k % 4]) for k in range(40)]
+    rows = [(k, f"http://site.example/{k}", page) for k, (page, _) in enumerate(made)]
+    rows += [(100 + k, "http://site.example/copy", made[3][0]) for k in range(60)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_texts(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(40)] == [text for _, text in made]
+    assert all(got[100 + k] == made[3][1] for k in range(60))
+
+
+def test_layouts_with_the_same_paths(spark, docs):
+    """What is constant in a layout's slot is template, also where the same slot varies in other layouts."""
+    def page(k):
+        if k % 3:
+            return f"<body><div>Words of page {k} alone</div><section><p>More words {k}</p></section></body>"
+        return f"<body><div>Legal line</div><dl><dd>Story {k} is told here</dd></dl></body>"
+
+    pages = [page(k) for k in range(30)]
+    rows = [(k, f"http://x.example/{k}", p) for k, p in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_texts(
+        spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Story 3 is told here" and got[4] == "Words of page 4 alone More words 4"
+    known = _Known(induce(pages))
+    assert [extract(p, known) for p in pages] == [got[k] for k in range(30)]
+
+
+def test_table_and_single_process_induce_alike(spark, docs):
+    pages = [_layout(k, "ab"[k % 2])[0] for k in range(12)] + [_site(k, f"<p>w {k}</p>") for k in range(9)]
+    df = spark.createDataFrame([(f"http://y.example/{k}", p) for k, p in enumerate(pages + pages[:5])], "url string, html string")
+    got = wrapper.wrappers(df).collect()
+    assert len(got) == 1 and got[0]["wrapper"].split() == induce(pages)

@@ -40,10 +40,6 @@ MAX_CONSTANT = 0.5
 LINK_SHARE = 0.6
 #: Levels of the tree whose elements outside the main element tell layouts apart.
 LAYOUT_DEPTHS = (3, 5)
-#: Cells of an alignment table; beyond it children match greedily in order.
-EXACT_CELLS = 250_000
-#: Elements nested deeper become leaves of their parent.
-MAX_DEPTH = 150
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -88,10 +84,37 @@ class Node:
         self.children: list = []
 
 
+class _Open:
+    """The open elements of a page, the root first, with the places of each tag,
+    of blocks and of SCOPE elements, so that no tag looks through them all."""
+
+    def __init__(self, root: Node):
+        self.stack, self.places = [root], {}
+
+    def push(self, node: Node) -> None:
+        for key in self._keys(node.tag):
+            self.places.setdefault(key, []).append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, place: int) -> None:
+        while len(self.stack) > place:
+            for key in self._keys(self.stack.pop().tag):
+                self.places[key].pop()
+
+    def last(self, *keys: str) -> int:
+        """The innermost place of these keys, 0 for none."""
+        return max((p[-1] for p in map(self.places.get, keys) if p), default=0)
+
+    @staticmethod
+    def _keys(tag: str) -> list[str]:
+        return [tag, *(["#block"] if tag not in INLINE else []), *(["#scope"] if tag in SCOPE else [])]
+
+
 def parse(page: str) -> Node:
-    """The DOM tree of a page; broken markup gives some tree, never an error."""
+    """The DOM tree of a page, however deep; broken markup gives some tree, never an error."""
     root = Node("#root")
-    stack, at, n = [root], 0, len(page)
+    open_, at, n = _Open(root), 0, len(page)
+    stack = open_.stack
     while at < n:
         m = TOKEN.search(page, at)
         if m is None:
@@ -102,30 +125,24 @@ def parse(page: str) -> Node:
         at = m.end()
         if m[1]:
             tag = m[1].lower()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                # an inline end tag never closes a block
-                if tag in INLINE and stack[k].tag not in INLINE:
-                    break
+            place = open_.last(tag)
+            # an inline end tag never closes a block
+            if place and (tag not in INLINE or place > open_.last("#block")):
+                open_.close(place)
         elif m[2]:
             tag = m[2].lower()
             ends = CLOSES.get(tag, ())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in ends:
-                    del stack[k:]
-                    if tag not in ("tr", "td", "th", "tbody"):
-                        break
-                elif stack[k].tag in SCOPE:
+            while (place := open_.last(*ends)) and place >= open_.last("#scope"):
+                open_.close(place)
+                if tag not in ("tr", "td", "th", "tbody"):
                     break
             node = Node(tag, m[3])
             stack[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else n
-            elif tag not in VOID and not m[3].endswith("/") and len(stack) < MAX_DEPTH:
-                stack.append(node)
+            elif tag not in VOID and not m[3].endswith("/"):
+                open_.push(node)
     return root
 
 
@@ -136,8 +153,6 @@ def clean(text: str) -> str:
 def matching(left: list, right: list, weight) -> list[tuple[int, int]]:
     """Simple tree matching of two ordered child lists: the pairs (i, j) of an
     order-keeping matching of the largest total weight (0: not the same kind)."""
-    if len(left) * len(right) > EXACT_CELLS:
-        return _in_order(left, right)
     table = [[0] * (len(right) + 1) for _ in range(len(left) + 1)]
     own = [[weight(a, b) for b in right] for a in left]
     for i in range(len(left) - 1, -1, -1):
@@ -157,21 +172,6 @@ def matching(left: list, right: list, weight) -> list[tuple[int, int]]:
     return pairs
 
 
-def _in_order(left: list, right: list) -> list[tuple[int, int]]:
-    """Slots and groups of the same signature, each taken at the first place
-    after the one before it: for child lists too long for the table."""
-    places: dict[str, list[int]] = {}
-    for i, slot in enumerate(left):
-        places.setdefault(slot.sign, []).append(i)
-    pairs, last = [], -1
-    for j, group in enumerate(right):
-        i = next((i for i in places.get(group[0], ()) if i > last), None)
-        if i is not None:
-            pairs.append((i, j))
-            last = i
-    return pairs
-
-
 def digest(*parts: object) -> int:
     """A signed 64-bit hash of the parts."""
     raw = "\0".join(map(str, parts)).encode("utf-8", "surrogatepass")

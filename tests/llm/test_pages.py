@@ -137,3 +137,27 @@ def test_table_and_single_process_induce_alike(spark, docs):
     df = spark.createDataFrame([(f"http://y.example/{k}", p) for k, p in enumerate(pages + pages[:5])], "url string, html string")
     got = wrapper.wrappers(df).collect()
     assert len(got) == 1 and got[0]["wrapper"].split() == induce(pages)
+
+
+def test_deep_elements_are_closed_by_their_own_end_tags():
+    deep = "<div>" * 160 + "inner" + "<nav>menu</nav><p class=comment>said</p>" + "</div>" * 160
+    assert extract(f"<div id=page><article>before {deep} after</article>outside</div>", None) == "before inner after"
+
+
+def test_many_named_siblings_are_aligned_exactly():
+    """A constant line among hundreds of uniquely named siblings, first seen far down, is template."""
+    def page(v):
+        names = [f"<div class=x{'abcdefghij'[v]}{'abcdefghijklmnopqrst'[k % 20]}{'abcdefghijklmnopqrst'[k // 20]}>text {k} of {v}</div>"
+                 for k in range(200)]
+        lines = ["<div class=first>First line</div>", "<div class=last>Last line</div>"]
+        return "".join([*names[:100], *(lines if v else lines[::-1]), *names[100:]])
+
+    pages = [page(v) for v in range(8)]
+    known = _Known(induce(pages))
+    for v in range(8):
+        assert extract(pages[v], known) == " ".join(f"text {k} of {v}" for k in range(200))
+
+
+@pytest.mark.parametrize("part, end", [("<div>", "</p>"), ("<h2>", ""), ("<i><div><b>", "</i>"), ("<span>", "</div><p>")])
+def test_deep_broken_markup_takes_linear_time(part, end):
+    assert extract("<p>x" + part * 20_000 + "y" + end * 20_000, None).replace(" ", "") == "xy"

@@ -56,6 +56,26 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def one_of_each(df: DataFrame, kept: DataFrame, *keys: tuple[Column, str]) -> DataFrame:
+    """One row of ``df`` for each row of ``kept``, with all columns of ``df``.
+
+    ``keys`` are pairs of an expression over ``df`` and the column of ``kept``
+    that it equals (null equals null); ``kept`` has ``__n``, the rows of ``df``
+    with that key. Of several the smallest stays; they are pre-aggregated, so a
+    key that a third of all rows hold is a row for each task.
+    """
+    kept = written(kept)
+    on = None
+    for value, name in keys:
+        same = value.eqNullSafe(F.col(name))
+        on = same if on is None else on & same
+    names = [name for _, name in keys]
+    single = df.join(kept.where("__n = 1"), on, "left_semi")
+    several = (df.join(kept.where("__n > 1"), on).groupBy(*names)
+               .agg(F.min(F.struct(*[F.col(c) for c in df.columns])).alias("__row")))
+    return single.unionByName(several.select("__row.*"))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, written
+from .common import ascii_lower, one_of_each, written
 
 MIN_CHUNK = 512
 MAX_CHUNK = 4096
@@ -63,12 +63,12 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of ``df`` whose text stays, with all columns of ``df``.
+    """One row of ``df`` for each different text, with all columns of ``df``.
 
-    Rows that agree in id and text are one document delivered more than once
-    and stay together.
+    The largest id of a text stays. Rows that agree in id and text, null ids
+    included, are one document delivered more than once, and one of them stays.
     """
-    kept = exact_groups(df, id_col, text).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    same = F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256) == F.col("__sha")
-    return df.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & same, "left_semi")
+    kept = exact_groups(df, id_col, text).where("kept").groupBy(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__n"))
+    sha = F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256)
+    return one_of_each(df, kept, (F.col(id_col), "__id"), (sha, "__sha"))

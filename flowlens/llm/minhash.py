@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import one_of_each, written
 from .textbytes import LOWER, SpanHasher, column_bytes, mix64, slices, word_spans
 
 K = 64
@@ -72,18 +72,19 @@ def _digest(values: np.ndarray) -> int:
 def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     hashes = SpanHasher()
     for batch in batches:
-        data, offsets = column_bytes(batch.column(1))
+        data, offsets = column_bytes(batch.column(2))
         for lo, hi in slices(offsets):
             sets = list(shingle_sets(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], hashes, words))
             kept = [s[:K] for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(lo, hi - lo),
+                batch.column(1).slice(lo, hi - lo),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_digest(s) for s in sets], pa.int64()),
                 pa.array([int(s.sum(dtype=np.uint64) >> np.uint64(1)) for s in sets], pa.int64()),
                 pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32),
                                          np.concatenate([*kept, np.zeros(0, np.uint64)]).view(np.int64))],
-                names=["doc_id", "n_shingles", "node", "check", "sketch"])
+                names=["doc_id", "key", "n_shingles", "node", "check", "sketch"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -259,6 +260,27 @@ def verified_links(df: DataFrame, classes: DataFrame, near: DataFrame, text: str
             .applyInPandas(lambda block: _forest(block, percent), "a long, b long"))
 
 
+def _components(df: DataFrame, words: int, percent: int, id_col: str, text: str) -> DataFrame:
+    """One row per row of ``df``: doc_id, key (hash of the whole text), n_shingles,
+    label (the component's smallest id) and component (null without shingles)."""
+    rows = written(df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("key"), F.col(text).alias("text")).mapInArrow(
+        lambda b: _sketches(b, words),
+        "doc_id long, key long, n_shingles long, node long, check long, sketch array<long>"))
+    classes = written(rows.where("n_shingles > 0").groupBy("node", "n_shingles", "check").agg(
+        F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch")))
+    near = connected(candidate_stars(classes, percent))
+    links = verified_links(df, classes, near, text, id_col, words, percent)
+    roots = connected(links).withColumnRenamed("node", "linked")
+    named = classes.select("node", "rep")
+    smallest = (named.join(roots, F.col("node") == F.col("linked"))
+                .groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("smallest")))
+    names = roots.join(smallest, F.col("root") == F.col("r")).select("linked", "root", "smallest")
+    labels = written(named.join(names, F.col("node") == F.col("linked"), "left").select(
+        F.col("node").alias("c"), F.coalesce("smallest", "rep").alias("label"), F.coalesce("root", "node").alias("component")))
+    out = rows.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    return out.join(labels, F.col("node") == F.col("c"), "left").select("doc_id", "key", "n_shingles", "label", "component")
+
+
 def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_shingles, component_id, kept.
@@ -271,29 +293,24 @@ def near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: st
     shingle. An empty table gives an empty result. The text is read twice, the
     second time for candidates only.
     """
-    rows = written(df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        lambda b: _sketches(b, words),
-        "doc_id long, n_shingles long, node long, check long, sketch array<long>"))
-    classes = written(rows.where("n_shingles > 0").groupBy("node", "n_shingles", "check").agg(
-        F.min("doc_id").alias("rep"), F.any_value("sketch").alias("sketch")))
-    near = connected(candidate_stars(classes, percent))
-    links = verified_links(df, classes, near, text, id_col, words, percent)
-    roots = connected(links).withColumnRenamed("node", "linked")
-    named = classes.select("node", "rep")
-    smallest = (named.join(roots, F.col("node") == F.col("linked"))
-                .groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("smallest")))
-    names = roots.join(smallest, F.col("root") == F.col("r")).select("linked", "smallest")
-    labels = written(named.join(names, F.col("node") == F.col("linked"), "left").select(
-        F.col("node").alias("c"), F.coalesce("smallest", "rep").alias("label")))
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     component = F.coalesce("label", "doc_id")
-    return out.join(labels, F.col("node") == F.col("c"), "left").select(
+    return _components(df, words, percent, id_col, text).select(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def drop_near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
                          text: str = "text") -> DataFrame:
-    """Rows of ``df`` that name their component, with all columns of ``df``."""
-    kept = near_duplicates(df, words, percent, id_col, text).where("kept").select(F.col("doc_id").alias("__id"))
-    return df.join(kept, F.col(id_col).eqNullSafe(F.col("__id")), "left_semi")
+    """One row of ``df`` for each component, with all columns of ``df``.
+
+    The smallest id stays, null last; where it stands for several texts of the
+    component, the one with the lowest hash, and one of equal rows. Texts without
+    shingles are linked with nothing: one row for each id and text stays.
+    """
+    rows = _components(df, words, percent, id_col, text)
+    alone = F.col("component").isNull()
+    per = rows.groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("__n"))
+    first = (per.groupBy("component", F.when(alone, F.col("doc_id")).alias("own"), F.when(alone, F.col("key")).alias("text"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "__n")).alias("f")))
+    kept = first.select(F.col("f.doc_id").alias("__id"), F.col("f.key").alias("__key"), F.col("f.__n").alias("__n"))
+    return one_of_each(df, kept, (F.col(id_col).cast("long"), "__id"), (F.xxhash64(F.col(text)), "__key"))

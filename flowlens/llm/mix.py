@@ -157,10 +157,25 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
                     **options) -> DataFrame:
     """The mix itself: rows of ``df`` repeated by their copies, with all columns of ``df``.
 
-    Rows that share an id are repeated by the largest number any of them got.
+    Rows of the same id, source and size are interchangeable: they share the
+    copies that they got together evenly, and where that leaves a rest, the first
+    in the order of a hash of the whole row take one more.
     """
-    taken = (mix_sources(df, id_col, text, source, **options).where("copies > 0")
-             .groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies")))
-    many = df.join(taken, F.col(id_col).eqNullSafe(F.col("__id")))
-    return many.select(*[df[c] for c in df.columns], F.explode(
-        F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+    key = ["__id", "__source", "__size"]
+    taken = written(mix_sources(df, id_col, text, source, **options)
+                    .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
+                    .agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")).where("__all > 0"))
+    on = (F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source"))
+          & (word_count(F.col(text)) == F.col("__size")))
+    even = df.join(taken.where("__all % __rows = 0"), on).withColumn("__copies", F.expr("__all div __rows"))
+    # equal rows are counted, not numbered: a key of many rows needs no task of its own
+    uneven = (df.join(taken.where("__all % __rows <> 0"), on).groupBy(*df.columns, *key, "__all", "__rows")
+              .agg(F.count(F.lit(1)).alias("__same")))
+    h = F.xxhash64(*df.columns)
+    run = prefix_sums(uneven.withColumn("__at", F.pmod(h, F.lit(BUCKETS)).cast("int")), key, "__at",
+                      [h, *map(F.col, df.columns)], {"__upto": "__same"})
+    rest = F.expr("__all % __rows") - (F.col("__upto") - F.col("__same"))
+    shared = run.withColumn("__copies", F.expr("(__all div __rows) * __same")
+                            + F.greatest(F.lit(0), F.least(F.col("__same"), rest)))
+    many = even.select(*df.columns, "__copies").unionByName(shared.select(*df.columns, "__copies")).where("__copies > 0")
+    return many.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")

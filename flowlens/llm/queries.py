@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, exact, langid, lines, minhash, mix, pack, rules, shard, wrapper
+from . import chunks, crossalign, exact, langid, lines, minhash, mix, pack, pieces, rules, shard, spelling, wrapper
 from .common import ship
 
 QUERIES = {}
@@ -24,10 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def _held(folds: int, fold: int):
@@ -101,6 +101,26 @@ def op10_substring_dedup(spark, sf_dir):
     return chunks.repeated_passages(documents(spark, sf_dir))
 
 
+@query
+def op11_token_alignment(spark, sf_dir):
+    """Byte-level and piece tokens of every document aligned at anchors, links scored by document counts."""
+    return crossalign.score_alignments(crossalign.align_documents(
+        documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")))
+
+
+@query
+def op12_piece_encoding(spark, sf_dir):
+    """Every document encoded and decoded by the piece model, spans kept on the way."""
+    return pieces.encoding_digests(pieces.encode_documents(
+        documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model")))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    """Spelling variants among the words of all documents."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES["op5_exact_dedup"] = f"""
@@ -171,6 +191,46 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM f
 """
 
+ORACLES["op13_spelling_variants"] = f"""
+WITH RECURSIVE tab AS (
+  SELECT list(c ORDER BY i) AS tab FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents)
+  WHERE length(r) >= {spelling.MIN_LENGTH} GROUP BY ALL),
+hexed AS (SELECT r, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r)) AS x FROM runs),
+bytes AS (
+  SELECT r, n, list_transform(range(1, len(x) + 1, 2), lambda k:
+    16 * (instr('0123456789ABCDEF', substr(x, k, 1)) - 1) + instr('0123456789ABCDEF', substr(x, k + 1, 1)) - 1) AS bs FROM hexed),
+crc AS (
+  SELECT r, n, xor(list_reduce(list_prepend(4294967295, bs),
+    lambda c, b: xor(c >> 8, tab.tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM bytes, tab),
+damaged AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word, n FROM crc),
+w AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM damaged WHERE length(word) >= {spelling.MIN_LENGTH}
+  GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}),
+less AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+pairs AS (
+  SELECT a.word AS s, b.word AS t FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, rest FROM less WHERE rest IN (SELECT word FROM w)
+  UNION SELECT rest, word FROM less WHERE rest IN (SELECT word FROM w)),
+near AS (
+  SELECT s, count(*) AS n_near, first(t ORDER BY w.n DESC, t) AS form, max(w.n) AS form_n
+  FROM pairs JOIN w ON t = w.word GROUP BY s),
+f AS (
+  SELECT w.word, CASE WHEN form_n >= {spelling.RATIO} * n THEN form END AS form, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN form_n >= {spelling.RATIO} * n THEN form_n END AS form_n
+  FROM w LEFT JOIN near ON w.word = s),
+chain(word, stop, nxt) AS (
+  SELECT word, word, form FROM f UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON c.nxt = f.word)
+SELECT f.word, f.form, chain.stop AS root, f.n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM f JOIN chain ON chain.word = f.word AND chain.nxt IS NULL
+"""
+
 
 def queries() -> dict:
     return dict(QUERIES)

@@ -51,7 +51,7 @@ def test_registered():
     assert set(entry.oracle_sql()) <= set(names)
 
 
-@pytest.mark.parametrize("name", ["op3_minhash_neardup", "op5_exact_dedup", "op6_line_frequency"])
+@pytest.mark.parametrize("name", ["op3_minhash_neardup", "op5_exact_dedup", "op6_line_frequency", "op13_spelling_variants"])
 def test_sql_forms(docs, name):
     import duckdb
 

@@ -55,36 +55,40 @@ def _part(word: Column, start: Column, length: Column) -> Column:
     return F.substring(word, start + 1, length)
 
 
+def _gram(word: Column, start: Column, size: Column, length: Column, second: int) -> Column:
+    """A gram as it is sent: a hash of its text, the length of the chunk's word and
+    which chunk it is (words of equal hashes are compared whole), and its place."""
+    key = F.xxhash64(_part(word, start, size), length.cast("int"), F.lit(second))
+    return F.struct(key.alias("key"), start.cast("int").alias("at"), size.cast("int").alias("size"))
+
+
 def _chunk_side(words: DataFrame) -> DataFrame:
-    """(key, word, rest): two disjoint chunks of each word; the key holds the chunk,
-    its place, the word's length and which of the two it is."""
-    n, half = F.char_length("word"), F.floor(F.char_length("word") / 2).cast("int")
-    zero = F.lit(0)
-    both = F.array(
-        F.struct(_part(F.col("word"), zero, half).alias("gram"), zero.alias("at"), F.lit(0).alias("second"),
-                 _part(F.col("word"), half, n).alias("rest")),
-        F.struct(_part(F.col("word"), half, n).alias("gram"), half.alias("at"), F.lit(1).alias("second"),
-                 _part(F.col("word"), zero, half).alias("rest")))
-    return words.select(F.col("word").alias("s"), n.alias("length"), F.explode(both).alias("c")).select(
-        "s", F.struct("c.gram", "length", "c.second").alias("key"), F.col("c.at").alias("at"), F.col("c.rest").alias("rest"))
+    """(s, key, at, size): two disjoint chunks of each word, its halves."""
+    word, n = F.col("word"), F.char_length("word")
+    half = F.floor(n / 2).cast("int")
+    both = F.array(_gram(word, F.lit(0), half, n, 0), _gram(word, half, n - half, n, 1))
+    return words.select(word.alias("s"), F.explode(both).alias("c")).select("s", "c.key", "c.at", "c.size")
 
 
 def _gram_side(words: DataFrame) -> DataFrame:
-    """(key, word, rest, grows): the positional grams of each word at the places where
-    a chunk of a word as long, or one shorter, can stand: shifted by nothing or one."""
+    """(t, key, gram_at, gram_size, grows): the positional grams of each word at the
+    places where a chunk of a word as long, or one shorter, can stand."""
     word, n = F.col("word"), F.char_length("word")
 
     def gram(length: Column, second: int, shift: int) -> Column:
         half = F.floor(length / 2).cast("int")
-        size = half if not second else length - half
-        start = (half if second else F.lit(0)) + shift
-        rest = F.concat(_part(word, F.lit(0), start), _part(word, start + size, n))
-        return F.struct(F.struct(_part(word, start, size).alias("gram"), length.alias("length"), F.lit(second).alias("second")).alias("key"),
-                        start.alias("at"), rest.alias("rest"), (length < n).alias("grows"))
+        start, size = (half + shift, length - half) if second else (F.lit(0), half)
+        return F.struct(_gram(word, start, size, length, second).alias("g"), (length < n).alias("grows"))
 
     # a replaced code point shifts nothing; an inserted one shifts what stands behind it
     grams = F.array(gram(n, 0, 0), gram(n, 1, 0), gram(n - 1, 0, 0), gram(n - 1, 1, 1))
-    return words.select(word.alias("t"), F.explode(grams).alias("g")).select("t", "g.key", "g.at", "g.rest", "g.grows")
+    return words.select(word.alias("t"), F.explode(grams).alias("x")).select(
+        "t", "x.g.key", F.col("x.g.at").alias("gram_at"), F.col("x.g.size").alias("gram_size"), "x.grows")
+
+
+def _beside(word: str, at: str, size: str) -> Column:
+    """What remains of a word beside a gram."""
+    return F.concat(_part(F.col(word), F.lit(0), F.col(at)), _part(F.col(word), F.col(at) + F.col(size), F.char_length(word)))
 
 
 def _without_one(rest: Column) -> Column:
@@ -111,7 +115,7 @@ def near_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
     sides = written(sides.where((F.col("c") > 0) & (F.col("g") > 0) & (F.col("c") + F.col("g") > 2))
                     .select(F.col("key").alias("k"), (size > hot).alias("hot")))
     chunks = chunks.join(sides, F.col("key") == F.col("k")).drop("k")
-    grams = grams.join(sides, F.col("key") == F.col("k")).drop("k").withColumnRenamed("at", "gram_at")
+    grams = grams.join(sides, F.col("key") == F.col("k")).drop("k")
 
     def matched(left: DataFrame, right: DataFrame, *on: str) -> DataFrame:
         right = right.select(*[F.col(c).alias(f"__{c}") for c in on], "t", "gram_at", "grows")
@@ -122,14 +126,12 @@ def near_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
         return near.where((F.col("grows") | (F.col("s") < F.col("t"))) & (F.levenshtein("s", "t", 1) == 1)).select("s", "t")
 
     plain = matched(chunks.where(~F.col("hot")), grams.where(~F.col("hot")), "key")
-    left, right = chunks.where("hot"), grams.where("hot")
-    cut = F.explode(_without_one(F.col("rest"))).alias("v")
-    replaced = matched(left.select("s", "key", "at", cut).select("s", "key", "at", "v.place", "v.less"),
-                       right.where(~F.col("grows")).select("t", "key", "gram_at", "grows", cut)
-                       .select("t", "key", "gram_at", "grows", "v.place", "v.less"), "key", "place", "less")
-    inserted = matched(left.select("s", "key", "at", F.col("rest").alias("less")),
-                       right.where("grows").select("t", "key", "gram_at", "grows", cut)
-                       .select("t", "key", "gram_at", "grows", "v.less"), "key", "less")
+    left = chunks.where("hot").select("s", "key", "at", _beside("s", "at", "size").alias("less"))
+    right = grams.where("hot").select("t", "key", "gram_at", "grows", F.explode(
+        _without_one(_beside("t", "gram_at", "gram_size"))).alias("v")).select("t", "key", "gram_at", "grows", "v.place", "v.less")
+    inserted = matched(left, right.where("grows"), "key", "less")
+    replaced = matched(left.select("s", "key", "at", F.explode(_without_one(F.col("less"))).alias("v"))
+                       .select("s", "key", "at", "v.place", "v.less"), right.where(~F.col("grows")), "key", "place", "less")
     return plain.unionByName(replaced).unionByName(inserted).distinct()
 
 

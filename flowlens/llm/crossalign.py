@@ -10,7 +10,9 @@ tuples. Over the corpus, a pair of linked ids counts the documents that hold it.
 
 from __future__ import annotations
 
+import hashlib
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .pack import Encoder
-from .pieces import PieceEncoder, SpanMemory
-from .textbytes import SpanHasher, column_bytes, mix64, slices
+from .pieces import PieceEncoder
+from .textbytes import WINDOW, column_bytes, mix64, slices
 
 #: Rows of pair counts that are broadcast at most: pairs that occur in at least
 #: (all occurrences / HOT_PAIRS) documents, of which there are no more than that.
@@ -40,106 +42,156 @@ def byte_level_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class TokenBytes:
-    """The bytes of each id of a vocabulary, as one array."""
+def ramp(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. count - 1 for each count, one behind the other."""
+    total = np.cumsum(counts)
+    return np.arange(total[-1] if len(total) else 0) - np.repeat(total - counts, counts)
 
-    def __init__(self, tokens: list[bytes]):
-        self.length = np.array([len(t) for t in tokens], np.int64)
-        self.start = np.cumsum(self.length) - self.length
-        self.data = np.frombuffer(b"".join(tokens), np.uint8)
-        self.spaced = np.array([t[:1] == b" " for t in tokens])
 
-    @classmethod
-    def of_byte_level(cls, path: str) -> TokenBytes:
-        with open(path, encoding="utf-8") as f:
-            file = json.load(f)
-        byte = byte_level_characters()
-        entries = dict(file["model"]["vocab"])
-        entries.update((t["content"], t["id"]) for t in file.get("added_tokens", []))
-        tokens = [b""] * (1 + max(entries.values()))
-        for entry, i in entries.items():
-            if all(c in byte for c in entry):
-                tokens[i] = bytes(byte[c] for c in entry)
-        return cls(tokens)
+class Rows:
+    """Variable-length rows of one type, gathered by row numbers."""
+
+    def __init__(self, kind: type):
+        self.values, self.counts, self.starts = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     @classmethod
-    def of_pieces(cls, library) -> TokenBytes:
-        names = [library.id_to_piece(i) for i in range(library.vocab_size())]
-        return cls([b"" if library.is_control(i) else bytes([int(p[3:5], 16)]) if library.is_byte(i)
-                    else p.replace("▁", " ").encode() for i, p in enumerate(names)])
-
-    def spelled(self, ids: np.ndarray) -> np.ndarray:
-        """The joined bytes of the ids."""
-        counts = self.length[ids]
+    def of_strings(cls, strings: list[bytes]) -> Rows:
+        rows = cls(np.uint8)
+        rows.add(np.frombuffer(b"".join(strings), np.uint8), np.array([len(x) for x in strings], np.int64))
+        return rows
+
+    def add(self, values: np.ndarray, counts: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.values = np.concatenate([self.values, values.astype(self.values.dtype)])
+
+    def __getitem__(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(values of these rows, one behind the other; count of each)."""
+        counts = self.counts[rows]
         upto = np.cumsum(counts)
-        return self.data[np.repeat(self.start[ids] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)]
-
-
-def groups_of(a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> list[tuple[list[int], list[int]]]:
-    """The groups of one window: ids of both sides between shared ends."""
-    out, i, j = [], 0, 0
-    for end in sorted(set(ends_a) & set(ends_b)):
-        k, l = i, j
-        while i < len(a) and ends_a[i] <= end:
-            i += 1
-        while j < len(b) and ends_b[j] <= end:
-            j += 1
-        out.append((a[k:i], b[l:j]))
-    return out
+        total = int(upto[-1]) if len(upto) else 0
+        kind = np.int32 if max(total, len(self.values)) < 1 << 31 else np.int64
+        shift = (self.starts[rows] - upto + counts).astype(kind)
+        return self.values[np.repeat(shift, counts) + np.arange(total, dtype=kind)], counts
+
+
+def byte_level_tokens(path: str) -> list[bytes]:
+    """The bytes of each id of a byte-level tokenizer file."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    byte = byte_level_characters()
+    entries = dict(file["model"]["vocab"])
+    entries.update((t["content"], t["id"]) for t in file.get("added_tokens", []))
+    tokens = [b""] * (1 + max(entries.values()))
+    for entry, i in entries.items():
+        if all(c in byte for c in entry):
+            tokens[i] = bytes(byte[c] for c in entry)
+    return tokens
+
+
+def piece_tokens(library) -> list[bytes]:
+    """The bytes of each id of a piece model."""
+    names = [library.id_to_piece(i) for i in range(library.vocab_size())]
+    return [b"" if library.is_control(i) else bytes([int(p[3:5], 16)]) if library.is_byte(i)
+            else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+
+
+class WindowMemory:
+    """Alignments of windows, found by a 64-bit hash of their id tuples; the tuples
+    are kept beside them and compared with those asked for."""
+
+    def __init__(self):
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.groups = np.zeros(0, np.int64)
+        #: ids of either side, linked pairs, and the groups as text
+        self.a, self.b, self.pairs, self.text = Rows(np.int32), Rows(np.int32), Rows(np.int64), Rows(np.uint8)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in ``hashes`` of windows met for the first time, their hashes)."""
+        different, first = np.unique(hashes, return_index=True)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, different), len(self.known) - 1)
+            new = self.known[at] != different
+            different, first = different[new], first[new]
+        return first, different
+
+    def add(self, hashes: np.ndarray, groups: np.ndarray, *rows: tuple[np.ndarray, np.ndarray]) -> None:
+        at = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, at, hashes)
+        self.place = np.insert(self.place, at, len(self.groups) + np.arange(len(hashes)))
+        self.groups = np.concatenate([self.groups, groups])
+        for table, (values, counts) in zip((self.a, self.b, self.pairs, self.text), rows):
+            table.add(values, counts)
+
+    def index(self, hashes: np.ndarray) -> np.ndarray:
+        return self.place[np.searchsorted(self.known, hashes)]
 
 
 class Aligner:
     """Aligns the ids of batches of texts; remembers windows."""
 
     def __init__(self, byte_level: str, pieces: str):
+        # a task is one thread: the tokenizer's own threads would crowd out other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a, self.b = Encoder(byte_level), PieceEncoder(pieces)
-        self.bytes_a, self.bytes_b = TokenBytes.of_byte_level(byte_level), TokenBytes.of_pieces(self.b.library)
-        self.hashes = SpanHasher()
-        self._forget()
-
-    def _forget(self) -> None:
-        #: rows of a window are its linked pairs (a << 32 | b) and how often each is linked
-        self.windows = SpanMemory((np.int64, np.int64), limit=1 << 62)
-        self.tuples: list[tuple] = []
-        self.texts: list[str] = []
-        self.numbers = np.zeros((0, 2), np.int64)
+        tokens_a, tokens_b = byte_level_tokens(byte_level), piece_tokens(self.b.library)
+        self.bytes_a, self.bytes_b = Rows.of_strings(tokens_a), Rows.of_strings(tokens_b)
+        self.spaced_a, self.spaced_b = (np.array([t[:1] == b" " for t in tokens]) for tokens in (tokens_a, tokens_b))
+        #: each id in decimal digits, with room for a separator
+        self.decimal = Rows.of_strings([b"%d " % i for i in range(max(len(tokens_a), len(tokens_b)))])
+        #: a random 64-bit value for each id, and powers of an odd number and of its inverse
+        self.id_values = mix64(np.arange(1, len(self.decimal.counts) + 1, dtype=np.uint64))
+        odd = 0x9E3779B97F4A7C15
+        self.powers = tuple(np.array([1, base], np.uint64) for base in (odd, pow(odd, -1, 1 << 64)))
+        self.memory = WindowMemory()
 
     def _tuple_hashes(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self.hashes(ids.astype("<u4").view(np.uint8), 4 * starts, 4 * ends)
-
-    def _learn(self, tuples: list[tuple]) -> tuple[list[int], list[np.ndarray]]:
-        """Alignments of new windows, in the order in which they are remembered."""
-        counts, pairs, times, numbers = [], [], [], []
-        for a, b in tuples:
-            groups = groups_of(a, b, np.cumsum(self.bytes_a.length[list(a)]).tolist(),
-                               np.cumsum(self.bytes_b.length[list(b)]).tolist())
-            links: dict[int, int] = {}
-            for x, y in groups:
-                for i in x:
-                    for j in y:
-                        links[i << 32 | j] = links.get(i << 32 | j, 0) + 1
-            counts.append(len(links))
-            pairs += links
-            times += links.values()
-            numbers.append((len(groups), sum(len(x) * len(y) for x, y in groups)))
-            self.texts.append(";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups))
-        self.tuples += tuples
-        self.numbers = np.concatenate([self.numbers, np.array(numbers, np.int64).reshape(-1, 2)])
-        return counts, [np.array(pairs, np.int64), np.array(times, np.int64)]
+        """64-bit hashes of id tuples: a polynomial over random values of the ids, scrambled."""
+        up, down = self.powers
+        while len(up) < len(ids):
+            up, down = self.powers = tuple(np.concatenate([p, p * (p[-1:] * p[1:2])]) for p in (up, down))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.id_values[ids] * up[:len(ids)])])
+        return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+    def _learn(self, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray,
+               n_a: np.ndarray, n_b: np.ndarray) -> None:
+        """Remember windows given by their ids, one behind the other; ``last_a`` and
+        ``last_b`` mark ids that end at a shared end, ``n_a`` and ``n_b`` are the windows' sizes."""
+        window = np.repeat(np.arange(len(n_a)), n_a)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        first_b = np.cumsum(in_b) - in_b
+        # links: each id of A with all ids of B of its group
+        each = in_b[group_a]
+        pairs = np.repeat(a, each) << 32 | b[np.repeat(first_b[group_a], each) + ramp(each)]
+        # a group is written as its ids of A, then those of B
+        ids = np.zeros(len(a) + len(b), np.int64)
+        mark = np.full(len(ids), ord(","), np.uint8)
+        place_a = np.arange(len(a)) + first_b[group_a]
+        place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
+        ids[place_a], ids[place_b] = a, b
+        mark[place_a[last_a]], mark[place_b[last_b]] = ord("|"), ord(";")
+        text, sizes = self.decimal[ids]
+        text[np.cumsum(sizes) - 1] = mark
+        whose = np.zeros(len(ids), np.int64)
+        whose[place_a], whose[place_b] = window, np.repeat(np.arange(len(n_b)), n_b)
+        n = len(n_a)
+        self.memory.add(hashes, np.bincount(window, last_a, n).astype(np.int64), (a, n_a), (b, n_b),
+                        (pairs, np.bincount(window, each, n).astype(np.int64)),
+                        (text, np.bincount(whose, sizes, n).astype(np.int64)))
 
     def _checked(self, data, offsets, ids_a, at_a, ids_b, at_b) -> np.ndarray:
         """Which texts both tokenisations give back byte by byte (none of them empty)."""
         good = np.diff(offsets) > 1
-        for ids, at, table in ((ids_a, at_a, self.bytes_a), (ids_b, at_b, self.bytes_b)):
-            upto = np.concatenate([[0], np.cumsum(table.length[ids])])
+        sides = ((ids_a, at_a, self.bytes_a), (ids_b, at_b, self.bytes_b))
+        for ids, at, table in sides:
+            upto = np.concatenate([[0], np.cumsum(table.counts[ids])])
             good &= upto[at[1:]] - upto[at[:-1]] == np.diff(offsets)
         text = np.repeat(np.arange(len(good)), np.diff(offsets))
-        want = data[good[text]]
-        own = text[good[text]]
-        for ids, at, table in ((ids_a, at_a, self.bytes_a), (ids_b, at_b, self.bytes_b)):
-            kept = ids[np.repeat(good, np.diff(at))]
-            good[own[table.spelled(kept) != want]] = False
-            want, own = want[good[own]], own[good[own]]
+        for ids, at, table in sides:
+            held = good[text]
+            differ = table[ids[np.repeat(good, np.diff(at))]][0] != data[held]
+            good[text[held][differ]] = False
         return good
 
     def align(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple]:
@@ -154,58 +206,54 @@ class Aligner:
         ids_a, at_a = self.a.encode(spaced, off)
         ids_b, _, _, at_b = self.b.encode(data, offsets)
         good = self._checked(spaced, off, ids_a, at_a, ids_b, at_b)
-        ids_a, ids_b = (ids[np.repeat(good, np.diff(at))].astype(np.int64) for ids, at in ((ids_a, at_a), (ids_b, at_b)))
-        n_a, n_b = (np.where(good, np.diff(at), 0) for at in (at_a, at_b))
         if not good.any():
             return [_NOTHING] * n
-        upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
-        ends_a, ends_b = np.cumsum(self.bytes_a.length[ids_a]), np.cumsum(self.bytes_b.length[ids_b])
+        ids_a, ids_b = (ids[np.repeat(good, np.diff(at))].astype(np.int64) for ids, at in ((ids_a, at_a), (ids_b, at_b)))
+        n_a, n_b = (np.where(good, np.diff(at), 0) for at in (at_a, at_b))
+        upto_a = np.cumsum(n_a)
+        ends_a, ends_b = np.cumsum(self.bytes_a.counts[ids_a]), np.cumsum(self.bytes_b.counts[ids_b])
         # shared ends, then anchors: a space-marked token follows on both sides
         at = np.searchsorted(ends_b, ends_a)
-        shared = ends_b[at] == ends_a
-        last_a = np.zeros(len(ids_a), bool)
-        last_a[upto_a[good] - 1] = True
-        follows_a = np.append(self.bytes_a.spaced[ids_a[1:]], True)
-        follows_b = np.append(self.bytes_b.spaced[ids_b[1:]], True)
-        stop_a = np.flatnonzero(shared & ((follows_a & follows_b[at]) | last_a)) + 1
+        shared_a = ends_b[at] == ends_a
+        shared_b = np.zeros(len(ids_b), bool)
+        shared_b[at[shared_a]] = True
+        last = np.zeros(len(ids_a), bool)
+        last[upto_a[good] - 1] = True
+        follows_a = np.append(self.spaced_a[ids_a[1:]], True)
+        follows_b = np.append(self.spaced_b[ids_b[1:]], True)
+        stop_a = np.flatnonzero(shared_a & ((follows_a & follows_b[at]) | last)) + 1
         stop_b = at[stop_a - 1] + 1
         start_a, start_b = np.append(0, stop_a[:-1]), np.append(0, stop_b[:-1])
         keys = mix64(self._tuple_hashes(ids_a, start_a, stop_a)) + self._tuple_hashes(ids_b, start_b, stop_b)
-
-        def window(k: int) -> tuple:
-            return tuple(ids_a[start_a[k]:stop_a[k]].tolist()), tuple(ids_b[start_b[k]:stop_b[k]].tolist())
-
-        if len(self.tuples) > MEMORY:
-            self._forget()
-        counts, (pairs, times), which = self.windows(keys, lambda new: self._learn([window(k) for k in new.tolist()]))
-        if (self._lengths(which) != np.stack([stop_a - start_a, stop_b - start_b])).any():
-            raise RuntimeError("two windows of ids share a 64-bit hash")
-        # windows and pairs of each text
-        edge = np.searchsorted(stop_a, upto_a, "right")
-        edge = np.concatenate([[0], edge])
-        rows = np.concatenate([[0], np.cumsum(counts)])[edge]
-        sums = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(self.numbers[which], axis=0)])[edge]
-        out = []
-        which = which.tolist()
+        if len(self.memory.known) > MEMORY:
+            self.memory = WindowMemory()
+        new, hashes = self.memory.find(keys)
+        if len(new):
+            size_a, size_b = stop_a[new] - start_a[new], stop_b[new] - start_b[new]
+            in_a, in_b = np.repeat(start_a[new], size_a) + ramp(size_a), np.repeat(start_b[new], size_b) + ramp(size_b)
+            self._learn(hashes, ids_a[in_a], ids_b[in_b], shared_a[in_a], shared_b[in_b], size_a, size_b)
+        index = self.memory.index(keys)
+        for table, ids in ((self.memory.a, ids_a), (self.memory.b, ids_b)):
+            if not np.array_equal(table[index][0], ids):
+                raise RuntimeError("two windows of ids share a 64-bit hash")
+        # windows, links and the written groups of each text
+        edge = np.concatenate([[0], np.searchsorted(stop_a, upto_a, "right")])
+        pairs, links = self.memory.pairs[index]
+        text, sizes = self.memory.text[index]
+        upto = [np.concatenate([[0], np.cumsum(c)])[edge] for c in (links, sizes, self.memory.groups[index])]
+        rows, chars, groups = (u.tolist() for u in upto)
+        text, out = text.tobytes(), []
         for i in range(n):
             if not good[i]:
                 out.append(_NOTHING)
                 continue
-            own, back = np.unique(pairs[rows[i]:rows[i + 1]], return_inverse=True)
-            often = np.bincount(back, times[rows[i]:rows[i + 1]], len(own)).astype(np.int64)
-            groups, links = (sums[i + 1] - sums[i]).tolist()
-            text = ";".join([self.texts[w] for w in which[edge[i]:edge[i + 1]]])
-            out.append((int(n_a[i]), int(n_b[i]), groups, links, text, own, often))
+            own, times = np.unique(pairs[rows[i]:rows[i + 1]], return_counts=True)
+            out.append((int(n_a[i]), int(n_b[i]), groups[i + 1] - groups[i], rows[i + 1] - rows[i],
+                        text[chars[i]:chars[i + 1] - 1], own, times))
         return out
 
-    def _lengths(self, which: np.ndarray) -> np.ndarray:
-        """Ids on either side of remembered windows."""
-        different, back = np.unique(which, return_inverse=True)
-        sizes = np.array([(len(a), len(b)) for a, b in (self.tuples[w] for w in different.tolist())], np.int64)
-        return sizes.T[:, back]
-
 
-_NOTHING = (0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
+_NOTHING = (0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 @lru_cache(maxsize=1)
@@ -214,38 +262,43 @@ def _aligner(byte_level: str, pieces: str) -> Aligner:
     return Aligner(byte_level, pieces)
 
 
-_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
-           "pairs array<long>, times array<long>")
+_SCHEMA = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, {} string, "
+           "pairs array<long>, times array<int>")
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str) -> Iterator[pa.RecordBatch]:
+def _aligned(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, digest: bool) -> Iterator[pa.RecordBatch]:
     aligner = _aligner(byte_level, pieces)
     for batch in batches:
         data, offsets = column_bytes(batch.column(1))
-        for lo, hi in slices(offsets):
+        for lo, hi in slices(offsets, WINDOW // 2):
             rows = aligner.align(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
             n_a, n_b, n_groups, n_links, groups, pairs, times = zip(*rows)
+            if digest:
+                groups = [hashlib.sha256(g).hexdigest().encode() if g else b"" for g in groups]
             at = np.cumsum([0, *map(len, pairs)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), *(pa.array(c, pa.int64()) for c in (n_a, n_b, n_groups, n_links)),
-                 pa.array(groups, pa.string()),
-                 *(pa.ListArray.from_arrays(at, pa.array(np.concatenate(c))) for c in (pairs, times))],
-                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"])
+                 pa.array(groups, pa.binary()).cast(pa.string()),
+                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(pairs))),
+                 pa.ListArray.from_arrays(at, pa.array(np.concatenate(times).astype(np.int32)))],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "written", "pairs", "times"])
 
 
-def align_documents(df: DataFrame, byte_level: str, pieces: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def align_documents(df: DataFrame, byte_level: str, pieces: str, digest: bool = False, id_col: str = "doc_id",
+                    text: str = "text") -> DataFrame:
     """One row per row of ``df``: doc_id, n_a, n_b, n_groups, n_links, groups, pairs, times.
 
     A is the byte-level tokenizer on a space and the text, B the piece model on
-    the text. ``groups`` is written ``a1,a2|b1;a3|b2,b3``; ``pairs`` holds each
-    linked pair once (A id << 32 | B id) and ``times`` how often it is linked.
+    the text. ``groups`` is written ``a1,a2|b1;a3|b2,b3`` (with ``digest`` there is
+    ``groups_sha256`` instead, its hash); ``pairs`` holds each linked pair once
+    (A id << 32 | B id) and ``times`` how often it is linked.
     Null and empty texts, and those that either side does not give back byte by
     byte, have no tokens: zeros, an empty string and empty arrays. Rows that
     repeat an id are rows of their own, a null id stays null, other columns are
     ignored; an empty table gives an empty result. Nothing is shuffled.
     """
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(lambda b: _aligned(b, byte_level, pieces), _SCHEMA)
+    return rows.mapInArrow(lambda b: _aligned(b, byte_level, pieces, digest), _SCHEMA.format("groups_sha256" if digest else "groups"))
 
 
 def pair_statistics(pairs: DataFrame) -> DataFrame:
@@ -270,9 +323,11 @@ def score_alignments(aligned: DataFrame, hot_pairs: int = HOT_PAIRS) -> DataFram
     key there holds more than that share of the rows. Rows are told apart by a
     number that is written with them, so ids may be null or repeat.
     """
+    if "groups" in aligned.columns:
+        aligned = aligned.withColumn("groups_sha256", F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(""))
     rows = written(aligned.select(
         F.monotonically_increasing_id().alias("__row"), "doc_id", "n_a", "n_b", "n_groups", "n_links",
-        F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"), "pairs", "times"))
+        "groups_sha256", "pairs", "times"))
     statistics = pair_statistics(rows.select(F.explode("pairs").alias("pair")))
     occurrences = statistics.agg(F.sum("docs")).first()[0] or 0
     least = -(-occurrences // hot_pairs)

@@ -105,7 +105,7 @@ def op10_substring_dedup(spark, sf_dir):
 def op11_token_alignment(spark, sf_dir):
     """Byte-level and piece tokens of every document aligned at anchors, links scored by document counts."""
     return crossalign.score_alignments(crossalign.align_documents(
-        documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model")))
+        documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digest=True))
 
 
 @query

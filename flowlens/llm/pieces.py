@@ -3,15 +3,14 @@
 A text is normalised first: at each place the longest prefix that the model's
 compiled character map knows (a double-array trie) is replaced, anything else
 stays a character, white space is handled as the model says, and every byte
-written records the source byte it comes from. The normalised text is then cut
-where no piece of the vocabulary can reach across; different cuts are encoded
-once by the library and remembered. Pieces are projected through the recorded
-alignment to byte spans of the original text.
+written records the source byte it comes from. The library encodes the normalised
+text, and its pieces are projected through the recorded alignment to byte spans of
+the original text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -19,10 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import SpanHasher, column_bytes, slices
+from .textbytes import column_bytes, slices
 
-#: Cuts that a task remembers.
-MEMORY = 800_000
 _MARK = "▁".encode()
 _BAD = "�".encode()
 _SPACE = 32
@@ -107,11 +104,26 @@ class CharacterMap:
         return self.ends[np.searchsorted(self.ends, value)] - value
 
 
+def _is_text(data: np.ndarray, offsets: np.ndarray) -> bool:
+    """Whether all texts are valid UTF-8."""
+    inner = offsets[:-1][offsets[:-1] < len(data)]
+    if ((data[inner] & 0xC0) == 0x80).any():
+        return False
+    try:
+        str(data.data, "utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 def character_starts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, valid) of the characters; a byte that starts no valid UTF-8
     sequence is a character of its own, not valid."""
     n = len(data)
     lead = data
+    if _is_text(data, offsets):
+        starts = np.flatnonzero((data & 0xC0) != 0x80)
+        return starts, np.diff(starts, append=n), np.ones(len(starts), bool)
     size = np.ones(n, np.int64)
     size[(lead >= 0xC2) & (lead < 0xE0)] = 2
     size[(lead >= 0xE0) & (lead < 0xF0)] = 3
@@ -159,6 +171,10 @@ class Normaliser:
         n = len(offsets) - 1
         if not len(data):
             return data, np.zeros(n + 1, np.int64), np.zeros(0, np.int64), offsets[1:].astype(np.int64)
+        if self.map is None and not self.kept and not self.squeeze and _is_text(data, offsets):
+            # nothing is replaced or dropped: every byte is written as it stands
+            text = np.repeat(np.arange(n), np.diff(offsets))
+            return self._escaped(data, np.arange(len(data)), text, offsets[:-1], offsets)
         starts, width, valid = character_starts(data, offsets)
         # units: source place, source length, place and length of the text written
         pool = [data, np.frombuffer(_BAD, np.uint8)]
@@ -262,49 +278,6 @@ class Normaliser:
         return out, np.searchsorted(out_text, np.arange(n + 1)), out_source, ends
 
 
-class SpanMemory:
-    """Remembers variable-length rows of numbers for byte spans told apart by 64-bit hashes."""
-
-    def __init__(self, types: tuple, limit: int = MEMORY):
-        self.types, self.limit = types, limit
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.place = np.zeros(0, np.int64)
-        self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-        self.columns = [np.zeros(0, t) for t in self.types]
-
-    def __call__(self, hashes: np.ndarray, learn: Callable) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        """(rows of each span, columns with the rows of all spans, index of each span).
-
-        ``learn(firsts)`` gets the places of the new spans in ``hashes`` and returns
-        (rows of each, columns).
-        """
-        if len(self.known) > self.limit:
-            self._forget()
-        different, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, different)
-        new = np.arange(len(different))
-        if len(self.known):
-            new = np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != different)
-        if len(new):
-            counts, columns = learn(first[new])
-            counts = np.asarray(counts, np.int64)
-            at = np.searchsorted(self.known, different[new])
-            self.known = np.insert(self.known, at, different[new])
-            self.place = np.insert(self.place, at, len(self.starts) + np.arange(len(new)))
-            self.starts = np.concatenate([self.starts, len(self.columns[0]) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.columns = [np.concatenate([a, np.asarray(b, t)]) for a, b, t in zip(self.columns, columns, self.types)]
-            at = np.searchsorted(self.known, different)
-        index = self.place[at][which]
-        counts = self.counts[index]
-        places = np.repeat(self.starts[index], counts) + _ramp(counts)
-        return counts, [c[places] for c in self.columns], index
-
-
 class PieceEncoder:
     """Ids and source spans of texts by a SentencePiece model file."""
 
@@ -326,44 +299,37 @@ class PieceEncoder:
     def _setup(self, sentencepiece, raw: bytes) -> None:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=raw)
         self.bare = sentencepiece.SentencePieceProcessor(model_proto=raw + _NO_RULES)
-        spec, trainer, kept, inner = b"", {}, [], False
+        spec, trainer, kept = b"", {}, []
         for number, value in message_fields(raw):
             if number == 1:
                 piece = dict(message_fields(value))
                 if piece.get(3) == 4:
                     kept.append(piece[1])
-                inner |= _reaches_over(piece[1])
             elif number == 2:
                 trainer.update(message_fields(value))
             elif number == 3:
                 spec += value  # later settings replace earlier ones, as in the library
         self.normalise = Normaliser(spec, kept, bool(trainer.get(24)))
-        #: byte-pair models never merge over a border that no piece spans
-        self.cuttable = trainer.get(3) == 2 and not inner and not kept and bool(trainer.get(35)) and self.normalise.escape
-        self.byte = np.array([self.library.is_byte(i) for i in range(self.library.vocab_size())])
+        names = [self.library.id_to_piece(i) for i in range(self.library.vocab_size())]
+        self.byte = np.array([self.library.is_byte(i) for i in range(len(names))])
+        #: normalised bytes of each piece; of a byte piece, those of the character that it begins
+        self.size = np.array([_utf8_width(int(p[3:5], 16)) if b else len(p.encode()) for p, b in zip(names, self.byte)])
+        self.unknown = self.library.unk_id()
         self.end_id = self.library.eos_id()
-        self.hashes = SpanHasher()
-        self.memory = SpanMemory((np.int32, np.int64))
-
-    def _learn(self, cuts: list[bytes]) -> tuple[list[int], list]:
-        """Ids of new cuts and the normalised bytes that each piece takes: of the
-        byte pieces of one character, the last takes all."""
-        ids = self.bare.encode(cuts, out_type=int)
-        pieces = self.bare.encode(cuts, out_type=str)
-        flat = [i for row in ids for i in row]
-        took = []
-        for row, names in zip(ids, pieces):
-            left = 0
-            for i, name in zip(row, names):
-                if not self.byte[i]:
-                    took.append(len(name.encode()))
-                    continue
-                if not left:
-                    first = int(name[3:5], 16)
-                    left = wide = 1 if first < 0x80 else 2 if first < 0xE0 else 3 if first < 0xF0 else 4
-                left -= 1
-                took.append(0 if left else wide)
-        return [len(r) for r in ids], [np.array(flat, np.int32), np.array(took, np.int64)]
+
+    def _sizes(self, ids: np.ndarray, texts: list[bytes], upto: np.ndarray) -> np.ndarray:
+        """Normalised bytes that each piece takes: of the byte pieces of one
+        character, the last takes all."""
+        took = self.size[ids]
+        where = np.flatnonzero(self.byte[ids])
+        lead = where[took[where] > 0]
+        wide = took[lead]
+        took[where] = 0
+        took[lead + wide - 1] = wide
+        if (ids == self.unknown).any():  # without byte pieces: an unknown piece takes what it stands for
+            for k in np.unique(np.searchsorted(upto, np.flatnonzero(ids == self.unknown), "right") - 1):
+                took[upto[k]:upto[k + 1]] = [len(p.encode()) for p in self.bare.encode(texts[k], out_type=str)]
+        return took
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(ids, begins, ends, offsets) of the texts data[offsets[i]:offsets[i + 1]];
@@ -372,38 +338,25 @@ class PieceEncoder:
         if not len(norm):
             none = np.zeros(0, np.int64)
             return none.astype(np.int32), none, none, np.zeros(len(offsets), np.int64)
-        cut = np.zeros(len(norm), bool)
-        cut[upto[:-1][upto[:-1] < len(norm)]] = True
-        if self.cuttable and len(norm) > 5:
-            mark = np.zeros(len(norm) + 3, bool)
-            mark[:len(norm) - 2] = (norm[:-2] == _MARK[0]) & (norm[1:-1] == _MARK[1]) & (norm[2:] == _MARK[2])
-            # a mark behind anything but a mark
-            cut[3:] |= mark[3:len(norm)] & ~mark[:len(norm) - 3]
-        starts = np.flatnonzero(cut)
-        stops = np.append(starts[1:], len(norm))
-
-        def learn(new: np.ndarray):
-            return self._learn([norm[a:b].tobytes() for a, b in zip(starts[new].tolist(), stops[new].tolist())])
-
-        counts, (ids, took), _ = self.memory(self.hashes(norm, starts, stops), learn)
-        rows = np.concatenate([[0], np.cumsum(counts)])
-        at = rows[np.searchsorted(starts, upto)]
+        raw = norm.tobytes()
+        texts = [raw[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
+        found = self.bare.encode_as_numpy(texts, num_threads=1)
+        ids = np.concatenate(found)
+        at = np.concatenate([[0], np.cumsum([len(f) for f in found])])
+        took = self._sizes(ids, texts, at)
         stop = np.cumsum(took)
-        begin = stop - took
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(at))
         # a zero-length piece stands where its character does
         places = np.append(source, 0)
-        begins = places[begin]
-        ends = np.where(stop == upto[text + 1], finish[text], places[np.minimum(stop, len(norm))])
+        begins = places[stop - took]
+        ends = np.where(stop == upto[text + 1], finish[text], places[stop])
         ends = np.where(took > 0, ends, begins)
         return ids, begins - offsets[text], ends - offsets[text], at
 
 
-def _reaches_over(piece: bytes) -> bool:
-    """Whether a piece has a mark behind anything else."""
-    while piece.startswith(_MARK):
-        piece = piece[len(_MARK):]
-    return _MARK in piece
+def _utf8_width(byte: int) -> int:
+    """Bytes of the character that a byte begins; 0 where it continues one."""
+    return 1 if byte < 0x80 else 0 if byte < 0xC0 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
 
 
 @lru_cache(maxsize=2)
@@ -427,7 +380,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: bool) -> Iterato
                 ids = np.insert(ids, at[1:], encoder.end_id)
                 begins, ends = np.insert(begins, at[1:], sizes), np.insert(ends, at[1:], sizes)
                 at = at + np.arange(len(at))
-            rows = [r.tolist() for r in np.split(ids, at[1:-1])]
+            rows = np.split(ids, at[1:-1])
             lists = [pa.ListArray.from_arrays(at.astype(np.int32), pa.array(c.astype(np.int32))) for c in (ids, begins, ends)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), *lists, pa.array(encoder.library.decode(rows), pa.string())],

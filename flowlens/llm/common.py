@@ -15,22 +15,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Buckets of one ordered scan (see ``prefix_sums``).
 BUCKETS = 4096
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a temporary one only where the
-    session names none (local runs and tests)."""
+    """The folder of ``spark.checkpoint.dir``; a temporary one only for a local
+    session that names none. On a cluster that would be lost to the other machines."""
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = tempfile.mkdtemp(prefix="flowlens-shared-")
         context.setCheckpointDir(base)
     return base.rstrip("/")
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package's modules to the Python workers, once for a context."""
+    """Send this package's modules to the Python workers, once for a context, and
+    text to them in batches that stay small where documents are long."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, "1024")
     if not getattr(context, "_flowlens_shipped", False):
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         target = os.path.join(tempfile.mkdtemp(prefix="flowlens-modules-"), "flowlens.zip")
@@ -56,24 +62,58 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def one_of_each(df: DataFrame, kept: DataFrame, *keys: tuple[Column, str]) -> DataFrame:
-    """One row of ``df`` for each row of ``kept``, with all columns of ``df``.
+def quoted(name: str) -> str:
+    """A column name as it is written in an expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row, of any types."""
+    return F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in df.columns])))
+
 
-    ``keys`` are pairs of an expression over ``df`` and the column of ``kept``
-    that it equals (null equals null); ``kept`` has ``__n``, the rows of ``df``
-    with that key. Of several the smallest stays; they are pre-aggregated, so a
-    key that a third of all rows hold is a row for each task.
+def with_decisions(df: DataFrame, decisions: DataFrame, *keys: tuple[Column, str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with the columns of ``decisions`` under names of their own, and those names.
+
+    ``keys`` are pairs of an expression over ``df`` and the column of ``decisions``
+    that it equals (null equals null); rows without a decision go. ``decisions``
+    is narrow and has one row for each key. It is the side that is held in a hash
+    map, partition by partition, and never more than its part of the texts; these
+    are shuffled once, streamed, and neither sorted nor gathered.
     """
-    kept = written(kept)
+    names = [free_name(df, f"__{c}") for c in decisions.columns]
+    named = decisions.toDF(*names).hint("shuffle_hash")
     on = None
-    for value, name in keys:
-        same = value.eqNullSafe(F.col(name))
+    for value, column in keys:
+        same = value.eqNullSafe(F.col(names[decisions.columns.index(column)]))
         on = same if on is None else on & same
-    names = [name for _, name in keys]
-    single = df.join(kept.where("__n = 1"), on, "left_semi")
-    several = (df.join(kept.where("__n > 1"), on).groupBy(*names)
-               .agg(F.min(F.struct(*[F.col(c) for c in df.columns])).alias("__row")))
-    return single.unionByName(several.select("__row.*"))
+    return df.join(named, on), names
+
+
+def one_of_each(df: DataFrame, kept: DataFrame, *keys: tuple[Column, str]) -> DataFrame:
+    """One row of ``df`` for each row of ``kept``, with all columns of ``df``.
+
+    ``keys`` as in ``with_decisions``; ``kept`` has also ``n``, the rows of ``df``
+    with that key. Of several the one with the lowest hash of all columns stays;
+    they are pre-aggregated, so a key that a third of all rows hold is a row for
+    each task. Columns may have any type and any name.
+    """
+    joined, names = with_decisions(df, written(kept), *keys)
+    n = F.col(names[kept.columns.index("n")])
+    columns = [F.col(quoted(c)) for c in df.columns]
+    row = free_name(df, "__row")
+    several = joined.where(n > 1).groupBy(*[names[kept.columns.index(k)] for _, k in keys]).agg(
+        F.min_by(F.struct(*columns), row_hash(df)).alias(row))
+    return joined.where(n == 1).select(*columns).unionByName(
+        several.select(*[F.col(row).getField(c).alias(c) for c in df.columns]))
 
 
 def let(value: Column, body) -> Column:

@@ -68,7 +68,6 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     The largest id of a text stays. Rows that agree in id and text, null ids
     included, are one document delivered more than once, and one of them stays.
     """
-    kept = exact_groups(df, id_col, text).where("kept").groupBy(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).agg(F.count(F.lit(1)).alias("__n"))
+    kept = exact_groups(df, id_col, text).where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"))
     sha = F.sha2(ascii_lower(F.coalesce(F.col(text), F.lit(""))), 256)
-    return one_of_each(df, kept, (F.col(id_col), "__id"), (sha, "__sha"))
+    return one_of_each(df, kept, (F.col(id_col), "doc_id"), (sha, "text_sha256"))

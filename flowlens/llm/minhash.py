@@ -175,7 +175,7 @@ def _forest(block: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of ``edges`` (a, b) reaches.
 
     Alternates large-star and small-star rounds, in which a node's neighbours
@@ -201,13 +201,10 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     # a is the larger end throughout
     now = written(edges.where("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    for _ in range(max_rounds):
+    before, after = None, state(now)
+    while after != before:
+        before, now = after, written(small_star(large_star(now)))
         after = state(now)
-        if after == before:
-            break
-        before = after
-        now = written(small_star(large_star(now)))
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return stars.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
@@ -250,8 +247,9 @@ def verified_links(df: DataFrame, classes: DataFrame, near: DataFrame, text: str
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     placed = written(members.join(blocks, F.col("root") == F.col("r"))
                      .select("node", "rep", "root", "blocks", own.alias("own")))
-    texts = df.select(F.col(text).alias("text"), F.col(id_col).alias("id")).join(
-        placed.select("rep").distinct(), F.col("id").eqNullSafe(F.col("rep")), "left_semi").select("text")
+    # representatives are the narrow side, held partition by partition; texts stream past them
+    texts = df.select(F.col(text).alias("text"), F.col(id_col).cast("long").alias("id")).join(
+        placed.select("rep").distinct().hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep")), "left_semi").select("text")
     sets = texts.mapInArrow(lambda b: _full_sets(b, words), "node long, values array<long>")
     spread = placed.select("node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     spread = spread.select(F.col("node").alias("m"), "root", F.least("own", "other").alias("i"),
@@ -309,8 +307,8 @@ def drop_near_duplicates(df: DataFrame, words: int = 5, percent: int = 80, id_co
     """
     rows = _components(df, words, percent, id_col, text)
     alone = F.col("component").isNull()
-    per = rows.groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("__n"))
+    per = rows.groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
     first = (per.groupBy("component", F.when(alone, F.col("doc_id")).alias("own"), F.when(alone, F.col("key")).alias("text"))
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "__n")).alias("f")))
-    kept = first.select(F.col("f.doc_id").alias("__id"), F.col("f.key").alias("__key"), F.col("f.__n").alias("__n"))
-    return one_of_each(df, kept, (F.col(id_col).cast("long"), "__id"), (F.xxhash64(F.col(text)), "__key"))
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key", "n")).alias("f")))
+    return one_of_each(df, first.select("f.doc_id", "f.key", "f.n"),
+                       (F.col(id_col).cast("long"), "doc_id"), (F.xxhash64(F.col(text)), "key"))

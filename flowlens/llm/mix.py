@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BUCKETS, prefix_sums, word_count, written
+from .common import BUCKETS, free_name, prefix_sums, quoted, row_hash, with_decisions, word_count, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -159,23 +159,24 @@ def mixed_documents(df: DataFrame, id_col: str = "doc_id", text: str = "text", s
 
     Rows of the same id, source and size are interchangeable: they share the
     copies that they got together evenly, and where that leaves a rest, the first
-    in the order of a hash of the whole row take one more.
+    in the order of a hash of the whole row take one more. Columns may have any
+    type and any name.
     """
-    key = ["__id", "__source", "__size"]
     taken = written(mix_sources(df, id_col, text, source, **options)
-                    .groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-                    .agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")).where("__all > 0"))
-    on = (F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source"))
-          & (word_count(F.col(text)) == F.col("__size")))
-    even = df.join(taken.where("__all % __rows = 0"), on).withColumn("__copies", F.expr("__all div __rows"))
+                    .groupBy("doc_id", "source", "size")
+                    .agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("rows")).where("all > 0"))
+    joined, names = with_decisions(df, taken, (F.col(id_col), "doc_id"), (F.col(source), "source"),
+                                   (word_count(F.col(text)), "size"))
+    key, (wanted, rows) = names[:3], names[3:]
+    columns = [F.col(quoted(c)) for c in df.columns]
+    row, same, h, at, upto, many = (free_name(joined, f"__{c}") for c in ("row", "same", "hash", "at", "upto", "copies"))
+    rest, each = F.col(wanted) % F.col(rows), F.expr(f"{wanted} div {rows}")
+    even = joined.where(rest == 0).select(*columns, each.cast("int").alias(many))
     # equal rows are counted, not numbered: a key of many rows needs no task of its own
-    uneven = (df.join(taken.where("__all % __rows <> 0"), on).groupBy(*df.columns, *key, "__all", "__rows")
-              .agg(F.count(F.lit(1)).alias("__same")))
-    h = F.xxhash64(*df.columns)
-    run = prefix_sums(uneven.withColumn("__at", F.pmod(h, F.lit(BUCKETS)).cast("int")), key, "__at",
-                      [h, *map(F.col, df.columns)], {"__upto": "__same"})
-    rest = F.expr("__all % __rows") - (F.col("__upto") - F.col("__same"))
-    shared = run.withColumn("__copies", F.expr("(__all div __rows) * __same")
-                            + F.greatest(F.lit(0), F.least(F.col("__same"), rest)))
-    many = even.select(*df.columns, "__copies").unionByName(shared.select(*df.columns, "__copies")).where("__copies > 0")
-    return many.select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")).drop("__copy")
+    uneven = joined.where(rest != 0).groupBy(*key, wanted, rows, row_hash(df).alias(h)).agg(
+        F.any_value(F.struct(*columns)).alias(row), F.count(F.lit(1)).alias(same))
+    run = prefix_sums(written(uneven).withColumn(at, F.pmod(h, F.lit(BUCKETS)).cast("int")), key, at, [F.col(h)], {upto: same})
+    more = F.greatest(F.lit(0), F.least(F.col(same), rest - (F.col(upto) - F.col(same))))
+    shared = run.select(*[F.col(row).getField(c).alias(c) for c in df.columns], (each * F.col(same) + more).cast("int").alias(many))
+    # a copy of a row for each element: the array is of numbers, the text stands once
+    return even.unionByName(shared).where(F.col(many) > 0).withColumn(at, F.explode(F.sequence(F.lit(1), F.col(many)))).select(*columns)

@@ -39,3 +39,33 @@ def test_copies_of_the_mix_are_those_of_the_rows(spark, docs):
         want[r["doc_id"], r["source"], r["size"]] += r["copies"]
     got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in mix.mixed_documents(df).collect())
     assert got == +want
+
+
+def test_columns_of_any_type_and_name(spark, docs):
+    """Map columns, dotted names and names like inner ones pass all stages that drop or repeat rows."""
+    text = [_long(k % 9, 40 + k % 3) for k in range(60)]
+    rows = [(k if k % 7 else None, t, "ab"[k % 2], {"k": k % 2}, k % 3, 1, 2, 3, [k % 2]) for k, t in enumerate(text)]
+    rows += rows[:20] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, m map<string,int>, `a.b` int, "
+                                     "__n int, __doc_id int, __row int, `n` array<int>")
+    for f in (exact.drop_copies, minhash.drop_near_duplicates, mix.mixed_documents):
+        out = f(df)
+        assert out.columns == df.columns
+        got = [(r["doc_id"], r["text"], r["source"], r["m"], r["a.b"], r["__n"], r["__doc_id"], r["__row"], r["n"]) for r in out.collect()]
+        assert got and all(g in rows for g in got)
+        if f is exact.drop_copies:
+            # null never stays before an id; of rows without one a single row stays
+            assert len(got) == len({t for _, t, *_ in rows})
+        assert f(df.where("1 = 0")).count() == 0
+        # equal rows are one document for the two that drop, and share their copies in the mix
+        again = sorted(map(str, [tuple(r) for r in f(df).collect()]))
+        assert again == sorted(map(str, [tuple(r) for r in out.collect()]))
+
+
+def test_long_chains_are_followed_to_the_end(spark, docs):
+    """A path of nodes, however long, is one component."""
+    n = 3000
+    edges = spark.createDataFrame([(k * 7919 % 100_003, (k + 1) * 7919 % 100_003) for k in range(n)], "a long, b long")
+    got = [tuple(r) for r in minhash.connected(edges).collect()]
+    low = min(k * 7919 % 100_003 for k in range(n + 1))
+    assert len(got) == n + 1 and {r for _, r in got} == {low}

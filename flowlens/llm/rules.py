@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, let, written
@@ -116,16 +116,14 @@ def tree_rules(forest) -> list[tuple[tuple[str, bool, float], ...]]:
 
 
 def bounded_rows(rows: DataFrame, label: str, max_rows: int) -> DataFrame:
-    """The ``max_rows`` rows of each class with the lowest id hashes.
-
-    Found in two steps: many tasks rank parts of a class first, so that the last
-    ranking sees 64 * ``max_rows`` rows of a class at most.
+    """Some ``max_rows`` rows of each class: those whose hash lies below a threshold
+    that follows from the class's number of rows (nothing is sorted). Equal rows
+    are one row.
     """
-    rows = rows.withColumns({"__h": F.xxhash64("doc_id"), "__part": F.pmod(F.xxhash64("doc_id"), F.lit(64))})
-    for keys in ([label, "__part"], [label]):
-        lowest = Window.partitionBy(*keys).orderBy("__h", "doc_id")
-        rows = rows.withColumn("__n", F.row_number().over(lowest)).where(F.col("__n") <= max_rows).drop("__n")
-    return rows.drop("__h", "__part")
+    sizes = written(rows.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__rows")))
+    place = F.shiftrightunsigned(F.xxhash64(*rows.columns), 11) / float(1 << 53)
+    return rows.join(sizes, F.col(label) == F.col("__class")).where(
+        place < F.lit(float(max_rows)) / F.col("__rows")).select(*rows.columns).distinct()
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str = "quality",
@@ -138,8 +136,8 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label: str
     """
     y = labels.where(F.col(label).isin(0, 1)).select(
         F.col(id_col).alias("__id"), F.col(label).cast("double").alias("__y"))
-    rows = written(bounded_rows(stats.join(y, F.col("doc_id") == F.col("__id")).drop("__id"), "__y", max_rows)
-                   .select("doc_id", "__y", *STATISTICS).repartition(8, "doc_id"))
+    labelled = stats.join(y, F.col("doc_id") == F.col("__id")).select("doc_id", "__y", *STATISTICS)
+    rows = written(bounded_rows(labelled, "__y", max_rows).repartition(8, "doc_id"))
     seen = {r["__y"]: r["n"] for r in rows.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(seen) < 2:
         return Ensemble({1.0: 50.0, 0.0: -50.0}.get(next(iter(seen), None), 0.0), [])

@@ -4,15 +4,19 @@ A text becomes lower-case letters with single spaces for all else. For each
 learned language an order-``ORDER`` character model with absolute discounting
 and continuation counts is kept in sorted hash arrays: the hashes of all seen
 n-grams of an order, sorted, beside a row of log-probabilities and back-off
-weights per language. The language of the lowest cross-entropy per character
-wins; a text is rejected where that entropy lies beyond what the language's
-calibration documents show at its length.
+weights per language. Counts, discounts, back-offs and probabilities are grouped
+and joined on the executors; only the finished arrays reach the driver.
+
+The language of the lowest cross-entropy per character wins. A text is rejected
+where that entropy lies further above the language's usual one than documents
+set aside from learning do at the same effective length (their different
+n-grams, so that a text that repeats itself counts as the short text it is).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
@@ -20,23 +24,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 ORDER = 4
-#: Learning takes at most this many documents of a language (lowest hashes first).
+#: Learning takes about this many documents of a language, whole (those with the lowest hashes),
 MAX_DOCS = 1500
-#: and this many characters of each of them.
-MAX_DOC_CHARS = 8_000
-#: One in this many learning documents calibrates instead of counting.
+#: and fewer where there are many languages, so that n-grams times languages stay
+#: below some MAX_CELLS (a document brings some GRAMS_A_DOC n-grams that others lack).
+MAX_CELLS = 20_000_000
+GRAMS_A_DOC = 100
+#: One in this many learning documents calibrates instead of counting, in languages
+#: with at least MIN_ROWS of them; smaller languages count all.
 CALIBRATION = 5
-#: Rejection beyond this many (robust) deviations, or three times the 90th percentile
-#: of the calibration documents if that is more; languages with fewer than
-#: MIN_SHOWN of them reject nothing but texts without letters.
-DEVIATIONS = 6.0
-MIN_SHOWN = 10
-#: and never within this distance (nats per symbol) of the language's usual
-#: entropy: texts that repeat themselves vary more than their length tells.
-MIN_EXCESS = 1.0
+MIN_ROWS = 50
+#: Rejection beyond this many times the QUANTILE of the calibration documents'
+#: distances, by octaves of the effective length with at least MIN_SHOWN documents
+#: each. The quantile does not move where some of them are in a wrong language; the
+#: factor covers the heavy tail of right ones (one in 300 lies beyond).
+REACH = 10.0
+QUANTILE = 0.9
+MIN_SHOWN = 20
+OCTAVES = 14
 UNKNOWN = "und"
-_WINDOW = 1 << 19
+_WINDOW = 1 << 17
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,10 +87,10 @@ class Model:
     logp: list[np.ndarray]
     backoff: list[np.ndarray]
     floor: np.ndarray
-    mean: np.ndarray
-    spread: np.ndarray
-    noise: np.ndarray
-    reach: np.ndarray
+    #: per language the usual entropy of its calibration documents (null: too few),
+    usual: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: and how far above it a text may lie, by octave of its effective length
+    limits: np.ndarray = field(default_factory=lambda: np.full(OCTAVES, np.inf))
 
     def _find(self, order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         table = self.grams[order - 1]
@@ -141,6 +151,15 @@ class Model:
         flush()
         return total / np.maximum(count, 1)[:, None], count
 
+    def allowed(self, best: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The highest entropy that passes. Languages without calibration documents
+        of their own borrow the highest usual entropy and the widest limit."""
+        if not np.isfinite(self.usual).any():
+            return np.full(len(best), np.inf)
+        own = np.isfinite(self.usual[best])
+        usual = np.where(own, self.usual[best], np.nanmax(self.usual))
+        return usual + np.where(own, self.limits[octave(length)], self.limits[0])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score from 0 to 1, rejected) of each text."""
         texts = [t or "" for t in texts]
@@ -150,34 +169,48 @@ class Model:
         weight = np.minimum(n, 40)[:, None]
         odds = np.exp((lowest[:, None] - entropy) * weight)
         score = 1.0 / odds.sum(1)
-        limit = self.mean[best] + np.maximum(MIN_EXCESS, self.reach[best] * np.sqrt(
-            self.spread[best] + self.noise[best] / np.maximum(n, 1)))
+        # limits fall with the length: only texts beyond the limit of their full length need the effective one
+        out = lowest > self.allowed(best, n)
+        far = np.flatnonzero(out)
+        out[far] = lowest[far] > self.allowed(best[far], np.array([effective_length(texts[i]) for i in far], np.int64))
         # a text without a letter is a single space or nothing
         bare = n <= 1
         names = [UNKNOWN if b else self.languages[k] for b, k in zip(bare, best)]
-        return names, np.where(bare, 0.0, score), bare | (lowest > limit)
+        return names, np.where(bare, 0.0, score), bare | out
 
 
-def _learning_rows(df: DataFrame, text: str, lang: str, key: Column, max_docs: int) -> DataFrame:
-    """(lang, text, calibrate) of the ``max_docs`` rows of a language with the
-    lowest hashes. The thresholds come from ids alone: one number a language."""
-    from pyspark.sql import Window
+def octave(length: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(length, 1)).astype(int), OCTAVES - 1)
+
+
+def effective_length(text: str) -> int:
+    """Different n-grams of a text."""
+    return len(np.unique(gram_hashes(symbols(text), ORDER)))
 
-    keyed = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
-        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key).alias("h"))
-    # in two steps: a language of a third of all rows is ranked by many tasks first
-    def lowest(rows: DataFrame, *parts) -> DataFrame:
-        return rows.withColumn("n", F.row_number().over(Window.partitionBy("lang", *parts).orderBy("h"))).where(
-            F.col("n") <= max_docs).drop("n")
 
-    ranked = lowest(lowest(keyed.select("lang", "h").withColumn("part", F.pmod("h", F.lit(64))), "part"))
-    top = ranked.groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("top"))
-    return keyed.join(F.broadcast(top), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top"))).select(
-        "lang", "text", (F.pmod("h", F.lit(CALIBRATION)) == 0).alias("calibrate"))
+def _learning_rows(df: DataFrame, text: str, lang: str, key: Column, max_docs: int) -> tuple[DataFrame, list[str]]:
+    """(lang, text, calibrate) of some ``max_docs`` rows of each language, and the languages.
+
+    Rows are taken by a hash of key and text below a threshold that follows from
+    the language's number of rows (one count, nothing is sorted); equal rows are
+    one document.
+    """
+    keyed = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(key, F.col(text)).alias("h"))
+    sizes = written(keyed.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")))
+    count = sizes.count()
+    docs = max(1, min(max_docs, MAX_CELLS // (GRAMS_A_DOC * max(count, 1) ** 2)))
+    # the lowest 53 bits of the hash, a fraction of one
+    place = F.shiftrightunsigned("h", 11) / float(1 << 53)
+    part = sizes.select(F.col("lang").alias("l"), (F.lit(float(docs)) / F.col("rows")).alias("part"), "rows")
+    taken = keyed.join(part, (F.col("lang") == F.col("l")) & (place < F.col("part")))
+    rows = taken.groupBy("lang", "h").agg(F.any_value("text").alias("text"), F.any_value("rows").alias("rows"))
+    aside = (F.least("rows", F.lit(docs)) >= MIN_ROWS) & (F.pmod("h", F.lit(CALIBRATION)) == 0)
+    return written(rows.select("lang", "text", aside.alias("calibrate"))), [r["lang"] for r in sizes.orderBy("lang").collect()]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, order, hash, context hash, suffix hash, n) of the counted rows."""
+    """(lang, gram, hash, context hash, suffix hash, n) of the n-grams of whole texts."""
     lead = np.full(ORDER - 1, 32, np.uint32)
     for batch in batches:
         langs = batch.column(0).to_pylist()
@@ -186,14 +219,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = []
             for l, t in zip(langs, texts):
                 if l == lang:
-                    parts += [lead, symbols(t[:MAX_DOC_CHARS])[1:]]
+                    parts.append(np.concatenate([lead, symbols(t)[1:]]))
             points = np.concatenate(parts)
+            text = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
             for order in range(1, ORDER + 1):
-                grams = gram_hashes(points, order)
+                # n-grams that do not reach from one text into the next
+                inside = text[order - 1:] == text[:len(text) - order + 1]
+                grams = gram_hashes(points, order)[inside]
                 different, first, n = np.unique(grams, return_index=True, return_counts=True)
-                blank = np.zeros(len(different), np.uint64)
-                context = gram_hashes(points, order - 1)[first] if order > 1 else blank
-                suffix = gram_hashes(points, order - 1)[first + 1] if order > 1 else blank
+                context = suffix = np.zeros(len(different), np.uint64)
+                if order > 1:
+                    shorter = gram_hashes(points, order - 1)
+                    at = np.flatnonzero(inside)[first]
+                    context, suffix = shorter[at], shorter[at + 1]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([lang] * len(different), pa.string()),
                     pa.array(np.full(len(different), order, np.int32)),
@@ -202,113 +240,152 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names=["lang", "gram", "hash", "context", "suffix", "n"])
 
 
-def _kneser_ney(counts, languages: list[str]) -> tuple[list, list, list, np.ndarray]:
-    """Dense tables over the union of seen n-grams from the counted n-grams."""
+def _by_language(value: Column, size: int, body) -> Column:
+    """An array with ``body(entry, index)`` for each language, from a map by index."""
+    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: body(F.try_element_at(value, i), i))
+
+
+def kneser_ney(counts: DataFrame, languages: list[str]) -> tuple[list[DataFrame], np.ndarray]:
+    """Per order a table (hash, logp, backoff), with a number for each language,
+    and the log-probability of a symbol never seen.
+
+    ``counts`` has lang, gram (its order), hash, context, suffix and n. The highest
+    order goes by counts, lower ones by how many different symbols stand before
+    the n-gram. ``backoff`` weighs the shorter n-gram behind this one as context.
+    """
     size = len(languages)
-    code = {l: i for i, l in enumerate(languages)}
-    lang = counts["lang"].map(code).to_numpy()
-    order = counts["gram"].to_numpy()
-    cols = {c: counts[c].to_numpy().view(np.uint64) for c in ("hash", "context", "suffix")}
-    n = counts["n"].to_numpy().astype(float)
-    grams, logp, backoff = [], [], []
-    alphabet = len(np.unique(cols["hash"][order == 1]))
-    below = np.full((1, size), 1.0 / (alphabet + 1))
-    floor = np.log(below[0])
+    codes = counts.sparkSession.createDataFrame(list(enumerate(languages)), "l int, name string")
+    coded = counts.join(codes, F.col("lang") == F.col("name"))
+    raw = []
+    for k in range(1, ORDER + 1):
+        own = coded.where(F.col("gram") == k)
+        if k < ORDER:
+            before = coded.where(F.col("gram") == k + 1).groupBy(F.col("l").alias("bl"), F.col("suffix").alias("bh")).agg(
+                F.count(F.lit(1)).alias("before"))
+            own = own.join(before, (F.col("l") == F.col("bl")) & (F.col("hash") == F.col("bh")), "left").select(
+                "l", "hash", "context", "suffix", F.coalesce("before", F.lit(0)).cast("double").alias("raw"))
+        else:
+            own = own.select("l", "hash", "context", "suffix", F.col("n").cast("double").alias("raw"))
+        raw.append(written(own))
+    discounts = []
+    for own in raw:
+        seen = own.groupBy("l").agg(F.count_if(F.col("raw") == 1).alias("one"), F.count_if(F.col("raw") == 2).alias("two"))
+        d = np.full(size, 0.5)
+        for r in seen.collect():
+            if r["one"] + r["two"]:
+                d[r["l"]] = np.clip(r["one"] / (r["one"] + 2 * r["two"]), 0.1, 0.9)
+        discounts.append(F.array(*[F.lit(float(x)) for x in d]))
+
+    def contexts(k: int) -> DataFrame:
+        """(c, m): for each context of order ``k`` n-grams, languages to (total, weight of shorter ones)."""
+        sums = raw[k - 1].groupBy("context", "l").agg(F.sum("raw").alias("total"), F.count_if(F.col("raw") > 0).alias("kinds"))
+        weight = F.element_at(discounts[k - 1], F.col("l") + 1) * F.col("kinds") / F.col("total")
+        return sums.where("total > 0").groupBy(F.col("context").alias("c")).agg(F.map_from_entries(F.collect_list(
+            F.struct("l", F.struct("total", weight.alias("weight"))))).alias("m"))
+
+    alphabet = raw[0].select("hash").distinct().count()
+    unseen = 1.0 / (alphabet + 1)
+    # n-grams that nothing is known of: the weight of the root times an even share
+    root = contexts(1).first()
+    floor = np.array([np.log((root["m"][i]["weight"] if root and i in root["m"] else 1.0) * unseen) for i in range(size)])
+    tables, low = [], None
     for k in range(1, ORDER + 1):
-        pick = order == k
-        table, at = np.unique(cols["hash"][pick], return_inverse=True)
-        raw = np.zeros((len(table), size))
-        np.add.at(raw, (at, lang[pick]), n[pick])
-        if k < ORDER:  # continuation counts: different symbols before the n-gram
-            up = order == k + 1
-            raw[:] = 0
-            place = np.searchsorted(table, cols["suffix"][up])
-            np.add.at(raw, (place, lang[up]), 1.0)
-        first = np.zeros(len(table), np.int64)
-        first[at] = np.flatnonzero(pick)
-        if k == 1:
-            context = np.zeros(len(table), np.int64)
-            contexts = 1
-            low = below
-            suffix = np.zeros(len(table), np.int64)
+        grams = raw[k - 1].groupBy("hash").agg(
+            F.min("context").alias("context"), F.min("suffix").alias("suffix"),
+            F.map_from_entries(F.collect_list(F.struct("l", "raw"))).alias("counts"))
+        rows = grams.join(contexts(k), F.col("context") == F.col("c"), "left")
+        if low is None:
+            rows = rows.withColumn("low", F.array_repeat(F.lit(unseen), size))
         else:
-            context = np.searchsorted(grams[-1], cols["context"][first])
-            contexts = len(grams[-1])
-            low = np.exp(logp[-1].astype(float))
-            suffix = np.searchsorted(grams[-1], cols["suffix"][first])
-        total = np.zeros((contexts, size))
-        np.add.at(total, context, raw)
-        kinds = np.zeros((contexts, size))
-        np.add.at(kinds, context, (raw > 0).astype(float))
-        ones, twos = (raw == 1).sum(0), (raw == 2).sum(0)
-        discount = np.where(ones + twos > 0, ones / np.maximum(ones + 2 * twos, 1), 0.5).clip(0.1, 0.9)
-        safe = np.maximum(total, 1)
-        gamma = np.where(total > 0, discount * kinds / safe, 1.0)
-        p = np.maximum(raw - discount, 0) / safe[context] + gamma[context] * low[suffix]
-        p = np.where(total[context] > 0, p, low[suffix])
-        if k > 1:
-            backoff.append(np.log(gamma).astype(np.float32))
+            rows = rows.join(low.select(F.col("hash").alias("s"), F.col("p").alias("low")), F.col("suffix") == F.col("s"))
+
+        def probability(entry: Column, i: Column) -> Column:
+            shorter = F.element_at("low", i + 1)
+            count = F.coalesce(F.try_element_at(F.col("counts"), i), F.lit(0.0))
+            own = F.greatest(count - F.element_at(discounts[k - 1], i + 1), F.lit(0.0)) / entry["total"]
+            return F.when(entry.isNull(), shorter).otherwise(own + entry["weight"] * shorter)
+
+        low = written(rows.select("hash", _by_language(F.col("m"), size, probability).alias("p")))
+        table = low.select("hash", F.transform("p", lambda x: F.log(x)).cast("array<float>").alias("logp"))
+        if k < ORDER:
+            behind = contexts(k + 1)
+            weight = _by_language(F.col("m"), size, lambda e, i: F.log(F.coalesce(e["weight"], F.lit(1.0))))
+            table = table.join(behind, F.col("hash") == F.col("c"), "left").select(
+                "hash", "logp", weight.cast("array<float>").alias("backoff"))
         else:
-            floor = np.log(gamma[0] * below[0])
-        grams.append(table)
-        logp.append(np.log(p).astype(np.float32))
-    backoff.append(np.zeros((1, size), np.float32))
-    return grams, logp, backoff, floor.astype(np.float32)
+            table = table.withColumn("backoff", F.array_repeat(F.lit(0.0).cast("float"), size))
+        tables.append(table)
+    return tables, floor.astype(np.float32)
+
+
+def _arrays(table: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The finished arrays of one order, sorted by hash."""
+    rows = table.toArrow().combine_chunks()
+    hashes = rows["hash"].combine_chunks().to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    dense = [rows[c].combine_chunks().flatten().to_numpy().reshape(-1, size)[order] for c in ("logp", "backoff")]
+    return hashes[order], *dense
 
 
 def fit(df: DataFrame, key: Column, text: str = "text", lang: str = "lang",
         max_docs: int = MAX_DOCS) -> Model | None:
     """A model of all languages in ``lang``; None where no row has one with a text.
 
-    ``key`` orders the rows of the bounded learning sample. N-grams are counted
-    on the executors; what reaches the driver is bounded by the sample
-    (``max_docs`` texts of ``MAX_DOC_CHARS`` characters for each language).
+    ``key`` and the text order the rows of the learning sample, which is bounded
+    for each language (``max_docs``); its texts are read whole. What reaches the
+    driver are the finished arrays, some MAX_CELLS numbers at most, and one
+    distance for each calibration document. Every language with a text is learned.
     """
-    rows = _learning_rows(df, text, lang, key, max_docs)
+    rows, languages = _learning_rows(df, text, lang, key, max_docs)
+    if not languages:
+        return None
     counted = rows.where(~F.col("calibrate")).select("lang", "text").mapInArrow(
         _count, "lang string, gram int, hash long, context long, suffix long, n long")
-    counts = (counted.groupBy("lang", "gram", "hash").agg(
-        F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix"))
-        .orderBy("lang", "gram", "hash").toPandas())
-    if not len(counts):
-        return None
-    languages = sorted(counts["lang"].unique())
-    size = len(languages)
-    grams, logp, backoff, floor = _kneser_ney(counts, languages)
-    model = Model(languages, grams, logp, backoff, floor, np.full(size, np.inf),
-                  np.full(size, 0.01), np.full(size, 4.0), np.full(size, DEVIATIONS))
-    shown = rows.where(F.col("calibrate")).select("lang", "text").mapInArrow(
-        lambda batches: _calibrate(batches, model), "lang string, n long, entropy double")
-    seen = shown.toPandas()
-    short, shown_at = [], {}
-    for i, name in enumerate(languages):
-        own = seen[(seen["lang"] == name) & (seen["n"] >= 20)]
-        if len(own) < MIN_SHOWN:
-            continue
-        e, n = own["entropy"].to_numpy(), own["n"].to_numpy()
-        model.mean[i] = np.median(e)
-        away = (e - model.mean[i]) ** 2
-        long = n >= 400
-        # the median of squares is 0.455 times the variance of a normal error
-        model.spread[i] = max(np.median(away[long]) / 0.455, 1e-3) if long.any() else 0.01
-        short += (away[~long] * n[~long]).tolist()
-        shown_at[i] = (e, n)
-    # what a single symbol adds, from the short texts of all languages together
-    if len(short) >= MIN_SHOWN:
-        model.noise[:] = max(np.median(short) / 0.455, 1.0)
-    for i, (e, n) in shown_at.items():
-        z = (e - model.mean[i]) / np.sqrt(model.spread[i] + model.noise[i] / n)
-        model.reach[i] = max(DEVIATIONS, 3 * np.quantile(z, 0.9))
+    counts = written(counted.groupBy("lang", "gram", "hash").agg(
+        F.sum("n").alias("n"), F.min("context").alias("context"), F.min("suffix").alias("suffix")))
+    tables, floor = kneser_ney(counts, languages)
+    grams, logp, backoff = zip(*[_arrays(t, len(languages)) for t in tables])
+    model = Model(languages, list(grams), list(logp), list(backoff), floor, np.full(len(languages), np.nan))
+    shown = rows.where(F.col("calibrate")).select("text").mapInArrow(
+        lambda batches: _calibrate(batches, model), "best int, length long, entropy double").toArrow()
+    _set_limits(model, *[shown[c].to_numpy() for c in ("best", "length", "entropy")])
     return model
 
 
+def _set_limits(model: Model, best: np.ndarray, length: np.ndarray, entropy: np.ndarray) -> None:
+    """Usual entropies and limits from calibration documents (language that fits
+    best, effective length, entropy in it)."""
+    for i in range(len(model.languages)):
+        own = entropy[(best == i) & (length > 1)]
+        if len(own) >= 5:
+            model.usual[i] = np.median(own)
+    away = entropy - model.usual[best]
+    known = np.isfinite(away) & (length > 1)
+    away, place = away[known], octave(length[known])
+    if not len(away):
+        return
+    limits = np.zeros(OCTAVES)
+    for k in range(OCTAVES):
+        # an octave with few documents takes those of shorter ones along, then those of longer ones
+        low, high = k, k
+        while ((place >= low) & (place <= high)).sum() < min(MIN_SHOWN, len(away)):
+            low, high = (low - 1, high) if low > 0 else (low, high + 1)
+        shown = away[(place >= low) & (place <= high)]
+        # beyond the largest of a few documents an exponential tail goes on
+        tail = max(1.0, np.log(1 / (1 - QUANTILE)) / np.log(len(shown) + 1))
+        limits[k] = REACH * max(np.quantile(shown, QUANTILE, method="higher"), 1e-3) * tail
+    # longer texts vary less
+    model.limits = np.maximum.accumulate(limits[::-1])[::-1]
+
+
 def _calibrate(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        langs = batch.column(0).to_pylist()
-        entropy, n = model.entropies(batch.column(1).to_pylist())
-        own = [entropy[i, model.languages.index(l)] if l in model.languages else None for i, l in enumerate(langs)]
+        texts = batch.column(0).to_pylist()
+        entropy, _ = model.entropies(texts)
+        best = entropy.argmin(1)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.string()), pa.array(n), pa.array(own, pa.float64())], names=["lang", "n", "entropy"])
+            [pa.array(best.astype(np.int32)), pa.array([effective_length(t) for t in texts], pa.int64()),
+             pa.array(entropy[np.arange(len(best)), best])], names=["best", "length", "entropy"])
 
 
 def identify(df: DataFrame, model: Model | None, text: str = "text") -> Column:

@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from flowlens.llm import chunks, langid, lines, minhash, pack, rules
+from flowlens.llm import chunks, lines, minhash, pack, rules
 from flowlens.llm.queries import tokenizer_path
 from flowlens.llm.textbytes import SpanHasher, column_bytes
 
@@ -210,47 +210,6 @@ def test_passages_on_odd_rows(odd, none):
     assert chunks.repeated_passages(none).count() == 0
 
 
-def test_language_model_sums_to_one():
-    """Kneser-Ney probabilities of all symbols after a context sum to one."""
-    import pandas as pd
-
-    rows = [b.to_pandas() for b in langid._count(iter([pa.RecordBatch.from_arrays(
-        [pa.array(["x"] * 3), pa.array(["abracadabra cad", "a bad crab", "rad bar"])], names=["lang", "text"])]))]
-    counts = pd.concat(rows).groupby(["lang", "gram", "hash"], as_index=False).agg(
-        {"n": "sum", "context": "min", "suffix": "min"})
-    grams, logp, backoff, floor = langid._kneser_ney(counts, ["x"])
-    model = langid.Model(["x"], grams, logp, backoff, floor, *[np.ones(1)] * 4)
-    alphabet = sorted(set("abracadabra cad" "rb d "))
-    for context in ("abr", "zzz", " ra", "cad"):
-        points = np.array([[ord(c) for c in context + s] for s in [*alphabet, "§"]], np.uint32).ravel()
-        scores = model._scores(points, np.arange(3, len(points), 4), langid.ORDER)
-        assert abs(np.exp(scores).sum() - 1) < 1e-4
-
-
-def test_language_predictions(docs, rows, odd, odd_rows, none):
-    from pyspark.sql import functions as F
-
-    big = docs.sparkSession.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    model = langid.fit(langid.learning_part(big), F.col("doc_id"))
-    got = {r["doc_id"]: r["p"] for r in docs.select("doc_id", langid.identify(docs, model).alias("p")).collect()}
-    few = langid.fit(langid.learning_part(docs), F.col("doc_id"))
-    held = [(i, lang) for i, t, _, lang in rows if zlib.crc32(str(i).encode()) % 5 == 0]
-    small = {r["doc_id"]: r["p"]["lang_pred"] for r in docs.select("doc_id", langid.identify(docs, few).alias("p")).collect()}
-    assert sum(small[i] == lang for i, lang in held) >= 0.9 * len(held)
-    right = sum(got[i]["lang_pred"] == lang for i, lang in held)
-    assert len(held) > 20 and right >= 0.97 * len(held)
-    assert sum(p["rejected"] for p in got.values()) <= 0.02 * len(got)
-    strange = odd.select("doc_id", langid.identify(odd, model).alias("p")).collect()
-    by = {r["doc_id"]: r["p"] for r in strange}
-    assert len(strange) == len(odd_rows)
-    assert all(by[i]["lang_pred"] == "und" and by[i]["rejected"] and by[i]["score"] == 0 for i in (1, 2, 3, 10, 12))
-    assert none.select(langid.identify(none, model)).count() == 0
-    alien = docs.sparkSession.createDataFrame([(1, "Это предложение написано по-русски и ничего больше")], "doc_id long, text string")
-    assert alien.select(langid.identify(alien, model).alias("p")).first()["p"]["rejected"]
-    assert langid.fit(none, F.col("doc_id")) is None
-    assert odd.select(langid.identify(odd, None).alias("p")).first()["p"]["lang_pred"] == "und"
-
-
 def test_quality_rules(spark, docs, odd, odd_rows, none):
     from pyspark.sql import functions as F
 

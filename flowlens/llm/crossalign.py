@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import written
 from .pack import Encoder
 from .pieces import PieceEncoder
-from .textbytes import WINDOW, column_bytes, mix64, slices
+from .textbytes import WINDOW, column_bytes, give_back, mix64, slices
 
 #: Rows of pair counts that are broadcast at most: pairs that occur in at least
 #: (all occurrences / HOT_PAIRS) documents, of which there are no more than that.
@@ -131,8 +130,6 @@ class Aligner:
     """Aligns the ids of batches of texts; remembers windows."""
 
     def __init__(self, byte_level: str, pieces: str):
-        # a task is one thread: the tokenizer's own threads would crowd out other tasks
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a, self.b = Encoder(byte_level), PieceEncoder(pieces)
         tokens_a, tokens_b = byte_level_tokens(byte_level), piece_tokens(self.b.library)
         self.bytes_a, self.bytes_b = Rows.of_strings(tokens_a), Rows.of_strings(tokens_b)
@@ -282,6 +279,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], byte_level: str, pieces: str, di
                  pa.ListArray.from_arrays(at, pa.array(np.concatenate(pairs))),
                  pa.ListArray.from_arrays(at, pa.array(np.concatenate(times).astype(np.int32)))],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "written", "pairs", "times"])
+        give_back()
 
 
 def align_documents(df: DataFrame, byte_level: str, pieces: str, digest: bool = False, id_col: str = "doc_id",

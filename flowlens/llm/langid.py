@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .textbytes import give_back
 
 ORDER = 4
 #: Learning takes about this many documents of a language, whole (those with the lowest hashes),
@@ -238,6 +239,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(different.view(np.int64)), pa.array(context.view(np.int64)),
                     pa.array(suffix.view(np.int64)), pa.array(n.astype(np.int64))],
                     names=["lang", "gram", "hash", "context", "suffix", "n"])
+        give_back()
 
 
 def _by_language(value: Column, size: int, body) -> Column:
@@ -401,11 +403,12 @@ def identify(df: DataFrame, model: Model | None, text: str = "text") -> Column:
     @F.arrow_udf("struct<lang_pred: string, score: double, rejected: boolean>")
     def predict(texts: pa.Array) -> pa.Array:
         names, scores, rejected = [], [], []
-        for a in range(0, len(texts), 512):
-            n, s, r = shared.value.predict(texts.slice(a, 512).to_pylist())
+        for a in range(0, len(texts), 128):
+            n, s, r = shared.value.predict(texts.slice(a, 128).to_pylist())
             names += n
             scores.append(s)
             rejected.append(r)
+        give_back()
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()),
              pa.array(np.concatenate(scores) if scores else np.zeros(0)),

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import one_of_each, written
-from .textbytes import LOWER, SpanHasher, column_bytes, mix64, slices, word_spans
+from .textbytes import LOWER, SpanHasher, column_bytes, give_back, mix64, slices, word_spans
 
 K = 64
 #: Sketches of sets as similar as asked share fewer values than this share of
@@ -85,6 +85,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                 pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)]).astype(np.int32),
                                          np.concatenate([*kept, np.zeros(0, np.uint64)]).view(np.int64))],
                 names=["doc_id", "key", "n_shingles", "node", "check", "sketch"])
+        give_back()
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -98,6 +99,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Rec
                 pa.ListArray.from_arrays(np.cumsum([0, *map(len, sets)]).astype(np.int32),
                                          np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))],
                 names=["node", "values"])
+        give_back()
 
 
 def _common(sets: list[np.ndarray], left: int) -> np.ndarray:
@@ -172,6 +174,8 @@ def _forest(block: pd.DataFrame, percent: int) -> pd.DataFrame:
         if x != y:
             root[max(x, y)] = min(x, y)
             out.append((nodes[i], nodes[j]))
+    del sets, block
+    give_back()
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 

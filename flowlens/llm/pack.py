@@ -11,6 +11,7 @@ share that does not grow with the input.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .textbytes import SPACE, SpanHasher, column_bytes, slices
+from .textbytes import SPACE, SpanHasher, column_bytes, give_back, slices
 
 LENGTH = 1024
 END_ID = 2
 BLOCK = 100_000
 #: Cuts whose ids a task remembers.
-MEMORY = 800_000
+MEMORY = 500_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -47,6 +48,8 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # a task is one thread: the tokenizer's own threads would crowd out other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.hashes = SpanHasher()
@@ -123,6 +126,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: i
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), types)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import column_bytes, slices
+from .textbytes import column_bytes, give_back, slices
 
 _MARK = "▁".encode()
 _BAD = "�".encode()
@@ -385,6 +385,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end: bool) -> Iterato
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(lo, hi - lo), *lists, pa.array(encoder.library.decode(rows), pa.string())],
                 names=["doc_id", "ids", "begins", "ends", "decoded"])
+        give_back()
 
 
 def encode_documents(df: DataFrame, model: str, end: bool = True, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ Memory is bounded by windows of ``WINDOW`` bytes, also within one long text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,17 @@ _MULT = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 
 
+_SYSTEM = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker serves many tasks, one after
+    another, and the C library would keep the pages of the largest of them."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_SYSTEM, "malloc_trim"):
+        _SYSTEM.malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (the splitmix64 finaliser)."""
     x = x.astype(np.uint64)

@@ -13,25 +13,27 @@ from pyspark.sql import functions as F
 from flowlens.functions.encode import prepare_features
 from flowlens.operators import split as SP
 from flowlens.operators import stats as ST
-from flowlens.operators.train import importances, label_stats, train_binary
+from flowlens.operators.train import importances, label_stats, require_columns, train_binary
 
 
 def select_features(spark: SparkSession, df: DataFrame, candidates, label: str = "y_binary",
                     k: int = 66, sample_size: int = 300_000, key: str = "row_id", seed: int = 42,
-                    max_iter: int = 20, depth: int = 6):
+                    max_iter: int = 500, patience: int = 30, min_gain: float = 0.0,
+                    depth: int = 6):
     """Returns (ordered feature names, score table (feature, score, rank, method,
     fallback_reason: why the gain ranking was not used, else null))."""
     candidates = list(candidates)
+    require_columns(df, [key, label])
     prepared = prepare_features(df, candidates, keep=(key, label))
     # bounded (sample_size rows) and read three times: label check, hold-out cut, fit
     sample = SP.sample_rows(prepared, sample_size, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, depth)
+        return _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, patience, min_gain, depth)
     finally:
         sample.unpersist()
 
 
-def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, depth):
+def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter, patience, min_gain, depth):
     st = label_stats(sample, label)
     method = "gain"
     scores = None
@@ -41,7 +43,7 @@ def _select(spark, prepared, sample, candidates, label, k, key, seed, max_iter,
             cut = SP.stratified_split(sample, [label], key, fractions=(0.8,), names=("fit", "hold"), seed=str(seed))
             fit = train_binary(cut.where(F.col("split") == "fit"), candidates, label,
                                val=cut.where(F.col("split") == "hold"), weighted=False,
-                               max_iter=max_iter, step=0.05, depth=depth, seed=seed)
+                               max_iter=max_iter, patience=patience, min_gain=min_gain, step=0.05, depth=depth, seed=seed)
             if fit.status == "trained":
                 imp = importances(fit.model.model, candidates)
                 scores = spark.createDataFrame([(f, float(v)) for f, v in imp], "feature string, score double")

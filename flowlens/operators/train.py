@@ -1,10 +1,11 @@
-"""Model fitting (M3-M6, M13, A26, A33) with MLlib.
+"""Model fitting (M3-M6, M13, A26, A33, D1) with MLlib.
 
-Binary: ``GBTClassifier`` on assembled features, optional class weight
-(negatives / positives on positives, like ``scale_pos_weight``) and early
-stopping on a validation indicator. Multiclass: MLlib has no multiclass GBT,
-so one GBT per class (one-vs-rest) whose positive-class probabilities are
-normalised to sum to 1; a random forest is the native alternative.
+Binary: ``GBTClassifier`` on assembled features with an optional class weight
+(negatives / positives on positives). Multiclass: MLlib has no multiclass
+GBT, so one GBT per class (one-vs-rest) whose positive-class probabilities are
+normalised to sum to 1; a random forest is the native alternative. With
+validation rows a fit ends by patience and keeps its best round
+(``operators/boosting.py``); without them it runs to its limit.
 
 Fitting is distributed by MLlib (per-level histogram aggregation over the
 partitions); only fitted trees and one-row statistics come to the driver.
@@ -13,8 +14,9 @@ partitions); only fitted trees and one-row statistics come to the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -22,7 +24,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.functions.clean import col
+from flowlens.functions.clean import col, missing_columns
+from flowlens.operators.boosting import boosted, round_losses
 from flowlens.operators.models import FittedBinary, FittedMulti
 
 
@@ -53,10 +56,22 @@ def label_stats(df: DataFrame, label: str) -> dict:
     return {"n": r["n"], "pos": r["pos"] or 0, "classes": r["k"], "max": r["mx"]}
 
 
+def require_columns(df: DataFrame, columns) -> None:
+    """Named before any job runs."""
+    absent = missing_columns(df, list(columns))
+    if absent:
+        raise ValueError(f"required columns missing: {absent}")
+
+
 def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: DataFrame | None = None,
-                 weighted: bool = True, max_iter: int = 20, step: float = 0.05, depth: int = 6,
-                 seed: int = 42, name: str = "model") -> FitResult:
-    """Binary boosted trees; a one-class training set is not fitted."""
+                 weighted: bool = True, max_iter: int = 500, patience: int = 30, min_gain: float = 0.0,
+                 step: float = 0.05, depth: int = 6, seed: int = 42, name: str = "model") -> FitResult:
+    """Binary boosted trees; a one-class training set is not fitted.
+
+    With ``val`` boosting ends when its best loss is ``patience`` rounds old, at
+    ``max_iter`` rounds at the latest, and the best round is kept (``info["rounds"]``).
+    """
+    require_columns(train, [label, *features])
     st = label_stats(train, label)
     if st["n"] == 0:
         return FitResult("no_rows", info=st)
@@ -70,18 +85,25 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
     data = data.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(spw if weighted else 1.0)))
                            .otherwise(F.lit(1.0)))
     data = data.withColumn("_y", F.col(label).cast("double"))
-    gbt = GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=max_iter,
-                        stepSize=step, maxDepth=depth, seed=seed)
-    if val is not None:
-        gbt = gbt.setValidationIndicatorCol("_val")
     # checked on the schema before anything is fitted; the boosting rounds then
     # share one assembled input instead of running split and preparation again
     assembler = _assembler(features)
     vectors = assembler.transform(data)
     check_vector_width(vectors, "features", features)
     vectors = vectors.select("features", "_y", "_w", "_val").persist(StorageLevel.MEMORY_AND_DISK)
+    rows, shown = vectors.where(~F.col("_val")), vectors.where(F.col("_val"))
+
+    def fit(rounds: int) -> list:
+        return [GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
+                              stepSize=step, maxDepth=depth, seed=seed).fit(rows)]
+
     try:
-        model = PipelineModel(stages=[assembler, gbt.fit(vectors)])
+        if val is None or not shown.head(1):
+            models = fit(max_iter)
+        else:
+            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_y", joint=False),
+                                           max_iter, patience, min_gain)
+        model = PipelineModel(stages=[assembler, models[0]])
     finally:
         vectors.unpersist()
     st.update({"scale_pos_weight": spw})
@@ -121,11 +143,17 @@ class OneVsRestGBT:
 
 
 def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *, num_class: int | None = None,
-                     algo: str = "gbt_ovr", max_iter: int = 20, step: float = 0.1, depth: int = 6,
-                     subsample: float = 0.8, seed: int = 42, val: DataFrame | None = None):
-    """Multiclass model; classes = max label + 1 unless given. With
-    ``val`` each class's boosting stops early when the validation rows show no
-    more gain."""
+                     algo: str = "gbt_ovr", max_iter: int = 2000, patience: int = 60, min_gain: float = 0.0,
+                     step: float = 0.1, depth: int = 6, subsample: float = 0.8, seed: int = 42,
+                     val: DataFrame | None = None, num_trees: int = 100, parallelism: int = 4):
+    """Multiclass model; classes = max label + 1 unless given.
+
+    With ``val`` all classes boost for the same number of rounds: they end when
+    the best joint log loss is ``patience`` rounds old, at ``max_iter`` at the
+    latest, and are cut back to the best round (``info["rounds"]``). The classes
+    of a round are fitted ``parallelism`` at a time.
+    """
+    require_columns(train, [label, *features])
     st = label_stats(train, label)
     if st["n"] == 0:
         return FitResult("no_rows", info=st)
@@ -134,7 +162,7 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
     if k <= 1 or st["classes"] < 2:
         return FitResult("single_class_train", info=st)
     if algo == "rf":
-        rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=max_iter,
+        rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=min(max_iter, num_trees),
                                     maxDepth=depth, subsamplingRate=subsample, seed=seed)
         data = train.withColumn("_y", F.col(label).cast("double"))
         model = Pipeline(stages=[_assembler(features), rf]).fit(data)
@@ -149,20 +177,28 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
     assembled = assembler.transform(both)
     check_vector_width(assembled, "features", features)
     assembled = assembled.select("features", "_val", F.col(label).alias("_label")).persist(StorageLevel.MEMORY_AND_DISK)
-    models = []
+    rows, shown = assembled.where(~F.col("_val")), assembled.where(F.col("_val"))
+
+    def one(c: int, rounds: int):
+        if c not in present:
+            return None
+        data = rows.withColumn("_y", (F.col("_label") == c).cast("double"))
+        return GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, stepSize=step,
+                             maxDepth=depth, subsamplingRate=subsample, seed=seed).fit(data)
+
+    def fit(rounds: int) -> list:
+        with ThreadPool(max(1, min(parallelism, k))) as pool:
+            return pool.map(inheritable_thread_target(train.sparkSession)(lambda c: one(c, rounds)), range(k))
+
     try:
-        for c in range(k):
-            if c not in present:
-                models.append(None)
-                continue
-            data = assembled.withColumn("_y", (F.col("_label") == c).cast("double"))
-            gbt = GBTClassifier(featuresCol="features", labelCol="_y", maxIter=max_iter, stepSize=step,
-                                maxDepth=depth, subsamplingRate=subsample, seed=seed)
-            if val is not None:
-                gbt = gbt.setValidationIndicatorCol("_val")
-            models.append(PipelineModel(stages=[assembler, gbt.fit(data)]))
+        if val is None or not shown.head(1):
+            models = fit(max_iter)
+        else:
+            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=True),
+                                           max_iter, patience, min_gain)
     finally:
         assembled.unpersist()
+    models = [None if m is None else PipelineModel(stages=[assembler, m]) for m in models]
     return FitResult("trained", OneVsRestGBT(tuple(features), k, models), st)
 
 

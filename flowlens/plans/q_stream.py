@@ -16,6 +16,7 @@ from flowlens.plans.q_scoring import BIN, MUL, THREAT_SQL, _s2_sql
 from flowlens.operators.variants import two_stage
 from flowlens.plans.registry import query
 from flowlens.session import shared_dir
+from flowlens.sinks.snapshots import read_published
 from flowlens.sources.registry import load_models, save_scoring_model
 from flowlens.sources.views import flows_e
 from flowlens.streaming import scoring as R
@@ -41,7 +42,7 @@ def stream_totals(spark: SparkSession, sf: str) -> DataFrame:
     out, ckpt = _run_dirs(spark, "totals")
     scored = R.scored_stream(R.event_stream(spark, sf), BIN, MUL)
     R.run_complete(R.running_totals(scored), out, ckpt)
-    return spark.read.parquet(out)
+    return read_published(spark, out)
 
 
 @query("stream_variant_counts", S.with_(*_s2_sql()) +
@@ -51,7 +52,7 @@ def stream_variant_counts(spark: SparkSession, sf: str) -> DataFrame:
     out, ckpt = _run_dirs(spark, "variants")
     scored = R.scored_stream(R.event_stream(spark, sf), BIN, MUL)
     R.run_complete(R.running_variant_counts(scored), out, ckpt)
-    return spark.read.parquet(out)
+    return read_published(spark, out)
 
 
 @query("registry_scoring", S.with_(*_s2_sql()) + "SELECT row_id, pred, variant, variant_confidence FROM s2")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Send this package's modules to the Python workers, once for a context."""
+    context = spark.sparkContext
+    if not getattr(context, "_flowlens_shipped", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        target = os.path.join(tempfile.mkdtemp(prefix="flowlens-modules-"), "flowlens.zip")
+        with zipfile.ZipFile(target, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in (n for n in names if n.endswith(".py")):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+        context.addPyFile(target)
+        context._flowlens_shipped = True
+    return spark
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "flowlens", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

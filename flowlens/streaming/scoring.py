@@ -3,7 +3,7 @@
 R1 is stateless (the same projection as batch scoring) into an append-only
 Parquet sink with a checkpoint, so a restarted or retried query resumes
 exactly once. R2 keeps running totals and variant counts in bounded state
-(one row, and one row per variant) and rewrites a small table per
+(one row, and one row per variant) and publishes a small table per
 micro-batch through ``foreachBatch``.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from flowlens.constants import DEFAULT_THRESHOLD
 from flowlens.operators.report import variant_counts
 from flowlens.operators.variants import two_stage
+from flowlens.sinks.snapshots import publish
 from flowlens.sources.views import flows_from_events
 
 EVENTS_SCHEMA = T.StructType([
@@ -74,10 +75,12 @@ def running_variant_counts(scored: DataFrame) -> DataFrame:
 
 
 def run_complete(agg: DataFrame, table_dir: str, checkpoint_dir: str, available_now: bool = True):
-    """Complete-mode aggregate, each micro-batch's full result rewritten to a
-    small Parquet table (the file sink itself only appends)."""
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(table_dir)
+    """Complete-mode aggregate, each micro-batch's full result published as the
+    next version of a small table (the file sink itself only appends). Readers
+    (``sinks.snapshots.read_published``) find a whole table at any time; a batch
+    that is delivered again after a failure changes nothing."""
+    def write(batch: DataFrame, epoch: int) -> None:
+        publish(batch, table_dir, epoch)
 
     w = (agg.writeStream.outputMode("complete").foreachBatch(write)
          .option("checkpointLocation", checkpoint_dir))

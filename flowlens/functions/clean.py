@@ -46,6 +46,25 @@ def to_label(c: Column, dtype: T.DataType) -> Column:
     return F.coalesce(to_double(c, dtype).try_cast("int"), F.lit(0))
 
 
+def coercion_counts(df: DataFrame, columns) -> list[Column]:
+    """Aggregates to observe while a table is read: for each column
+    ``<column>_missing`` (null, NaN or blank) and ``<column>_coerced`` (there, but no
+    number, so that 0 stands for it)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = []
+    for c in columns:
+        v = col(c)
+        if isinstance(types[c], T.StringType):
+            blank = F.coalesce(F.trim(v) == "", F.lit(True))
+            number = parse_number(v)
+        else:
+            blank = v.isNull() | F.isnan(v) if isinstance(types[c], (T.DoubleType, T.FloatType)) else v.isNull()
+            number = v.cast("double") if isinstance(types[c], (T.NumericType, T.BooleanType)) else v.try_cast("double")
+        lost = number.isNull() | F.isnan(number)
+        out += [F.count_if(blank).alias(f"{c}_missing"), F.count_if(~blank & lost).alias(f"{c}_coerced")]
+    return out
+
+
 def coerce_numeric(df: DataFrame, columns) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     return df.withColumns({c: to_double(col(c), types[c]) for c in columns if c in types})

@@ -9,6 +9,8 @@ projection (``when(pred = 1, ...)``), not by a join on a row index.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,14 +58,16 @@ def model_vote(probs: str, model, rank: int) -> Column:
     return F.expr(f"transform(array(array_max({cands})), t -> {vote})[0]")
 
 
-def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
+def stage2(scored: DataFrame, models, pred_col: str = "pred", failures: list | None = None) -> DataFrame:
     """Add ``variant``, ``variant_confidence`` (4 digits) and ``variant_model``.
 
     Rows with ``pred = 0`` get N/A and 0.0, and expression models are not
     evaluated for them; malicious rows with no usable vote
     get Unknown Malware and 0.0. Across models ``greatest`` picks a valid
     vote first, then the highest confidence, then the earlier model in name
-    order; every step is a built-in expression inside generated code.
+    order; every step is a built-in expression inside generated code. With
+    ``failures`` a model that does not fit these rows is noted there as (name,
+    message) and has no vote; without, it is an error.
     """
     models = usable(models)
     mal = F.col(pred_col) == 1
@@ -74,9 +78,16 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
     from flowlens.operators.models import Softmax, add_softmax_probs
     soft = [m for m in models if isinstance(m, Softmax)]
     cur = add_softmax_probs(scored, [(m, probs_col(m.name)) for m in soft], gate=mal) if soft else scored
-    for m in models:
-        if not isinstance(m, Softmax):
+    for m in [m for m in models if not isinstance(m, Softmax)]:
+        try:
             cur = m.class_probs(cur, probs_col(m.name))
+        except (PySparkException, Py4JJavaError, ValueError) as e:
+            if failures is None:
+                raise
+            failures.append((m.name, str(e).splitlines()[0][:300]))
+            models = [x for x in models if x is not m]
+    if not models:
+        return stage2(scored, [], pred_col)
     votes = [model_vote(probs_col(m.name), m, i) for i, m in enumerate(models)]
     cur = cur.withColumn("_best", F.greatest(*votes) if len(votes) > 1 else votes[0])
     ok = mal & F.col("_best.valid")
@@ -90,7 +101,8 @@ def stage2(scored: DataFrame, models, pred_col: str = "pred") -> DataFrame:
 
 
 def two_stage(df_raw: DataFrame, binary_models, multi_models, threshold: float = DEFAULT_THRESHOLD,
-              combine_rule: str = "mean", keep=("row_id",), compat: bool = False) -> DataFrame:
+              combine_rule: str = "mean", keep=("row_id",), compat: bool = False,
+              failures: list | None = None) -> DataFrame:
     """Stage 1 then stage 2 over one feature preparation of the union of all lists."""
     binary_models = ordered(binary_models)
     multi = usable(multi_models)
@@ -98,6 +110,6 @@ def two_stage(df_raw: DataFrame, binary_models, multi_models, threshold: float =
     keep = [k for k in keep if k in df_raw.columns]
     prepared = prepare_features(df_raw, feats, keep=keep, compat=compat)
     s1 = stage1(prepared, binary_models, threshold, combine_rule)
-    s2 = stage2(s1, multi)
+    s2 = stage2(s1, multi, failures=failures)
     return s2.select(*[F.col(k) for k in keep], *[F.col(prob_col(m.name)) for m in binary_models],
                      *STAGE1_COLS, "variant", "variant_confidence", "variant_model")

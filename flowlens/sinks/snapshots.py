@@ -10,6 +10,7 @@ nothing: a batch that is delivered again is written once.
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,33 +81,48 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return None if found is None else found[0]
 
 
-def publish(df: DataFrame, root: str, version: int, partition_by=(), kept: int = KEPT) -> bool:
-    """Write ``df`` as version ``version`` and make it current.
+def publish_folder(spark: SparkSession, root: str, version: int, write, kept: int = KEPT) -> bool:
+    """Let ``write(folder)`` fill a new folder and make it current.
 
-    False, and nothing changes, where that version or a later one is current: the
-    result of a batch that is delivered again does not count twice. A writer that
-    dies leaves the old table current; its folder goes with a later version.
+    ``write`` returns the schema of the table that ``read_published`` is to read
+    there, or None. False, and nothing changes, where that version or a later one
+    is current: a batch that is delivered again does not count twice. A writer that
+    dies leaves the old folder current; its own goes with a later version.
     """
-    spark = df.sparkSession
     folder = _Folder(spark, root)
     before = _pointer(folder)
     if before is not None and before[0] >= version:
         return False
     name = f"{version:020d}-{uuid.uuid4().hex[:12]}"
-    df.write.partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/data/{name}")
-    folder.replace(POINTER, f"{version}\n{name}\n{df.schema.json()}")
+    schema = write(f"{root.rstrip('/')}/data/{name}")
+    folder.replace(POINTER, f"{version}\n{name}\n{schema.json() if schema is not None else ''}")
     old = sorted(n for n in folder.names("data") if n < name)
     for stale in old[:max(0, len(old) - kept)]:
         folder.remove(f"data/{stale}")
     return True
 
 
+def publish(df: DataFrame, root: str, version: int, partition_by=(), kept: int = KEPT) -> bool:
+    """Write ``df`` as version ``version`` of the table under ``root`` (see ``publish_folder``)."""
+    def write(folder: str) -> T.StructType:
+        df.write.partitionBy(*partition_by).parquet(folder)
+        return df.schema
+
+    return publish_folder(df.sparkSession, root, version, write, kept)
+
+
+def published_folder(spark: SparkSession, root: str) -> str:
+    """The folder that is current; an error where nothing was published."""
+    found = _pointer(_Folder(spark, root))
+    if found is None:
+        raise FileNotFoundError(f"nothing is published under {root}")
+    return f"{root.rstrip('/')}/data/{found[1]}"
+
+
 def read_published(spark: SparkSession, root: str) -> DataFrame:
     """The current snapshot; an error where nothing was published."""
     found = _pointer(_Folder(spark, root))
     if found is None:
         raise FileNotFoundError(f"nothing is published under {root}")
     _, name, schema = found
-    import json
-
     return spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{root.rstrip('/')}/data/{name}")

@@ -38,6 +38,41 @@ def read_flows(spark: SparkSession, paths, schema: T.StructType | None = None) -
     return _united(frames)
 
 
+#: Column that keeps the text of a CSV row that does not fit its schema.
+RESCUED = "_rescued"
+
+
+def sampled_schema(spark: SparkSession, path: str, rows: int = 1000) -> T.StructType:
+    """Column types from the header and the first ``rows`` lines of a CSV file;
+    the rest of it is not read."""
+    lines = [r["value"] for r in spark.read.text(path).head(rows + 1)]
+    sample = spark.sparkContext.parallelize(lines, 1)
+    return spark.read.option("header", True).option("inferSchema", True).csv(sample).schema
+
+
+def read_csv_flows(spark: SparkSession, paths, schema: T.StructType | None = None) -> DataFrame:
+    """CSV files with a header in one scan, by a declared schema or that of a
+    sample of the first file. A row that does not fit keeps its text in ``RESCUED``
+    (null otherwise), with what could be read in its columns."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    schema = schema or sampled_schema(spark, paths[0])
+    whole = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType())])
+    return (spark.read.schema(whole).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", RESCUED).csv(paths))
+
+
+def read_libsvm(spark: SparkSession, path: str, features) -> DataFrame:
+    """D3: (label, features) of LIBSVM text, as wide as the feature list; a row with
+    a higher index fails when it is read, and a width is never guessed from the data."""
+    return spark.read.format("libsvm").option("numFeatures", len(list(features))).load(path)
+
+
+def libsvm_max_index(spark: SparkSession, path: str) -> int:
+    """D3: the highest index in LIBSVM text (1-based; 0 without any)."""
+    last = F.try_element_at(F.regexp_extract_all("value", F.lit(r"(\d+):"), F.lit(1)), F.lit(-1))
+    return spark.read.text(path).agg(F.max(last.cast("int")).alias("m")).first()["m"] or 0
+
+
 def _united(frames: list[DataFrame]) -> DataFrame:
     """Union by name; a column whose type differs between the files becomes
     text, so that a dash in one file doesn't fail the numbers of another."""

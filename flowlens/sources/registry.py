@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -84,15 +86,42 @@ def _loaded(root: str, meta):
     return FittedMulti(name, features, inner, meta["num_class"], tuple(meta["labels"]))
 
 
-def load_models(spark: SparkSession, root: str, binary=None, multi=None) -> tuple[list, list]:
+def load_model(spark: SparkSession, root: str, name: str):
+    """The model in the folder ``root/name``."""
+    meta = spark.read.schema(META).json(f"{root.rstrip('/')}/{name}/meta").first()
+    if meta is None or meta["kind"] is None:
+        raise ValueError(f"no readable model in {name}")
+    return _loaded(root, meta)
+
+
+def load_models(spark: SparkSession, root: str, binary=None, multi=None, failures: list | None = None) -> tuple[list, list]:
     """(binary models, multiclass models) found under ``root``, in name order.
 
     ``binary`` and ``multi`` name the selected models (None: all). Multiclass
     models with a single class have nothing to say and stay out. One small row
-    a model reaches the driver.
+    a model reaches the driver. With ``failures`` a folder that cannot be loaded is
+    noted there as (name, message) and the others are used; without, it is an error.
     """
-    metas = sorted(spark.read.schema(META).json(f"{root.rstrip('/')}/*/meta").collect(), key=lambda m: m["name"])
+    metas = sorted(spark.read.schema(META).json(f"{root.rstrip('/')}/*/meta").collect(), key=lambda m: m["name"] or "")
+    unread = [m for m in metas if m["kind"] is None or m["name"] is None]
+    if unread and failures is None:
+        raise ValueError(f"{len(unread)} folders under {root} hold no readable model")
+    if unread:
+        failures += [(m["name"], "no readable model") for m in unread]
+    metas = [m for m in metas if m["kind"] is not None and m["name"] is not None]
     two = ("logistic", "tree", "fitted_binary")
     first = [m for m in metas if m["kind"] in two and (binary is None or m["name"] in binary)]
     second = [m for m in metas if m["kind"] not in two and m["num_class"] > 1 and (multi is None or m["name"] in multi)]
-    return [_loaded(root, m) for m in first], [_loaded(root, m) for m in second]
+
+    def loaded(metas: list) -> list:
+        out = []
+        for m in metas:
+            try:
+                out.append(_loaded(root, m))
+            except (PySparkException, Py4JJavaError, ValueError, KeyError, TypeError) as e:
+                if failures is None:
+                    raise
+                failures.append((m["name"], str(e).splitlines()[0][:300]))
+        return out
+
+    return loaded(first), loaded(second)

@@ -4,7 +4,10 @@ A text's bytes are cut where ``CUT_BITS`` bits of the gear hash of the last 16
 bytes are zero, unless the preceding such place is too near; long gaps are cut at
 fixed steps. Cuts depend on nearby bytes only, so a passage gets the same chunks
 wherever it stands. Chunks are grouped by digest over all documents; runs of
-neighbouring chunks that also occur in other documents are repeated passages.
+neighbouring chunks that also occur in other documents are candidates. A passage
+also covers part of the chunks before and behind its run: every chunk carries
+two-bit hashes of the ``BESIDE`` words on either side, and a run is as many words
+longer as these agree with those of another document that holds its outer chunks.
 """
 
 from __future__ import annotations
@@ -13,22 +16,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
-from .textbytes import BYTE_VALUES, SpanHasher, column_bytes, slices
+from .textbytes import BYTE_VALUES, SpanHasher, column_bytes, give_back, slices, word_spans
 
 #: A cut needs this many zero bits, MIN_CHUNK bytes from the preceding candidate, MAX_CHUNK at most.
 CUT_BITS = 4
-MIN_CHUNK = 16
+MIN_CHUNK = 8
 MAX_CHUNK = 256
-#: Bytes of repeated neighbouring chunks from which a run counts as a passage.
-MIN_RUN = 144
+#: Bytes of repeated neighbouring chunks from which a run is a candidate,
+MIN_RUN = 16
+#: words of a passage, its ends included,
+MIN_WORDS = 51
+#: and bytes from which a run counts whatever its words (scripts without spaces).
+LONG_RUN = 768
+#: Words beside a chunk whose hashes it carries, two bits each.
+BESIDE = 32
 #: Bits 11 to 15 of the hash depend on the last 16 bytes.
 _REACH = 16
+#: Rows without an id are documents of their own: numbers from here on stand for them.
+_NAMELESS = (1 << 63) - (1 << 62)
 
-_SCHEMA = "doc_id long, start long, length int, digest long"
+_SCHEMA = "doc long, start int, length int, digest long, words int, before long, after long"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -64,10 +76,26 @@ def chunk_starts(data: np.ndarray) -> np.ndarray:
     return cuts
 
 
+def _beside(marks: np.ndarray, first: np.ndarray, step: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The hashes of the words first, first + step, .. packed, nearest lowest; words
+    outside [low, high) are 0."""
+    out = np.zeros(len(first), np.uint64)
+    for k in range(BESIDE):
+        at = first + step * k
+        inside = (at >= low) & (at < high)
+        out |= np.where(inside, marks[np.where(inside, at, 0)], np.uint64(0)) << np.uint64(2 * k)
+    return out.view(np.int64)
+
+
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = SpanHasher()
+    nameless = _NAMELESS + (TaskContext.get().partitionId() << 36)
     for batch in batches:
         ids = batch.column(0)
+        missing = np.asarray(ids.is_null())
+        owners = ids.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        owners[missing] = nameless + np.arange(missing.sum())
+        nameless += int(missing.sum())
         data, offsets = column_bytes(batch.column(1))
         for lo, hi in slices(offsets):
             rows, start, length, digest = [], [], [], []
@@ -79,61 +107,100 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start.append(cuts)
                 length.append(ends - cuts)
                 digest.append(hashes(text, cuts, ends).view(np.int64))
+            rows, start, length = (np.concatenate(x) for x in (rows, start, length))
+            own = data[offsets[lo]:offsets[hi]]
+            word_starts, word_ends = word_spans(own, offsets[lo:hi + 1] - offsets[lo])
+            marks = hashes(own, word_starts, word_ends) % np.uint64(3) + np.uint64(1)
+            marks = marks if len(marks) else np.zeros(1, np.uint64)
+            begin = start + offsets[rows] - offsets[lo]
+            inner, outer = np.searchsorted(word_starts, begin), np.searchsorted(word_starts, begin + length)
+            low, high = (np.searchsorted(word_starts, offsets[rows + k] - offsets[lo]) for k in (0, 1))
             yield pa.RecordBatch.from_arrays([
-                ids.take(pa.array(np.concatenate(rows))),
-                pa.array(np.concatenate(start), pa.int64()),
-                pa.array(np.concatenate(length).astype(np.int32)), pa.array(np.concatenate(digest))],
-                names=["doc_id", "start", "length", "digest"])
+                pa.array(owners[rows]), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32)),
+                pa.array(np.concatenate(digest)), pa.array((outer - inner).astype(np.int32)),
+                pa.array(_beside(marks, inner - 1, -1, low, high)), pa.array(_beside(marks, outer, 1, low, high))],
+                names=["doc", "start", "length", "digest", "words", "before", "after"])
+        give_back()
+
+
+def _chunk_table(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
+    return rows.mapInArrow(_chunk_rows, _SCHEMA)
+
+
+def _named(doc: str) -> Column:
+    return F.when(F.col(doc) < _NAMELESS, F.col(doc))
 
 
 def document_chunks(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Chunks of every text: doc_id, start, length (bytes), digest."""
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_chunk_rows, _SCHEMA)
+    return _chunk_table(df, id_col, text).select(_named("doc").alias("doc_id"), "start", "length", "digest")
+
+
+def _agreeing(a: Column, b: Column) -> Column:
+    """How many words beside two chunks agree, from the nearest on."""
+    differ, total = a.bitwiseXOR(b), F.lit(0)
+    for k in range(1, BESIDE + 1):
+        mask = F.lit((1 << 2 * k) - 1 if k < BESIDE else -1).cast("long")
+        there = F.shiftrightunsigned(a, 2 * (k - 1)).bitwiseAND(F.lit(3).cast("long")) != 0
+        total = total + F.when((differ.bitwiseAND(mask) == 0) & there, 1).otherwise(0)
+    return total
 
 
-def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
-                      min_run: int = MIN_RUN) -> DataFrame:
+def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
+                      min_run: int = MIN_RUN, long_run: int = LONG_RUN) -> DataFrame:
     """One row per passage, or part of one, that also stands in another document.
 
-    Columns: doc_id, start and length (in UTF-8 bytes of the text), n_chunks,
-    first_doc_id (the smallest id that holds one of these chunks), kept (true
-    where the chunks occur in this document first, false where they are to be
-    cut). Runs of at least ``min_run`` bytes of whole chunks count, the part
-    chunks at both ends not included; a run of which some chunks occur here
-    first and others elsewhere gives a row for each part. Repeats within one
-    document are not reported; rows that share an id are one document. Null and
-    empty texts have no chunks; an empty table gives an empty result. Only ids,
-    places and digests are shuffled; counts are pre-aggregated, and a digest
+    Columns: doc_id, start and length (in UTF-8 bytes of the text, whole chunks),
+    n_chunks, n_words (of the whole run, with the words at its ends that agree with
+    another document), first_doc_id (the smallest id that holds one of these
+    chunks), kept (true where the chunks occur in this document first, false where
+    they are to be cut). Runs of ``min_words`` words or more count, if ``min_run``
+    bytes of them are whole chunks, and runs of ``long_run`` bytes; a run of which
+    some chunks occur here first and others elsewhere gives a row for each part.
+    Repeats within one document are not reported; rows that share an id are one
+    document, rows without an id are documents of their own, after all others.
+    Null and empty texts have no chunks; an empty table gives an empty result. Only
+    ids, places and hashes are shuffled; counts are pre-aggregated, and a digest
     that a third of all documents hold is one row of the aggregate.
     """
-    chunks = written(document_chunks(df, id_col, text))
+    chunks = written(_chunk_table(df, id_col, text))
     # written: the join is planned by its size, and the rows of a frequent digest can be split
-    shared = written(chunks.groupBy("digest").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                     .where("lo < hi").select(F.col("digest").alias("__d"), F.col("lo").alias("first")))
-    hits = chunks.join(shared, F.col("digest") == F.col("__d")).select("doc_id", "start", "length", "first").distinct()
+    shared = written(chunks.groupBy("digest").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+                     .where("lo < hi").select(F.col("digest").alias("__d")))
+    hits = written(chunks.join(shared, F.col("digest") == F.col("__d")).drop("__d").distinct())
+    place = F.struct("doc", "before", "after")
+    ends = hits.groupBy(F.col("digest").alias("__d")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+    other = F.when(F.col("doc") == F.col("lo.doc"), F.col("hi")).otherwise(F.col("lo"))
+    hits = hits.join(ends, F.col("digest") == F.col("__d")).select(
+        "doc", "start", "length", "words", F.col("lo.doc").alias("first"),
+        _agreeing(F.col("before"), other["before"]).alias("left"), _agreeing(F.col("after"), other["after"]).alias("right"))
     # chunks that follow each other have the same start less the lengths before
     def island(*keys):
-        before = Window.partitionBy("doc_id", *keys).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy("doc", *keys).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
         return F.col("start") - F.coalesce(F.sum("length").over(before), F.lit(0))
 
+    whole = Window.partitionBy("doc", "run")
     runs = (hits.withColumn("run", island())
-            .withColumn("whole", F.sum("length").over(Window.partitionBy("doc_id", "run")))
-            .where(F.col("whole") >= min_run)
-            .withColumn("kept", F.col("first") == F.col("doc_id")))
-    return (runs.withColumn("part", island("run", "kept")).groupBy("doc_id", "run", "kept", "part").agg(
+            .withColumns({"bytes": F.sum("length").over(whole),
+                          "n_words": F.sum("words").over(whole) + F.min_by("left", "start").over(whole) + F.max_by("right", "start").over(whole)})
+            .where(((F.col("bytes") >= min_run) & (F.col("n_words") >= min_words)) | (F.col("bytes") >= long_run))
+            .withColumn("kept", F.col("first") == F.col("doc")))
+    return (runs.withColumn("part", island("run", "kept")).groupBy("doc", "run", "kept", "part", "n_words").agg(
         F.min("start").alias("start"), F.sum("length").alias("length"),
-        F.count(F.lit(1)).alias("n_chunks"), F.min("first").alias("first_doc_id"))
-        .select("doc_id", "start", "length", "n_chunks", "first_doc_id", "kept"))
+        F.count(F.lit(1)).alias("n_chunks"), F.min("first").alias("first"))
+        .select(_named("doc").alias("doc_id"), F.col("start").cast("long").alias("start"), "length", "n_chunks", "n_words",
+                _named("first").alias("first_doc_id"), "kept"))
 
 
 def cut_passages(df: DataFrame, passages: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the passages that are not kept cut out of the text column.
 
     Spans are byte ranges; each is cut at character borders because chunks of
-    valid UTF-8 may start inside a character: such bytes stay.
+    valid UTF-8 may start inside a character: such bytes stay. Rows without an id
+    cannot be told apart and stay as they are.
     """
-    spans = (passages.where(~F.col("kept")).groupBy(F.col("doc_id").alias("__id"))
+    spans = (passages.where(~F.col("kept") & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__id"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("__spans")))
 
     @F.pandas_udf("string")

@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 from collections import defaultdict
@@ -202,6 +203,43 @@ def test_planted_passages_of_the_table(docs, rows):
     assert planted and planted <= found
 
 
+@pytest.mark.parametrize("letters", [3, 4, 5])
+def test_planted_passages_of_short_words(spark, docs, letters):
+    """51 words between random words, in two documents each: caught, and nothing else is."""
+    rng = random.Random(letters)
+    abc = "abcdefghijklmnopqrstuvwxyz"
+
+    def words(n):
+        return [rng.choice(abc) + "".join(rng.choices(abc, k=letters - 1)) for _ in range(n)]
+
+    rows, n = [], 150
+    for k in range(n):
+        passage = words(51)
+        rows += [(2 * k + side, " ".join(words(rng.randint(40, 90)) + passage + words(rng.randint(40, 90)))) for side in (0, 1)]
+    # two common lines in a row, 40 words that repeat, and clean texts
+    line = [" ".join(words(12)) for _ in range(2)]
+    rows += [(10_000 + k, " ".join(words(50)) + "\n" + line[0] + "\n" + line[1] + "\n" + " ".join(words(50))) for k in range(20)]
+    for k in range(20):
+        short = words(40)
+        rows += [(20_000 + 2 * k + side, " ".join(words(60) + short + words(60))) for side in (0, 1)]
+    rows += [(30_000 + k, " ".join(words(150))) for k in range(100)]
+    got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {r["doc_id"] for r in got}
+    both = sum({2 * k, 2 * k + 1} <= found for k in range(n))
+    assert both >= 0.98 * n, both
+    assert not [d for d in found if d >= 10_000]
+
+
+def test_passages_of_rows_without_an_id(spark, docs):
+    rng = random.Random(1)
+    passage = " ".join(f"word{rng.randint(0, 9999)}" for _ in range(60))
+    rows = [(None, f"{k} unlike others {passage} and {k * k} ends") for k in range(3)] + [(1, f"one more {passage}"), (2, "nothing here")]
+    got = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got} == {1, None}
+    assert [r["kept"] for r in got if r["first_doc_id"] == 1] == [r["doc_id"] == 1 for r in got if r["first_doc_id"] == 1]
+    assert sum(r["first_doc_id"] == 1 and r["doc_id"] is None for r in got) == 3
+
+
 def test_passages_on_odd_rows(odd, none):
     got = chunks.repeated_passages(odd)
     assert {6, 7, 8, 9} <= {r["doc_id"] for r in got.collect()}

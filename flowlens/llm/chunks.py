@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import let, written
 from .textbytes import BYTE_VALUES, SpanHasher, column_bytes, give_back, slices, word_spans
 
 #: A cut needs this many zero bits, MIN_CHUNK bytes from the preceding candidate, MAX_CHUNK at most.
@@ -34,13 +34,14 @@ MIN_WORDS = 51
 #: and bytes from which a run counts whatever its words (scripts without spaces).
 LONG_RUN = 768
 #: Words beside a chunk whose hashes it carries, two bits each.
-BESIDE = 32
+BESIDE = 31
 #: Bits 11 to 15 of the hash depend on the last 16 bytes.
 _REACH = 16
 #: Rows without an id are documents of their own: numbers from here on stand for them.
 _NAMELESS = (1 << 63) - (1 << 62)
 
 _SCHEMA = "doc long, start int, length int, digest long, words int, before long, after long"
+_NARROW = "doc long, digest long"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -87,7 +88,7 @@ def _beside(marks: np.ndarray, first: np.ndarray, step: int, low: np.ndarray, hi
     return out.view(np.int64)
 
 
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(batches: Iterator[pa.RecordBatch], narrow: bool) -> Iterator[pa.RecordBatch]:
     hashes = SpanHasher()
     nameless = _NAMELESS + (TaskContext.get().partitionId() << 36)
     for batch in batches:
@@ -108,6 +109,9 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 length.append(ends - cuts)
                 digest.append(hashes(text, cuts, ends).view(np.int64))
             rows, start, length = (np.concatenate(x) for x in (rows, start, length))
+            if narrow:
+                yield pa.RecordBatch.from_arrays([pa.array(owners[rows]), pa.array(np.concatenate(digest))], names=["doc", "digest"])
+                continue
             own = data[offsets[lo]:offsets[hi]]
             word_starts, word_ends = word_spans(own, offsets[lo:hi + 1] - offsets[lo])
             marks = hashes(own, word_starts, word_ends) % np.uint64(3) + np.uint64(1)
@@ -123,9 +127,9 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
 
 
-def _chunk_table(df: DataFrame, id_col: str, text: str) -> DataFrame:
+def _chunk_table(df: DataFrame, id_col: str, text: str, narrow: bool = False) -> DataFrame:
     rows = df.select(F.col(id_col).cast("long").alias("doc"), F.col(text).alias("text"))
-    return rows.mapInArrow(_chunk_rows, _SCHEMA)
+    return rows.mapInArrow(lambda b: _chunk_rows(b, narrow), _NARROW if narrow else _SCHEMA)
 
 
 def _named(doc: str) -> Column:
@@ -138,13 +142,12 @@ def document_chunks(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
 
 def _agreeing(a: Column, b: Column) -> Column:
-    """How many words beside two chunks agree, from the nearest on."""
-    differ, total = a.bitwiseXOR(b), F.lit(0)
-    for k in range(1, BESIDE + 1):
-        mask = F.lit((1 << 2 * k) - 1 if k < BESIDE else -1).cast("long")
-        there = F.shiftrightunsigned(a, 2 * (k - 1)).bitwiseAND(F.lit(3).cast("long")) != 0
-        total = total + F.when((differ.bitwiseAND(mask) == 0) & there, 1).otherwise(0)
-    return total
+    """How many words beside two chunks agree, from the nearest on: pairs of bits
+    below the lowest bit that differs, and no more than there are words."""
+    differ = a.bitwiseXOR(b)
+    below = F.bit_count(F.bitwise_not(differ).bitwiseAND(differ - 1))
+    there = F.bit_count(a.bitwiseOR(F.shiftrightunsigned(a, 1)).bitwiseAND(F.lit(0x5555555555555555).cast("long")))
+    return F.least(F.floor(below / 2).cast("int"), there)
 
 
 def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
@@ -164,17 +167,17 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     ids, places and hashes are shuffled; counts are pre-aggregated, and a digest
     that a third of all documents hold is one row of the aggregate.
     """
-    chunks = written(_chunk_table(df, id_col, text))
+    # texts are cut twice: first for the digests alone, then for the rows of those that are shared
     # written: the join is planned by its size, and the rows of a frequent digest can be split
-    shared = written(chunks.groupBy("digest").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    shared = written(_chunk_table(df, id_col, text, narrow=True).groupBy("digest").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
                      .where("lo < hi").select(F.col("digest").alias("__d")))
-    hits = written(chunks.join(shared, F.col("digest") == F.col("__d")).drop("__d").distinct())
+    hits = written(_chunk_table(df, id_col, text).join(shared, F.col("digest") == F.col("__d")).drop("__d").distinct())
     place = F.struct("doc", "before", "after")
     ends = hits.groupBy(F.col("digest").alias("__d")).agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
     other = F.when(F.col("doc") == F.col("lo.doc"), F.col("hi")).otherwise(F.col("lo"))
     hits = hits.join(ends, F.col("digest") == F.col("__d")).select(
-        "doc", "start", "length", "words", F.col("lo.doc").alias("first"),
-        _agreeing(F.col("before"), other["before"]).alias("left"), _agreeing(F.col("after"), other["after"]).alias("right"))
+        "doc", "start", "length", "words", F.col("lo.doc").alias("first"), let(other, lambda o: F.struct(
+            _agreeing(F.col("before"), o["before"]).alias("left"), _agreeing(F.col("after"), o["after"]).alias("right"))).alias("more"))
     # chunks that follow each other have the same start less the lengths before
     def island(*keys):
         before = Window.partitionBy("doc", *keys).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
@@ -183,7 +186,8 @@ def repeated_passages(df: DataFrame, id_col: str = "doc_id", text: str = "text",
     whole = Window.partitionBy("doc", "run")
     runs = (hits.withColumn("run", island())
             .withColumns({"bytes": F.sum("length").over(whole),
-                          "n_words": F.sum("words").over(whole) + F.min_by("left", "start").over(whole) + F.max_by("right", "start").over(whole)})
+                          "n_words": F.sum("words").over(whole) + F.min_by("more.left", "start").over(whole)
+                          + F.max_by("more.right", "start").over(whole)})
             .where(((F.col("bytes") >= min_run) & (F.col("n_words") >= min_words)) | (F.col("bytes") >= long_run))
             .withColumn("kept", F.col("first") == F.col("doc")))
     return (runs.withColumn("part", island("run", "kept")).groupBy("doc", "run", "kept", "part", "n_words").agg(

@@ -43,7 +43,7 @@ LAYOUT_DEPTHS = (3, 5)
 
 # Fixed values of HTML: kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object select".split())
+RAW = frozenset("script style textarea title noscript template iframe svg select".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE = frozenset("nav footer aside form button menu dialog fieldset input head".split())
@@ -57,12 +57,30 @@ CLOSES = {
 }
 #: Elements that such closing doesn't reach beyond.
 SCOPE = frozenset("html body article main section div ul ol dl table nav aside footer header form td th li blockquote".split())
-#: Words of class, id and role that mark furniture.
-MARKS = frozenset("ad ads adv advert advertisement adverts banner sponsor sponsored promo promotion cookie cookies consent "
-                  "gdpr notice notices alert popup modal overlay sidebar sidebars menu menus nav navbar navigation "
-                  "breadcrumb breadcrumbs footer header masthead share sharing social related recommended comment "
-                  "comments disqus replies newsletter subscribe subscription signup login search widget toolbar "
-                  "complementary contentinfo pagination pager skip".split())
+#: Words of class, id and role that mark furniture wherever they stand in a name,
+STRONG = frozenset("ad ads adv advert advertisement adverts banner sponsor sponsored promo promotion cookie cookies consent "
+                   "gdpr popup modal overlay sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs "
+                   "disqus comments newsletter subscribe subscription signup login widget toolbar complementary contentinfo "
+                   "pagination pager".split())
+#: those that do so as a whole name or at its end (a share-price is no share, a notice-period no notice),
+MARKS = STRONG | frozenset("notice notices alert footer masthead share sharing social related recommended comment replies "
+                           "search skip".split())
+#: and whole names: the header of a post holds its title.
+NAMES = frozenset("header site-header page-header top-header main-header".split())
+
+
+def marks_furniture(value: str) -> bool:
+    """Whether a class, id or role says that its element is furniture."""
+    for name in value.split():
+        words = re.split(r"[^a-z]+", name.strip("-_"))
+        if name in NAMES or words[-1] in MARKS or words[0] in MARKS and len(words) == 1 or not STRONG.isdisjoint(words):
+            return True
+        # a number or a side at the end is no word of its own
+        if len(words) > 1 and words[-1] in ("", "top", "bottom", "left", "right", "box", "wrap", "wrapper", "container", "area", "block", "bar", "section") \
+                and words[-2] in MARKS:
+            return True
+    return False
+
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s>/]*)[^>]*(?:>|\Z)"
                    r"|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
@@ -80,7 +98,7 @@ class Node:
         self.tag = tag
         found = [v.strip("\"'").lower() for _, v in ATTRIBUTE.findall(attributes)] if attributes else []
         self.sign = " ".join([tag, *(re.sub(r"\d+", "#", v) for v in found)])
-        self.marked = bool(found) and any(w in MARKS for v in found for w in re.split(r"[^a-z]+", v))
+        self.marked = any(map(marks_furniture, found))
         self.children: list = []
 
 
@@ -197,8 +215,8 @@ def is_links(chars: float, links: float) -> bool:
     return chars > 0 and links > LINK_SHARE * chars
 
 
-#: Elements that can be judged as links.
-BLOCKS = frozenset("ul ol div section table nav p li".split())
+#: Elements that can be judged as links. A paragraph is prose, however much of it is a link.
+BLOCKS = frozenset("ul ol div section table nav li".split())
 
 
 class Page:

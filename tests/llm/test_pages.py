@@ -57,6 +57,11 @@ def test_copies_as_references_keep_their_article():
     ("<p>a</b></div></p><i>c", "a c"), ("<ul><li>a<li>b</ul>", "a b"), ("<!-- no --><p>yes<!-- open", "yes"),
     ("<script>if (a < b) {}</script><p>q</p>", "q"), ("<article><header><h1>T</h1></header>B</article>out", "T B"),
     ("<p title='a > b'>t</p>", "t"), ("<nav>n</nav><footer>f</footer><aside>s</aside>k", "k"), ("a < b", "a < b"),
+    ('<div class="post-header"><h1>Title</h1></div><p>x', "Title x"), ('<p class="share-price">5 euros</p>', "5 euros"),
+    ('<section class="notice-period">Two weeks</section>', "Two weeks"), ("<p>a <math><mi>x</mi></math> b</p>", "a x b"),
+    ("<p>See <a>the long report about everything</a>.</p><p>Plain.</p>", "See the long report about everything. Plain."),
+    ('<div class="site-header">h</div><div id="cookie_notice-1">c</div><div class="share">s</div><div class="ad-top">a</div>k', "k"),
+    ("<object>fallback</object>", "fallback"), ("<ul><li><a>one</a><li><a>two</a></ul>k", "k"),
     ("<table><tr><td>1<td>2<tr><td>3</table>", "1 2 3"), ("<p>a</p><style>b", "a"),
 ])
 def test_odd_markup(page, text):

@@ -121,16 +121,21 @@ def first_per_verdict(scored: DataFrame, n: int = DIST_ROWS_PER_VERDICT,
 
 
 def verdict_export(scored: DataFrame, which: str) -> DataFrame:
-    """The allowed (benign) or dropped (malicious) rows for export."""
+    """The allowed (benign) or dropped (malicious) rows for export.
+
+    Rows are picked as elements of an array of at most one: a plain filter on the
+    verdict would be pushed below the scoring projection, and stage 1 evaluated
+    again for the rows that pass.
+    """
     if which == "allowed":
-        return scored.where(F.col("verdict") == BENIGN).select(
-            "row_id", "verdict", F.round("prob", 6).alias("probability"),
-            F.round("top_model_conf", 6).alias("confidence"), "top_model")
-    if which == "dropped":
-        return scored.where(F.col("verdict") == MALICIOUS).select(
-            "row_id", "verdict", F.round("prob", 6).alias("probability"), "variant",
-            F.round("variant_confidence", 4).alias("variant_confidence"), "top_model")
-    raise ValueError("which must be 'allowed' or 'dropped'")
+        verdict, columns = BENIGN, ["row_id", "verdict", F.round("prob", 6).alias("probability"),
+                                    F.round("top_model_conf", 6).alias("confidence"), "top_model"]
+    elif which == "dropped":
+        verdict, columns = MALICIOUS, ["row_id", "verdict", F.round("prob", 6).alias("probability"), "variant",
+                                       F.round("variant_confidence", 4).alias("variant_confidence"), "top_model"]
+    else:
+        raise ValueError("which must be 'allowed' or 'dropped'")
+    return scored.select(F.inline(F.when(F.col("verdict") == verdict, F.array(F.struct(*columns)))))
 
 
 def histogram(df: DataFrame, value_col: str, bins: int = 20, by=()) -> DataFrame:

@@ -9,6 +9,7 @@ a 6-class evaluation model and two models for the binary metric suite.
 
 from __future__ import annotations
 
+from flowlens.constants import DATASET_VARIANTS, SELECTED_BINARY, SELECTED_MULTI
 from flowlens.operators.models import Logistic, Softmax, Tree
 
 BINARY = (
@@ -57,3 +58,28 @@ METRIC_MODELS = (
     Tree("dataset13", ("missed_bytes", "resp_bytes"),
          ("missed_bytes", 0.045, ("resp_bytes", 30.0, 0.1, 0.3), ("resp_bytes", 25.5, 0.4, 0.9))),
 )
+
+# ---- the whole ensemble: 8 binary and 20 multiclass models, weights by a rule ----
+_SCALES = {"duration": 200.0, "orig_bytes": 200.0, "resp_bytes": 200.0, "local_orig": 2.0, "proto_tcp": 2.0, "proto_udp": 2.0,
+           "proto_icmp": 2.0, "service_dns": 2.0, "service_http": 2.0, "service_-": 2.0, "service_ssl": 2.0}
+
+
+def _weights(i: int, k: int, features) -> tuple:
+    """Between -5 and 5 over the feature's scale, different for each model and class."""
+    return tuple(((7 * i + 5 * k + 3 * j) % 11 - 5) / _SCALES[f] for j, f in enumerate(features))
+
+
+def full_ensemble() -> tuple[list, list]:
+    """(8 binary models, 20 multiclass models) under the selected names, with each
+    dataset's own classes."""
+    names = list(_SCALES)
+    binary = []
+    for i, name in enumerate(SELECTED_BINARY):
+        own = tuple(names[(i + j * 3) % len(names)] for j in range(3))
+        binary.append(Logistic(name, own, _weights(i, 0, own), ((i * 5) % 7 - 2) / 4))
+    multi = []
+    for i, name in enumerate(SELECTED_MULTI):
+        own = tuple(names[(i + j * 2) % len(names)] for j in range(4))
+        classes = range(len(DATASET_VARIANTS[name]))
+        multi.append(Softmax(name, own, tuple(_weights(i, k, own) for k in classes), tuple(((i + 3 * k) % 5 - 2) / 4 for k in classes)))
+    return binary, multi

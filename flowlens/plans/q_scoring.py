@@ -32,15 +32,17 @@ def scored_e(spark: SparkSession, sf: str, rule: str = "mean", threshold: float
 ALL_FEATS = feature_union([m.features for m in BIN] + [m.features for m in MUL])
 
 
-def _s1_sql(rule: str = "mean", threshold: float = 0.5) -> list[str]:
-    feats = S.feats_cte("feats", "flows_e", ALL_FEATS, ["row_id", "dataset"], S.E_TYPES)
-    pcols = ", ".join(f"{S.model_expr(m)} AS {S.q('p_' + m.name)}" for m in BIN)
-    arr = "[" + ", ".join(S.q(c) for c in P_COLS) + "]"
+def _s1_sql(rule: str = "mean", threshold: float = 0.5, models=None, features=None) -> list[str]:
+    models = BIN if models is None else models
+    feats = S.feats_cte("feats", "flows_e", features or ALL_FEATS, ["row_id", "dataset"], S.E_TYPES)
+    columns = [f"p_{m.name}" for m in models]
+    pcols = ", ".join(f"{S.model_expr(m)} AS {S.q(c)}" for m, c in zip(models, columns))
+    arr = "[" + ", ".join(S.q(c) for c in columns) + "]"
     if rule == "mean":
-        prob = f"({' + '.join(S.q(c) for c in P_COLS)}) / {S.num(len(BIN))}"
+        prob = f"({' + '.join(S.q(c) for c in columns)}) / {S.num(len(models))}"
     else:
-        prob = f"greatest({', '.join(S.q(c) for c in P_COLS)})"
-    names = "[" + ", ".join(S.lit(m.name) for m in BIN) + "]"
+        prob = f"greatest({', '.join(S.q(c) for c in columns)})"
+    names = "[" + ", ".join(S.lit(m.name) for m in models) + "]"
     return [
         S.FLOWS_E, feats,
         f"sp AS (SELECT *, {pcols} FROM feats)",
@@ -52,13 +54,14 @@ def _s1_sql(rule: str = "mean", threshold: float = 0.5) -> list[str]:
     ]
 
 
-def _s2_sql(rule: str = "mean", threshold: float = 0.5) -> list[str]:
-    ctes = _s1_sql(rule, threshold)
-    cps = ", ".join(f"{S.probs_expr(m)} AS cp{i}" for i, m in enumerate(MUL))
+def _s2_sql(rule: str = "mean", threshold: float = 0.5, models=None, multi=None, features=None) -> list[str]:
+    multi = MUL if multi is None else multi
+    ctes = _s1_sql(rule, threshold, models, features)
+    cps = ", ".join(f"{S.probs_expr(m)} AS cp{i}" for i, m in enumerate(multi))
     ctes.append(f"s2p AS (SELECT row_id, {cps} FROM s1 WHERE pred = 1)")
     parts = [f"SELECT row_id, list_max(cp{i}) AS conf, {i} AS rnk, "
              f"{S.labels_case(m.label_list(), S.argmax0(f'cp{i}'))} AS label FROM s2p"
-             for i, m in enumerate(MUL)]
+             for i, m in enumerate(multi)]
     ctes.append("votes AS (SELECT * FROM (" + " UNION ALL ".join(parts) +
                 ") WHERE label <> '-' AND conf > 0)")
     ctes.append("""best AS (SELECT row_id, label, conf FROM (
@@ -235,11 +238,12 @@ def model_stats(spark: SparkSession, sf: str) -> DataFrame:
     return report.model_stats(s, [m.name for m in BIN])
 
 
-def _model_stats_cte() -> str:
+def _model_stats_cte(models=None) -> str:
+    models = BIN if models is None else models
     return "ms AS (" + " UNION ALL ".join(
         f"SELECT {S.lit(m.name)} AS name, "
         f"{S.B('coalesce(sum(CAST(' + S.q(c) + ' >= 0.5 AS INTEGER)), 0)')} AS flagged, "
-        f"round(avg({S.q(c)}), 4) AS avg_prob FROM s1" for m, c in zip(BIN, P_COLS)) + ")"
+        f"round(avg({S.q(c)}), 4) AS avg_prob FROM s1" for m, c in zip(models, [f"p_{m.name}" for m in models])) + ")"
 
 
 @query("model_ranking", S.with_(*_s1_sql(), _model_stats_cte()) +

@@ -72,7 +72,8 @@ REQUIRED = ("row_id", "dataset") + LABEL_COLS
     {S.B('sum(y_binary)')} AS n_pos, {S.B('count(*) - sum(y_binary)')} AS n_neg,
     6 AS n_missing_features,
     CASE WHEN count(*) = 0 THEN 'no_rows' WHEN sum(y_binary) = 0 OR sum(y_binary) = count(*) THEN 'single_class'
-         ELSE 'ok' END AS status FROM flows_e GROUP BY dataset""")
+         ELSE 'ok' END AS status FROM flows_e GROUP BY dataset
+  UNION ALL SELECT 'dataset24', 0, 0, 0, 6, 'no_rows' """)
 def input_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Required columns asserted before any action; per
     dataset row counts, class presence and absent feature count."""
@@ -84,7 +85,11 @@ def input_checks(spark: SparkSession, sf: str) -> DataFrame:
     derivable |= {f for f in FEATURE_CATALOGUE if f.startswith("proto_") and "proto" in df.columns}
     derivable |= {f for f in FEATURE_CATALOGUE if f.startswith("service_") and "service" in df.columns}
     n_missing = len([f for f in FEATURE_CATALOGUE if f not in derivable])   # local_resp, *_pkts, ... = 6
-    agg = df.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("y_binary").cast("long").alias("n_pos"))
+    found = df.groupBy(F.col("dataset").alias("_ds")).agg(F.count(F.lit(1)).alias("n"), F.sum("y_binary").cast("long").alias("pos"))
+    # the registry names datasets that have no rows at all
+    registry = spark.createDataFrame([(f"dataset{i}",) for i in range(1, 25)], "dataset string")
+    agg = registry.join(found, F.col("dataset") == F.col("_ds"), "left").select(
+        "dataset", F.coalesce("n", F.lit(0)).cast("long").alias("n_rows"), F.coalesce("pos", F.lit(0)).cast("long").alias("n_pos"))
     status = (F.when(F.col("n_rows") == 0, F.lit("no_rows"))
               .when((F.col("n_pos") == 0) | (F.col("n_pos") == F.col("n_rows")), F.lit("single_class"))
               .otherwise(F.lit("ok")))

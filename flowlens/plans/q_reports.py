@@ -155,7 +155,8 @@ def _stored_sql() -> str:
              SELECT dataset, y AS l, CAST(y = pred AS INTEGER) AS tp, 1 AS s, 0 AS p FROM x UNION ALL SELECT dataset, pred, 0, 0, 1 FROM x) GROUP BY ALL)""",
         "f AS (SELECT dataset, sum(tp) AS tp, sum(s) AS n, avg(2.0 * tp / (s + p)) AS macro, sum(2.0 * tp / (s + p) * s) AS weighted FROM c GROUP BY dataset)",
         f"""reg AS (SELECT dataset, CASE dataset WHEN {S.lit(NO_MODEL)} THEN 'missing_model' WHEN {S.lit(NO_LIST)} THEN 'missing_feature_list'
-             WHEN {S.lit(NO_TEST)} THEN 'missing_test_parquet' WHEN {S.lit(BROKEN)} THEN 'evaluation_failed' END AS error FROM (SELECT 'dataset' || i AS dataset FROM range(1, 24) t(i)))""",
+             ELSE CASE WHEN dataset = {S.lit(NO_TEST)} OR dataset NOT IN (SELECT dataset FROM e) THEN 'missing_test_parquet'
+             WHEN dataset = {S.lit(BROKEN)} THEN 'evaluation_failed' END END AS error FROM (SELECT 'dataset' || i AS dataset FROM range(1, 24) t(i)))""",
     ) + f"""SELECT reg.dataset, error, CAST(n AS BIGINT) AS test_rows, round(tp / n, 6) AS accuracy,
       CASE WHEN reg.dataset <> {S.lit(ONE_CLASS)} THEN round(macro, 6) END AS f1_macro, CASE WHEN reg.dataset <> {S.lit(ONE_CLASS)} THEN round(weighted / n, 6) END AS f1_weighted,
       CASE WHEN n IS NULL THEN NULL WHEN reg.dataset = {S.lit(ONE_CLASS)} THEN 0.0 ELSE round(ll / n, 6) END AS logloss,

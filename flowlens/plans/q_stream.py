@@ -68,12 +68,11 @@ def registry_scoring(spark: SparkSession, sf: str) -> DataFrame:
 REQUIRED = ("row_id", "dataset") + LABEL_COLS
 
 
-@query("input_checks", S.with_(S.FLOWS_E) + f"""SELECT dataset, {S.B('count(*)')} AS n_rows,
-    {S.B('sum(y_binary)')} AS n_pos, {S.B('count(*) - sum(y_binary)')} AS n_neg,
-    6 AS n_missing_features,
-    CASE WHEN count(*) = 0 THEN 'no_rows' WHEN sum(y_binary) = 0 OR sum(y_binary) = count(*) THEN 'single_class'
-         ELSE 'ok' END AS status FROM flows_e GROUP BY dataset
-  UNION ALL SELECT 'dataset24', 0, 0, 0, 6, 'no_rows' """)
+@query("input_checks", S.with_(S.FLOWS_E, f"""c AS (SELECT dataset, {S.B('count(*)')} AS n, {S.B('sum(y_binary)')} AS pos
+    FROM flows_e GROUP BY dataset)""") + """SELECT 'dataset' || i AS dataset, coalesce(n, 0) AS n_rows, coalesce(pos, 0) AS n_pos,
+    coalesce(n - pos, 0) AS n_neg, 6 AS n_missing_features,
+    CASE WHEN n IS NULL THEN 'no_rows' WHEN pos = 0 OR pos = n THEN 'single_class' ELSE 'ok' END AS status
+  FROM range(1, 25) t(i) LEFT JOIN c ON c.dataset = 'dataset' || i""")
 def input_checks(spark: SparkSession, sf: str) -> DataFrame:
     """Required columns asserted before any action; per
     dataset row counts, class presence and absent feature count."""

@@ -30,7 +30,7 @@ LENGTH = 1024
 END_ID = 2
 BLOCK = 100_000
 #: Cuts whose ids a task remembers.
-MEMORY = 500_000
+MEMORY = 1_000_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -65,7 +65,7 @@ class Encoder:
 
     def _learn(self, hashes: np.ndarray, cuts: list[str]) -> None:
         """Remember new cuts; their hashes are sorted and not known yet."""
-        ids = [e.ids for e in self.tokenizer.encode_batch(cuts, add_special_tokens=False)]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(cuts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
         at = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, at, hashes)

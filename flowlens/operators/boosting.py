@@ -4,8 +4,8 @@ MLlib's own stop ends a fit at the first round that gains too little. Here the
 rule is patience: rounds go on until the best validation loss is ``patience``
 rounds old, and the ensemble is cut back to its best round. MLlib cannot go on
 with a fitted ensemble, but its rounds depend on the seed and the round alone, so
-that a longer fit begins with the trees of a shorter one: fits are doubled
-until the rule holds. The losses of all rounds come from one pass over the
+that a longer fit begins with the trees of a shorter one: a first fit shows where
+the rule is likely to hold, and longer ones follow until it does. The losses of all rounds come from one pass over the
 validation rows: each tree gives the leaf a row falls into, and per partition
 only the sums of the losses leave the task. For several classes the loss is the
 joint one, over class probabilities that are normalised for each row.
@@ -13,6 +13,7 @@ joint one, over class probabilities that are normalised for each row.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from flowlens.constants import LOGLOSS_EPS
 from flowlens.session import ship_package
 
-GROWTH = 2
+#: Growth of a fit whose end is not in sight, the least growth, and the rounds over the expected ones.
+GROWTH, LEAST_GROWTH, SPARE = 2, 1.25, 1.1
 
 
 def leaf_values(model: GBTClassificationModel) -> np.ndarray:
@@ -136,10 +138,21 @@ class Rounds:
     patience: int
 
 
+def rounds_ahead(losses: list[float], patience: int, min_gain: float = 0.0) -> int:
+    """Rounds of the next fit after one that the rule didn't end: where it would, if the
+    losses went on falling by the power of the round they fell by in the last half."""
+    n = len(losses)
+    middle, last = losses[max(n // 2, 1) - 1], losses[-1]
+    power = math.log(middle / last, n / max(n // 2, 1)) if n > 1 and 0 < last < middle else 0.0
+    expected = [last * (r / n) ** -power for r in range(n + 1, 4 * n + patience + 1)]
+    _, tried, stopped = patience_stop([*losses, *expected], patience, min_gain)
+    return max(math.ceil(LEAST_GROWTH * n), math.ceil(SPARE * tried) if stopped else GROWTH * n)
+
+
 def boosted(fit: Callable[[int], list], losses: Callable[[list], list[float]], limit: int, patience: int,
             min_gain: float = 0.0) -> tuple[list, Rounds]:
     """Ensembles of ``fit(rounds)`` cut back to the best round, and how it ended."""
-    rounds = min(limit, 2 * patience)
+    rounds = min(limit, max(patience, 2))
     while True:
         models = fit(rounds)
         seen = losses(models)
@@ -147,4 +160,4 @@ def boosted(fit: Callable[[int], list], losses: Callable[[list], list[float]], l
         if stopped or rounds >= limit:
             cut = [None if m is None else truncated(m, best) for m in models]
             return cut, Rounds(seen, best, tried, stopped, limit, patience)
-        rounds = min(limit, GROWTH * rounds)
+        rounds = min(limit, max(rounds + 1, rounds_ahead(seen, patience, min_gain)))

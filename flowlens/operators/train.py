@@ -8,11 +8,14 @@ validation rows a fit ends by patience and keeps its best round
 (``operators/boosting.py``); without them it runs to its limit.
 
 Fitting is distributed by MLlib (per-level histogram aggregation over the
-partitions); only fitted trees and one-row statistics come to the driver.
+partitions); only fitted trees and one-row statistics come to the driver. Each
+level of each tree is a job over all partitions of the training rows, so these
+are dealt out by their number before a fit, whatever the plan before left.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -29,6 +32,12 @@ from flowlens.operators.boosting import boosted, round_losses
 from flowlens.operators.models import FittedBinary, FittedMulti
 
 
+#: Feature values in a partition of the training rows: from the first number on a task is
+#: worth its start (some 30 ms a level), so that they spread over the cores there are;
+#: the second is what a partition grows to before there are more of them than cores.
+LEAST_VALUES, MOST_VALUES = 250_000, 1_000_000
+
+
 @dataclass
 class FitResult:
     status: str                       # trained | single_class_train | no_rows
@@ -56,6 +65,17 @@ def label_stats(df: DataFrame, label: str) -> dict:
     return {"n": r["n"], "pos": r["pos"] or 0, "classes": r["k"], "max": r["mx"]}
 
 
+def fit_partitions(values: int, cores: int) -> int:
+    return max(1, min(math.ceil(values / LEAST_VALUES), cores), math.ceil(values / MOST_VALUES))
+
+
+def _dealt(rows: DataFrame, n: int, width: int, at_once: int = 1) -> DataFrame:
+    """``n`` rows of ``width`` features in even partitions, as many as their size asks
+    for, where ``at_once`` fits share the cores."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism // at_once
+    return rows.repartition(fit_partitions(n * width, cores)).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def require_columns(df: DataFrame, columns) -> None:
     """Named before any job runs."""
     absent = missing_columns(df, list(columns))
@@ -72,39 +92,40 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
     ``max_iter`` rounds at the latest, and the best round is kept (``info["rounds"]``).
     """
     require_columns(train, [label, *features])
-    st = label_stats(train, label)
-    if st["n"] == 0:
-        return FitResult("no_rows", info=st)
-    if st["classes"] < 2:
-        return FitResult("single_class_train", info=st)
-    neg = st["n"] - st["pos"]
-    spw = neg / st["pos"] if st["pos"] else 1.0
     data = train.withColumn("_val", F.lit(False))
     if val is not None:
         data = data.unionByName(val.withColumn("_val", F.lit(True)), allowMissingColumns=True)
-    data = data.withColumn("_w", F.when(F.col(label) == 1, F.lit(float(spw if weighted else 1.0)))
-                           .otherwise(F.lit(1.0)))
-    data = data.withColumn("_y", F.col(label).cast("double"))
-    # checked on the schema before anything is fitted; the boosting rounds then
-    # share one assembled input instead of running split and preparation again
+    # checked on the schema before anything is fitted; the statistics and the boosting
+    # rounds then share one assembled input instead of running split and preparation again
     assembler = _assembler(features)
-    vectors = assembler.transform(data)
+    vectors = assembler.transform(data.withColumn("_label", F.col(label)))
     check_vector_width(vectors, "features", features)
-    vectors = vectors.select("features", "_y", "_w", "_val").persist(StorageLevel.MEMORY_AND_DISK)
+    vectors = vectors.select("features", "_label", "_val").persist(StorageLevel.MEMORY_AND_DISK)
     rows, shown = vectors.where(~F.col("_val")), vectors.where(F.col("_val"))
-
-    def fit(rounds: int) -> list:
-        return [GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
-                              stepSize=step, maxDepth=depth, seed=seed).fit(rows)]
-
     try:
+        st = label_stats(rows, "_label")
+        if st["n"] == 0:
+            return FitResult("no_rows", info=st)
+        if st["classes"] < 2:
+            return FitResult("single_class_train", info=st)
+        neg = st["n"] - st["pos"]
+        spw = neg / st["pos"] if st["pos"] else 1.0
+        weight = F.when(F.col("_label") == 1, F.lit(float(spw if weighted else 1.0))).otherwise(F.lit(1.0))
+        rows = _dealt(rows.select("features", F.col("_label").cast("double").alias("_y"), weight.alias("_w")),
+                      st["n"], len(features))
+
+        def fit(rounds: int) -> list:
+            return [GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
+                                  stepSize=step, maxDepth=depth, seed=seed).fit(rows)]
+
         if val is None or not shown.head(1):
             models = fit(max_iter)
         else:
-            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_y", joint=False),
+            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=False),
                                            max_iter, patience, min_gain)
         model = PipelineModel(stages=[assembler, models[0]])
     finally:
+        rows.unpersist()
         vectors.unpersist()
     st.update({"scale_pos_weight": spw})
     return FitResult("trained", FittedBinary(name, tuple(features), model), st)
@@ -154,22 +175,8 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
     of a round are fitted ``parallelism`` at a time.
     """
     require_columns(train, [label, *features])
-    st = label_stats(train, label)
-    if st["n"] == 0:
-        return FitResult("no_rows", info=st)
-    k = num_class or (int(st["max"]) + 1 if st["max"] is not None else 1)
-    st["num_class"] = k
-    if k <= 1 or st["classes"] < 2:
-        return FitResult("single_class_train", info=st)
-    if algo == "rf":
-        rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=min(max_iter, num_trees),
-                                    maxDepth=depth, subsamplingRate=subsample, seed=seed)
-        data = train.withColumn("_y", F.col(label).cast("double"))
-        model = Pipeline(stages=[_assembler(features), rf]).fit(data)
-        return FitResult("trained", RandomForestProbs(tuple(features), k, model), st)
-    present = {r[0] for r in train.select(label).distinct().collect()}   # at most k values
-    # The K one-vs-rest fits share one assembled input: persisted once (spilling
-    # to disk as needed) instead of re-running the upstream plan K times.
+    # The statistics and the K one-vs-rest fits share one assembled input: persisted
+    # once (spilling to disk as needed) instead of re-running the upstream plan each time.
     assembler = _assembler(features)
     both = train.withColumn("_val", F.lit(False))
     if val is not None:
@@ -178,25 +185,41 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
     check_vector_width(assembled, "features", features)
     assembled = assembled.select("features", "_val", F.col(label).alias("_label")).persist(StorageLevel.MEMORY_AND_DISK)
     rows, shown = assembled.where(~F.col("_val")), assembled.where(F.col("_val"))
-
-    def one(c: int, rounds: int):
-        if c not in present:
-            return None
-        data = rows.withColumn("_y", (F.col("_label") == c).cast("double"))
-        return GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, stepSize=step,
-                             maxDepth=depth, subsamplingRate=subsample, seed=seed).fit(data)
-
-    def fit(rounds: int) -> list:
-        with ThreadPool(max(1, min(parallelism, k))) as pool:
-            return pool.map(inheritable_thread_target(train.sparkSession)(lambda c: one(c, rounds)), range(k))
-
     try:
+        st = label_stats(rows, "_label")
+        if st["n"] == 0:
+            return FitResult("no_rows", info=st)
+        k = num_class or (int(st["max"]) + 1 if st["max"] is not None else 1)
+        st["num_class"] = k
+        if k <= 1 or st["classes"] < 2:
+            return FitResult("single_class_train", info=st)
+        if algo == "rf":
+            rf = RandomForestClassifier(featuresCol="features", labelCol="_y", numTrees=min(max_iter, num_trees),
+                                        maxDepth=depth, subsamplingRate=subsample, seed=seed)
+            data = train.withColumn("_y", F.col(label).cast("double"))
+            model = Pipeline(stages=[_assembler(features), rf]).fit(data)
+            return FitResult("trained", RandomForestProbs(tuple(features), k, model), st)
+        present = {r[0] for r in rows.select("_label").distinct().collect()}   # at most k values
+        rows = _dealt(rows.select("features", "_label"), st["n"], len(features), max(1, min(parallelism, len(present))))
+
+        def one(c: int, rounds: int):
+            if c not in present:
+                return None
+            data = rows.withColumn("_y", (F.col("_label") == c).cast("double"))
+            return GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, stepSize=step,
+                                 maxDepth=depth, subsamplingRate=subsample, seed=seed).fit(data)
+
+        def fit(rounds: int) -> list:
+            with ThreadPool(max(1, min(parallelism, k))) as pool:
+                return pool.map(inheritable_thread_target(train.sparkSession)(lambda c: one(c, rounds)), range(k))
+
         if val is None or not shown.head(1):
             models = fit(max_iter)
         else:
             models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=True),
                                            max_iter, patience, min_gain)
     finally:
+        rows.unpersist()
         assembled.unpersist()
     models = [None if m is None else PipelineModel(stages=[assembler, m]) for m in models]
     return FitResult("trained", OneVsRestGBT(tuple(features), k, models), st)

@@ -5,7 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from flowlens.operators.boosting import patience_stop
+from flowlens.operators import boosting, train
+from flowlens.operators.boosting import boosted, patience_stop
 from flowlens.operators.train import train_binary, train_multiclass
 
 
@@ -60,3 +61,26 @@ def test_columns_are_named_before_a_fit(spark):
         train_binary(_noisy(spark).drop("y_binary"), ["a"])
     with pytest.raises(ValueError, match="zz"):
         train_multiclass(_noisy(spark), ["a", "zz"])
+
+
+def test_partitions_of_a_fit_follow_its_rows(spark, monkeypatch):
+    # every level of every tree is a job over all of them
+    seen = []
+    plain = train.GBTClassifier.fit
+    monkeypatch.setattr(train.GBTClassifier, "fit", lambda self, df: (seen.append(df.rdd.getNumPartitions()), plain(self, df))[1])
+    df = _noisy(spark).repartition(40)
+    train_binary(df, ["a", "b", "c"], max_iter=2, depth=2)
+    train_multiclass(df, ["a", "b", "c"], max_iter=2, depth=2)
+    assert seen == [1] * 4
+    assert train.fit_partitions(4_200_000, 12) == 12 and train.fit_partitions(500_000, 12) == 2
+    assert train.fit_partitions(42_000_000, 12) == 42 and train.fit_partitions(0, 0) == 1
+
+
+@pytest.mark.parametrize("loss, gain", [(lambda r: 4.6 / r, 0.02), (lambda r: abs(r - 20) + 1, 0.0), (lambda r: 1 / r, 0.0)])
+def test_few_rounds_are_fitted_twice(monkeypatch, loss, gain):
+    monkeypatch.setattr(boosting, "truncated", lambda m, rounds: rounds)
+    fitted = []
+    models, r = boosted(lambda n: [fitted.append(n) or n], lambda m: [loss(i) for i in range(1, m[0] + 1)], 480, 60, gain)
+    assert (r.best, r.tried, r.stopped) == patience_stop([loss(i) for i in range(1, 481)], 60, gain) and models == [r.best]
+    assert fitted == sorted(set(fitted)) and fitted[-1] <= max(1.25 * r.tried, 480 * (gain == 0 and not r.stopped))
+    assert not gain or sum(fitted) <= 1.6 * r.tried

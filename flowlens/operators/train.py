@@ -16,6 +16,7 @@ are dealt out by their number before a fit, whatever the plan before left.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -69,11 +70,20 @@ def fit_partitions(values: int, cores: int) -> int:
     return max(1, min(math.ceil(values / LEAST_VALUES), cores), math.ceil(values / MOST_VALUES))
 
 
-def _dealt(rows: DataFrame, n: int, width: int, at_once: int = 1) -> DataFrame:
+def rounding_gain(n: int, partitions: int) -> float:
+    """Gain that a split of rows with one and the same label can seem to have: a sum over
+    the rows of a partition is off by up to that many last places."""
+    return math.ceil(n / partitions) * sys.float_info.epsilon
+
+
+def _dealt(rows: DataFrame, n: int, width: int, at_once: int = 1) -> tuple[DataFrame, float]:
     """``n`` rows of ``width`` features in even partitions, as many as their size asks
-    for, where ``at_once`` fits share the cores."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism // at_once
-    return rows.repartition(fit_partitions(n * width, cores)).persist(StorageLevel.MEMORY_AND_DISK)
+    for, where ``at_once`` fits share the cores; and the least gain of their splits.
+
+    Without the latter, nodes that are pure go on being split by rounding errors, and
+    each level of these costs a job as others do."""
+    partitions = fit_partitions(n * width, rows.sparkSession.sparkContext.defaultParallelism // at_once)
+    return rows.repartition(partitions).persist(StorageLevel.MEMORY_AND_DISK), rounding_gain(n, partitions)
 
 
 def require_columns(df: DataFrame, columns) -> None:
@@ -111,12 +121,12 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
         neg = st["n"] - st["pos"]
         spw = neg / st["pos"] if st["pos"] else 1.0
         weight = F.when(F.col("_label") == 1, F.lit(float(spw if weighted else 1.0))).otherwise(F.lit(1.0))
-        rows = _dealt(rows.select("features", F.col("_label").cast("double").alias("_y"), weight.alias("_w")),
-                      st["n"], len(features))
+        rows, least = _dealt(rows.select("features", F.col("_label").cast("double").alias("_y"), weight.alias("_w")),
+                             st["n"], len(features))
 
         def fit(rounds: int) -> list:
             return [GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
-                                  stepSize=step, maxDepth=depth, seed=seed).fit(rows)]
+                                  stepSize=step, maxDepth=depth, minInfoGain=least, seed=seed).fit(rows)]
 
         if val is None or not shown.head(1):
             models = fit(max_iter)
@@ -200,14 +210,14 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
             model = Pipeline(stages=[_assembler(features), rf]).fit(data)
             return FitResult("trained", RandomForestProbs(tuple(features), k, model), st)
         present = {r[0] for r in rows.select("_label").distinct().collect()}   # at most k values
-        rows = _dealt(rows.select("features", "_label"), st["n"], len(features), max(1, min(parallelism, len(present))))
+        rows, least = _dealt(rows.select("features", "_label"), st["n"], len(features), max(1, min(parallelism, len(present))))
 
         def one(c: int, rounds: int):
             if c not in present:
                 return None
             data = rows.withColumn("_y", (F.col("_label") == c).cast("double"))
             return GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, stepSize=step,
-                                 maxDepth=depth, subsamplingRate=subsample, seed=seed).fit(data)
+                                 maxDepth=depth, minInfoGain=least, subsamplingRate=subsample, seed=seed).fit(data)
 
         def fit(rounds: int) -> list:
             with ThreadPool(max(1, min(parallelism, k))) as pool:

@@ -76,6 +76,20 @@ def test_partitions_of_a_fit_follow_its_rows(spark, monkeypatch):
     assert train.fit_partitions(42_000_000, 12) == 42 and train.fit_partitions(0, 0) == 1
 
 
+def test_rounding_errors_split_no_node(spark):
+    # one column tells the classes apart: every later split would be one of equal labels
+    df = spark.range(20_000).selectExpr("id AS row_id", "CAST(id % 3 = 0 AS DOUBLE) a", "CAST(id * 7919 % 101 AS DOUBLE) b",
+                                        "CAST(id * 104729 % 89 AS DOUBLE) c", "CAST(id % 3 = 0 AS INT) y_binary")
+    fit = train_binary(df, ["a", "b", "c"], max_iter=25)
+    many = train_multiclass(df.withColumnRenamed("y_binary", "y_multiclass"), ["a", "b", "c"], max_iter=25)
+    for m in [fit.model.model, *many.model.models]:
+        assert [t.depth for t in m.stages[-1].trees] == [1] * 25
+    # what sets a single row apart is no rounding error
+    odd = df.withColumn("y_binary", F.when(F.col("row_id") == 77, 1 - F.col("y_binary")).otherwise(F.col("y_binary")))
+    one = train_binary(odd.withColumn("c", (F.col("row_id") == 77).cast("double")), ["a", "b", "c"], max_iter=1)
+    assert one.model.model.stages[-1].trees[0].depth == 2
+
+
 @pytest.mark.parametrize("loss, gain", [(lambda r: 4.6 / r, 0.02), (lambda r: abs(r - 20) + 1, 0.0), (lambda r: 1 / r, 0.0)])
 def test_few_rounds_are_fitted_twice(monkeypatch, loss, gain):
     monkeypatch.setattr(boosting, "truncated", lambda m, rounds: rounds)

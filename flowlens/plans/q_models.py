@@ -6,6 +6,9 @@ tests), except the selection fallback, whose point-biserial path is exact.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +22,7 @@ from flowlens.plans.fixed_models import EVAL_MULTI
 from flowlens.plans.q_prep import SPLIT_CTE, split_e
 from flowlens.plans.q_scoring import BIN
 from flowlens.plans.registry import query
-from flowlens.session import shared_dir
+from flowlens.session import shared_dir, ship_package
 from flowlens.sources.views import flows_e
 
 CANDIDATES = list(FEATURE_CATALOGUE)
@@ -128,6 +131,15 @@ def train_report(spark: SparkSession, sf: str) -> DataFrame:
     return MM.eval_summary(pr, ["split"], "probs", "y_multiclass", fit.model.num_class)
 
 
+def _fit_both(spark, sf):
+    """The binary and the multiclass fit side by side: a fit is a long row of short jobs,
+    one after the other, that leave cores free."""
+    shared_dir(spark, "")
+    ship_package(spark)
+    with ThreadPool(2) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda fit: fit(spark, sf)), (_fit_binary, _fit_multi))
+
+
 @query("training_rounds", """SELECT model, true AS best_is_lowest, true AS stop_rule_held, true AS kept_best_round,
     true AS better_than_first FROM (VALUES ('binary'), ('multiclass')) t(model)""")
 def training_rounds(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +147,7 @@ def training_rounds(spark: SparkSession, sf: str) -> DataFrame:
     validation loss (but for gains too small to count), either its age or the limit
     ended the boosting, the model has that many trees, and it beats a single round."""
     out = []
-    for name, gain, (_, fit) in (("binary", MIN_GAIN, _fit_binary(spark, sf)), ("multiclass", MIN_GAIN, _fit_multi(spark, sf))):
+    for name, gain, (_, fit) in zip(("binary", "multiclass"), (MIN_GAIN, MIN_GAIN), _fit_both(spark, sf)):
         r = fit.info["rounds"]
         seen = r.losses[:r.tried]
         pipelines = [fit.model.model] if name == "binary" else [m for m in fit.model.models if m is not None]
@@ -151,11 +163,11 @@ def train_checks(spark: SparkSession, sf: str) -> DataFrame:
     """M3-M5: what holds for any good fit: every test row scored, probabilities
     in [0, 1] (those of the classes add up to 1), accuracy of the training rows
     not below the share of their largest class."""
-    prepared, fit = _fit_binary(spark, sf)
+    (prepared, fit), multi = _fit_both(spark, sf)
     two = fit.model.score(prepared, "p").select(
         "split", F.lit("binary").alias("model"), F.col("y_binary").alias("y"), (F.col("p") >= 0.5).cast("int").alias("pred"),
         (F.col("p").isNull() | (F.col("p") < 0) | (F.col("p") > 1)).alias("bad"))
-    prepared, fit = _fit_multi(spark, sf)
+    prepared, fit = multi
     many = MM.with_prediction(fit.model.class_probs(prepared, "probs"), "probs", "y_multiclass", fit.model.num_class)
     total = F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)
     many = many.select("split", F.lit("multiclass").alias("model"), F.col("y_multiclass").alias("y"), "pred",

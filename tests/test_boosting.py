@@ -1,6 +1,8 @@
 """Patience, losses of all rounds, and ensembles cut back to the best one."""
 
 import math
+import threading
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from flowlens.operators import boosting, train
 from flowlens.operators.boosting import boosted, patience_stop
 from flowlens.operators.train import train_binary, train_multiclass
+from flowlens.plans import q_models
 
 
 def _noisy(spark, n=600):
@@ -98,3 +101,19 @@ def test_few_rounds_are_fitted_twice(monkeypatch, loss, gain):
     assert (r.best, r.tried, r.stopped) == patience_stop([loss(i) for i in range(1, 481)], 60, gain) and models == [r.best]
     assert fitted == sorted(set(fitted)) and fitted[-1] <= max(1.25 * r.tried, 480 * (gain == 0 and not r.stopped))
     assert not gain or sum(fitted) <= 1.6 * r.tried
+
+
+def test_binary_and_multiclass_fit_side_by_side(spark, monkeypatch):
+    # each waits for the other: one after the other, the barrier breaks
+    meet = threading.Barrier(2, timeout=20)
+
+    def fitted(best, wrap):
+        model = SimpleNamespace(stages=[SimpleNamespace(getNumTrees=best)])
+        rounds = boosting.Rounds([2.0] + [1.0] * 9, best, 10, False, 10, 30)
+        return lambda *_: meet.wait() is not None and (None, SimpleNamespace(info={"rounds": rounds}, model=wrap(model)))
+
+    monkeypatch.setattr(q_models, "_fit_binary", fitted(2, lambda m: SimpleNamespace(model=m)))
+    monkeypatch.setattr(q_models, "_fit_multi", fitted(3, lambda m: SimpleNamespace(models=[m, None, m])))
+    rows = {r["model"]: r for r in q_models.training_rounds(spark, "").collect()}
+    assert set(rows) == {"binary", "multiclass"}
+    assert all(v for r in rows.values() for k, v in r.asDict().items() if k != "model")

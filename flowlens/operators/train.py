@@ -4,13 +4,15 @@ Binary: ``GBTClassifier`` on assembled features with an optional class weight
 (negatives / positives on positives). Multiclass: MLlib has no multiclass
 GBT, so one GBT per class (one-vs-rest) whose positive-class probabilities are
 normalised to sum to 1; a random forest is the native alternative. With
-validation rows a fit ends by patience and keeps its best round
-(``operators/boosting.py``); without them it runs to its limit.
-
-Fitting is distributed by MLlib (per-level histogram aggregation over the
-partitions); only fitted trees and one-row statistics come to the driver. Each
-level of each tree is a job over all partitions of the training rows, so these
-are dealt out by their number before a fit, whatever the plan before left.
+validation rows a fit ends by patience and keeps its best round: its trees are
+those of MLlib, grown for all classes together (``operators/grow.py``). Without
+them MLlib fits to its limit, as it does, by ``operators/boosting.py``, where
+features have categories.
+
+MLlib aggregates histograms over the partitions, level by level; only fitted
+trees and one-row statistics come to the driver. Each level of each tree is a job
+over all partitions of the training rows, so these are dealt out by their number
+before a fit, whatever the plan before left.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.clean import col, missing_columns
 from flowlens.operators.boosting import boosted, round_losses
+from flowlens.operators.grow import can_grow, grow_partitions, grown
 from flowlens.operators.models import FittedBinary, FittedMulti
 
 
@@ -76,6 +79,12 @@ def rounding_gain(n: int, partitions: int) -> float:
     return math.ceil(n / partitions) * sys.float_info.epsilon
 
 
+def _grown_in(df: DataFrame, n: int, width: int) -> tuple[int, float]:
+    """Partitions of rows whose trees grow together, and the least gain of their splits."""
+    partitions = grow_partitions(n * width, df.sparkSession.sparkContext.defaultParallelism)
+    return partitions, rounding_gain(n, partitions)
+
+
 def _dealt(rows: DataFrame, n: int, width: int, at_once: int = 1) -> tuple[DataFrame, float]:
     """``n`` rows of ``width`` features in even partitions, as many as their size asks
     for, where ``at_once`` fits share the cores; and the least gain of their splits.
@@ -121,18 +130,28 @@ def train_binary(train: DataFrame, features, label: str = "y_binary", *, val: Da
         neg = st["n"] - st["pos"]
         spw = neg / st["pos"] if st["pos"] else 1.0
         weight = F.when(F.col("_label") == 1, F.lit(float(spw if weighted else 1.0))).otherwise(F.lit(1.0))
-        rows, least = _dealt(rows.select("features", F.col("_label").cast("double").alias("_y"), weight.alias("_w")),
-                             st["n"], len(features))
+        rows = rows.select("features", F.col("_label").cast("double").alias("_y"), weight.alias("_w"))
 
-        def fit(rounds: int) -> list:
-            return [GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
-                                  stepSize=step, maxDepth=depth, minInfoGain=least, seed=seed).fit(rows)]
+        def booster(rounds: int, least: float) -> GBTClassifier:
+            return GBTClassifier(featuresCol="features", labelCol="_y", weightCol="_w", maxIter=rounds,
+                                 stepSize=step, maxDepth=depth, minInfoGain=least, seed=seed)
 
-        if val is None or not shown.head(1):
-            models = fit(max_iter)
+        with_val = val is not None and bool(shown.head(1))
+        if with_val and can_grow(vectors):
+            partitions, least = _grown_in(vectors, st["n"], len(features))
+            models, st["rounds"] = grown(vectors, rows, partitions, booster(max_iter, least), [1], joint=False,
+                                         weight=float(spw if weighted else 1.0), limit=max_iter, patience=patience, min_gain=min_gain)
         else:
-            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=False),
-                                           max_iter, patience, min_gain)
+            rows, least = _dealt(rows, st["n"], len(features))
+
+            def fit(rounds: int) -> list:
+                return [booster(rounds, least).fit(rows)]
+
+            if not with_val:
+                models = fit(max_iter)
+            else:
+                models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=False),
+                                               max_iter, patience, min_gain)
         model = PipelineModel(stages=[assembler, models[0]])
     finally:
         rows.unpersist()
@@ -210,24 +229,32 @@ def train_multiclass(train: DataFrame, features, label: str = "y_multiclass", *,
             model = Pipeline(stages=[_assembler(features), rf]).fit(data)
             return FitResult("trained", RandomForestProbs(tuple(features), k, model), st)
         present = {r[0] for r in rows.select("_label").distinct().collect()}   # at most k values
-        rows, least = _dealt(rows.select("features", "_label"), st["n"], len(features), max(1, min(parallelism, len(present))))
 
-        def one(c: int, rounds: int):
-            if c not in present:
-                return None
-            data = rows.withColumn("_y", (F.col("_label") == c).cast("double"))
+        def booster(rounds: int, least: float) -> GBTClassifier:
             return GBTClassifier(featuresCol="features", labelCol="_y", maxIter=rounds, stepSize=step,
-                                 maxDepth=depth, minInfoGain=least, subsamplingRate=subsample, seed=seed).fit(data)
+                                 maxDepth=depth, minInfoGain=least, subsamplingRate=subsample, seed=seed)
 
-        def fit(rounds: int) -> list:
-            with ThreadPool(max(1, min(parallelism, k))) as pool:
-                return pool.map(inheritable_thread_target(train.sparkSession)(lambda c: one(c, rounds)), range(k))
+        def own(c: int) -> DataFrame:
+            return rows.withColumn("_y", (F.col("_label") == c).cast("double"))
 
-        if val is None or not shown.head(1):
-            models = fit(max_iter)
+        with_val = val is not None and bool(shown.head(1))
+        if with_val and can_grow(assembled):
+            partitions, least = _grown_in(assembled, st["n"], len(features))
+            models, st["rounds"] = grown(assembled, own(0), partitions, booster(max_iter, least), [c if c in present else None for c in range(k)],
+                                         joint=True, weight=1.0, limit=max_iter, patience=patience, min_gain=min_gain)
         else:
-            models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=True),
-                                           max_iter, patience, min_gain)
+            rows, least = _dealt(rows.select("features", "_label"), st["n"], len(features), max(1, min(parallelism, len(present))))
+
+            def fit(rounds: int) -> list:
+                with ThreadPool(max(1, min(parallelism, k))) as pool:
+                    return pool.map(inheritable_thread_target(train.sparkSession)(
+                        lambda c: booster(rounds, least).fit(own(c)) if c in present else None), range(k))
+
+            if not with_val:
+                models = fit(max_iter)
+            else:
+                models, st["rounds"] = boosted(fit, lambda m: round_losses(m, shown, "_label", joint=True),
+                                               max_iter, patience, min_gain)
     finally:
         rows.unpersist()
         assembled.unpersist()
